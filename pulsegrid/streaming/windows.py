@@ -14,6 +14,7 @@ from pulsegrid.functions import byte_length
 from pulsegrid.operators.rank_select import grouped_rank_select
 
 __all__ = [
+    "batch_window_median",
     "event_time",
     "finished_windows",
     "pane_totals",
