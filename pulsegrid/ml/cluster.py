@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,13 @@ def with_distance(df: DataFrame, centers: list[list[float]], vector: str, cluste
     return df.withColumn("distance", squared_distance(vector, F.element_at(table, F.col(cluster) + 1)))
 
 
+def distance_to_mean(df: DataFrame, cluster: str = "cluster", vector: str = "embedding") -> DataFrame:
+    """Squared distance of each row to the mean vector of its given cluster."""
+    means = df.groupBy(cluster).agg(Summarizer.mean(vector_of(vector)).alias("m"))
+    centres = means.select(cluster, vector_to_array("m").alias("centre"))
+    return df.join(centres, cluster).withColumn("distance", squared_distance(vector, "centre")).drop("centre")
+
+
 def nearest_members(assigned: DataFrame, id_col: str, k: int = 20) -> DataFrame:
     return top_per_group(assigned, ["cluster"], [F.asc("distance"), F.asc(id_col)], k)
 

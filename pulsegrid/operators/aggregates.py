@@ -154,20 +154,14 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def purchase_report(df: DataFrame, user: str, product: str, price: str) -> DataFrame:
     """Purchases, distinct buyers, revenue and the most bought product (ties: the smallest).
 
-    Everything is derived from one (user, product) table, so no task sees all rows of a product.
+    Rows are reduced per product, and buyers per user, before anything meets in one task.
     """
-    pairs = df.groupBy(F.col(user).alias("user"), F.col(product).alias("product")).agg(
-        F.count("*").alias("n"), F.sum(price).alias("revenue")
+    by_product = df.groupBy(F.col(product).alias("product")).agg(F.count("*").alias("n"), F.sum(price).alias("revenue"))
+    best = F.min(F.struct((-F.col("n")).alias("less"), "product"))
+    totals = by_product.agg(F.sum("n").alias("purchases"), F.sum("revenue").alias("revenue"), best.alias("best"))
+    totals = totals.select(
+        "purchases", "revenue", F.col("best.product").alias("top_product"), (-F.col("best.less")).alias("top_times")
     )
-    totals = pairs.agg(
-        F.sum("n").alias("purchases"), F.countDistinct("user").alias("buyers"), F.sum("revenue").alias("revenue")
-    )
-    popular = (
-        pairs.groupBy("product")
-        .agg(F.sum("n").alias("times"))
-        .orderBy(F.desc("times"), F.asc("product"))
-        .limit(1)
-        .select(F.col("product").alias("top_product"), F.col("times").alias("top_times"))
-    )
-    # both sides hold a single row
-    return totals.withColumn("_one", F.lit(1)).join(popular.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    buyers = df.agg(F.countDistinct(user).alias("buyers"))
+    both = totals.unionByName(buyers, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("purchases", "buyers", "revenue", "top_product", "top_times")])

@@ -85,7 +85,7 @@ def flat_values(lists: DataFrame, column: str = "values") -> DataFrame:
     return lists.withColumn(column, plain)
 
 
-def lookup_dim(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner", max_rows: int = 2_000_000) -> DataFrame:
+def lookup_dim(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner", max_rows: int = 500_000) -> DataFrame:
     """Join a dimension: broadcast when a count that stops at ``max_rows`` proves it small, else a plain join."""
     small = dim.limit(max_rows + 1).count() <= max_rows
     return facts.join(F.broadcast(dim) if small else dim, on, how)

@@ -36,8 +36,12 @@ def slice_totals(df: DataFrame, key: str, slices: int, value: str) -> DataFrame:
 
 
 def tagged_partitions(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Rows tagged with the number of the range partition they were placed in."""
-    return df.repartitionByRange(parts, key).withColumn("partition", F.spark_partition_id())
+    """Rows tagged with the number of the range partition they were placed in.
+
+    The other columns break ties, so that a hot key fills several partitions instead of one.
+    """
+    ties = [c for c in df.columns if c != key]
+    return df.repartitionByRange(parts, key, *ties).withColumn("partition", F.spark_partition_id())
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
@@ -58,10 +62,18 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
-def layout(df: DataFrame, partitions: int | None = None, key: str | None = None, shrink: bool = False) -> DataFrame:
-    """Repartition (optionally by key) or, with ``shrink``, merge partitions without a shuffle."""
+def layout(
+    df: DataFrame, partitions: int | None = None, key: str | None = None, shrink: bool = False, spread: int = 1
+) -> DataFrame:
+    """Repartition (optionally by key) or, with ``shrink``, merge partitions without a shuffle.
+
+    With ``spread`` the rows of one key are placed in up to that many partitions.
+    """
     if shrink:
         return df.coalesce(partitions)
     if key is None:
         return df.repartition(partitions)
-    return df.repartition(partitions, key) if partitions else df.repartition(key)
+    places = [F.col(key)]
+    if spread > 1:
+        places.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    return df.repartition(partitions, *places) if partitions else df.repartition(*places)

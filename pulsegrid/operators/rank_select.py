@@ -158,28 +158,31 @@ def grouped_rank_select(
     one bucket's distinct values. Use a second level for long-tailed columns. ``weight`` counts a
     row several times.
     """
+    if not groups:
+        raise ValueError("name at least one group; rank_select and bucketed_median answer for a whole column")
     values = df.select(*groups, F.col(column).alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
     values = values.filter(F.col("_v").isNotNull())
     extent = values.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
     bounds = extent.withColumn("_need", rank_position(F.col("_n"), q)).drop("_n")
+    placed = _attach(values, bounds, groups)
 
     by_bucket = Window.partitionBy(*groups).orderBy("_b")
     for _ in range(levels):
-        placed = _attach(values, bounds, groups).withColumn("_b", _bucket(buckets))
-        histogram = placed.groupBy(*groups, "_b").agg(
-            F.sum("_w").alias("_c"), F.max("_need").alias("_need"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        histogram = (
+            placed.withColumn("_b", _bucket(buckets))
+            .groupBy(*groups, "_b")
+            .agg(F.sum("_w").alias("_c"), F.max("_need").alias("_need"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         )
         bounds = (
             histogram.withColumn("_upto", F.sum("_c").over(by_bucket))
             .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_c") < F.col("_need")))
             .select(*groups, "_lo", "_hi", (F.col("_need") - F.col("_upto") + F.col("_c")).alias("_need"))
         )
-        values = _attach(values, bounds, groups).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        values = values.select(*groups, "_v", "_w")
+        # bounds of the located bucket replace those of the group, so one join per level is enough
+        placed = _attach(values, bounds, groups).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     by_value = Window.partitionBy(*groups).orderBy("_v")
     return (
-        _attach(values, bounds, groups)
-        .groupBy(*groups, "_v")
+        placed.groupBy(*groups, "_v")
         .agg(F.sum("_w").alias("_c"), F.max("_need").alias("_need"))
         .withColumn("_upto", F.sum("_c").over(by_value))
         .filter(F.col("_upto") >= F.col("_need"))

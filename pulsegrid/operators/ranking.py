@@ -31,9 +31,12 @@ def rank_report(df: DataFrame, key: str, target: str, conditions: Conditions, to
     totals = condition_filter(df, conditions).groupBy(F.col(key).cast("string").alias("key")).agg(
         F.count("*").alias("n"), F.sum(target).alias("total")
     )
-    by_count = totals.orderBy(F.desc("n"), "key").limit(top).select(F.lit("count").alias("ranking"), "key", F.col("n").alias("score"))
-    by_total = totals.orderBy(F.desc("total"), "key").limit(top).select(F.lit("amount").alias("ranking"), "key", F.col("total").alias("score"))
-    return by_count.unionByName(by_total)
+    scores = F.array(
+        F.struct(F.lit("count").alias("ranking"), F.col("n").alias("score")),
+        F.struct(F.lit("amount").alias("ranking"), F.col("total").alias("score")),
+    )
+    both = totals.select("key", F.inline(scores)).select("ranking", "key", "score")
+    return top_per_group(both, ["ranking"], [F.desc("score"), F.asc("key")], top).drop("rank")
 
 
 def top_k(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:

@@ -12,8 +12,8 @@ def union_bag(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def intersect_set(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows found in both."""
-    return a.select(*b.columns).intersect(b)
+    """Distinct rows found in both; each side is made distinct before the two meet."""
+    return a.select(*b.columns).distinct().intersect(b.distinct())
 
 
 def subtract_keep(a: DataFrame, b: DataFrame) -> DataFrame:

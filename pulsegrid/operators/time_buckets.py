@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions import epoch_millis
+from pulsegrid.functions import byte_length, epoch_millis
+from pulsegrid.operators.filters import Conditions, condition_filter, condition_key
 from pulsegrid.sources.keyrange import time_range
 
 
@@ -40,14 +41,65 @@ def time_distribution(
     """
     first, last, width = bucket_bounds(start_ms, end_ms, nodes, anchor)
     inside = df.filter(time_range(df, time_col, first, last))
+    total = F.count("*") if measure is None else F.sum(measure)
+    counted = inside.groupBy(_position(df, time_col, first, width).alias("pos")).agg(total.alias("amount"))
+    return fill_buckets(counted, first, width, nodes)
+
+
+def _position(df: DataFrame, time_col: str, first: int, width: int) -> Column:
+    """1-based bucket of a time."""
     if isinstance(df.schema[time_col].dataType, (T.TimestampType, T.TimestampNTZType)):
-        at: Column = epoch_millis(time_col)
+        at = epoch_millis(time_col)
     else:
         at = F.col(time_col)
-    pos = F.floor((at - F.lit(first)) / F.lit(width)).cast("long") + F.lit(1).cast("long")
+    return F.floor((at - F.lit(first)) / F.lit(width)).cast("long") + F.lit(1).cast("long")
+
+
+def distribution_report(
+    df: DataFrame,
+    time_col: str,
+    conditions: Conditions,
+    start_ms: int,
+    end_ms: int,
+    nodes: int,
+    measure: str | None = None,
+    payload: str = "payload",
+) -> DataFrame:
+    """Bytes, total count (or amount) and zero-filled distribution of the rows that meet the
+    conditions, as (result_key, field, value) rows keyed by the condition names.
+
+    One scan: rows are summed per bucket, and the whole report is read from that table of at most
+    ``nodes + 1`` rows. The rest after the last bucket counts in the totals only.
+    """
+    first, _, width = bucket_bounds(start_ms, end_ms, nodes)
+    key, name = condition_key(conditions), "count" if measure is None else "amount"
+    found = condition_filter(df, conditions).filter(time_range(df, time_col, start_ms, end_ms))
     total = F.count("*") if measure is None else F.sum(measure)
-    counted = inside.groupBy(pos.alias("pos")).agg(total.alias("amount"))
-    return fill_buckets(counted, first, width, nodes)
+    per_bucket = found.groupBy(_position(df, time_col, first, width).alias("pos")).agg(
+        total.alias("amount"), F.sum(byte_length(payload)).alias("bytes")
+    )
+    summed = per_bucket.agg(
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
+        F.map_from_entries(F.collect_list(F.struct("pos", "amount"))).alias("by_pos"),
+    )
+
+    def line(result: str, field: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(f"{key}_{result}").alias("result_key"), field.alias("field"), value.cast("string").alias("value")
+        )
+
+    positions = F.sequence(F.lit(1).cast("long"), F.lit(nodes).cast("long"))
+    buckets = F.transform(
+        positions,
+        lambda p: line(
+            f"distribution_{name}",
+            (F.lit(first).cast("long") + p * F.lit(width).cast("long")).cast("string"),
+            F.coalesce(F.try_element_at("by_pos", p), F.lit(0)),
+        ),
+    )
+    totals = F.array(line("bytesNum", F.lit("value"), F.col("bytes")), line(name, F.lit("value"), F.col("amount")))
+    return summed.select(F.inline(F.concat(totals, buckets)))
 
 
 def fill_buckets(counted: DataFrame, first: int, width: int, nodes: int) -> DataFrame:

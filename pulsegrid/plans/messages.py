@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsegrid.functions import byte_length
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import filters, lattice, ranking
 from pulsegrid.operators.joins import flat_values, value_lists
@@ -15,7 +14,7 @@ from pulsegrid.operators.rank_select import (
     middle_value,
     quantile_table,
 )
-from pulsegrid.operators.time_buckets import time_distribution
+from pulsegrid.operators.time_buckets import distribution_report, time_distribution
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.tables import EVENTS, SALES, event_messages, sale_messages, table
 
@@ -257,47 +256,14 @@ def _report_sql(amount, field):
                        CAST(CAST(coalesce(a, 0) AS BIGINT) AS VARCHAR) FROM range(1, 13) r(pos) LEFT JOIN d ON d.pos = r.pos"""
 
 
-def distribution_report(df, conditions, start, end, nodes, amount=None):
-    """Bytes, total count or amount, and the bucketed distribution as result rows.
-
-    One scan: rows are summed per bucket (remainder and totals included), everything else is read
-    from that small table.
-    """
-    from pulsegrid.operators.time_buckets import fill_buckets
-    from pulsegrid.sources import time_range
-
-    key, width = filters.condition_key(conditions), (end - start) // nodes
-    found = filters.condition_filter(df, conditions).filter(time_range(df, "ts", start, end))
-    pos = F.floor((F.col("saleTime") - start) / F.lit(width)).cast("long") + F.lit(1).cast("long")
-    total = F.sum(amount) if amount else F.count("*")
-    per_bucket = found.groupBy(pos.alias("pos")).agg(total.alias("amount"), F.sum(byte_length("payload")).alias("bytes"))
-    name = "amount" if amount else "count"
-    sums = per_bucket.agg(F.sum("bytes").alias("b"), F.sum("amount").alias("a")).select(
-        F.explode(
-            F.array(
-                F.struct(F.lit(f"{key}_bytesNum").alias("result_key"), F.coalesce("b", F.lit(0)).alias("v")),
-                F.struct(F.lit(f"{key}_{name}").alias("result_key"), F.coalesce("a", F.lit(0)).alias("v")),
-            )
-        ).alias("r")
-    )
-    buckets = fill_buckets(per_bucket.filter(F.col("pos") <= nodes).select("pos", "amount"), start, width, nodes)
-    return sums.select("r.result_key", F.lit("value").alias("field"), F.col("r.v").cast("string").alias("value")).unionByName(
-        buckets.select(
-            F.lit(f"{key}_distribution_{name}").alias("result_key"),
-            F.col("bucket_end").cast("string").alias("field"),
-            F.col("amount").cast("string").alias("value"),
-        )
-    )
-
-
 @query("distribution_report_count", _report_sql("count(*)", "count"))
 def distribution_report_count(spark, sf):
-    return distribution_report(sale_messages(spark, sf), SALE_RULES[:2], SALE_START, SALE_END, 12)
+    return distribution_report(sale_messages(spark, sf), "ts", SALE_RULES[:2], SALE_START, SALE_END, 12)
 
 
 @query("distribution_report_amount", _report_sql("CAST(sum(price) AS BIGINT)", "amount"))
 def distribution_report_amount(spark, sf):
-    return distribution_report(sale_messages(spark, sf), SALE_RULES[:2], SALE_START, SALE_END, 12, "price")
+    return distribution_report(sale_messages(spark, sf), "ts", SALE_RULES[:2], SALE_START, SALE_END, 12, "price")
 
 
 _SUBSETS = """s AS (

@@ -296,17 +296,10 @@ def kmeans_cost_by_k(spark, sf):
 def labelled_cluster_members(spark, sf):
     """Given labels as clusters: the members nearest to the mean vector of their label.
 
-    The means are partial sums by (label, position), so no task holds a cluster.
+    The means are merged from partial sums of each task, so no task holds a cluster.
     """
-    vectors = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    cells = vectors.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "v"))
-    means = cells.groupBy("label", "pos").agg(F.avg("v").alias("m"))
-    centres = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("c"))
-    centres = centres.select("label", F.transform("c", lambda x: x["m"]).alias("centre"))
-    from pulsegrid.functions import squared_distance
-
-    placed = vectors.join(centres, "label").withColumn("distance", squared_distance("embedding", "centre"))
-    near = cluster.nearest_members(placed.withColumnRenamed("label", "cluster"), "vec_id", 20)
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding", F.col("label").alias("cluster"))
+    near = cluster.nearest_members(cluster.distance_to_mean(vectors), "vec_id", 20)
     return near.select("cluster", "vec_id", "rank")
 
 

@@ -21,6 +21,7 @@ from pulsegrid.functions import (
     threshold_label,
 )
 from pulsegrid.operators import filters, joins, partitions, setops
+from pulsegrid.operators.aggregates import count_by
 from pulsegrid.operators.ranking import top_per_group
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.tables import (
@@ -123,8 +124,8 @@ def _words(spark, sf, name):
 
 @query("listed_words", f"WITH {_TOKENS} SELECT word, count(*) AS n FROM tk WHERE word IN (SELECT word FROM wl) GROUP BY 1")
 def listed_words(spark, sf):
-    kept = filters.listed_filter(_words(spark, sf, "documents"), "word", _words(spark, sf, "benchmark"), "word")
-    return kept.groupBy("word").agg(F.count("*").alias("n"))
+    counts = count_by(_words(spark, sf, "documents"), "word")
+    return filters.listed_filter(counts, "word", _words(spark, sf, "benchmark"), "word")
 
 
 @query(
@@ -132,8 +133,8 @@ def listed_words(spark, sf):
     f"WITH {_TOKENS} SELECT word, count(*) AS n FROM tk WHERE word NOT IN (SELECT word FROM wl) GROUP BY 1",
 )
 def unlisted_words(spark, sf):
-    kept = filters.listed_filter(_words(spark, sf, "documents"), "word", _words(spark, sf, "benchmark"), "word", "unlisted")
-    return kept.groupBy("word").agg(F.count("*").alias("n"))
+    counts = count_by(_words(spark, sf, "documents"), "word")
+    return filters.listed_filter(counts, "word", _words(spark, sf, "benchmark"), "word", "unlisted")
 
 
 @query(
@@ -235,8 +236,8 @@ def k_fold_split(spark, sf):
 
 @query("relayout", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1")
 def relayout(spark, sf):
-    """Rows placed by key once, then grouped by the same key without a second shuffle."""
-    placed = partitions.layout(table(spark, sf, "lineitem", "l_suppkey"), key="l_suppkey")
+    """Rows placed by key, each key over at most eight partitions, then counted."""
+    placed = partitions.layout(table(spark, sf, "lineitem", "l_suppkey", "l_orderkey"), key="l_suppkey", spread=8)
     return placed.groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
 

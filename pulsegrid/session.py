@@ -29,9 +29,15 @@ def build_session(app_name: str = "pulsegrid", master: str | None = None, **conf
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Fix the one runtime setting that changes answers: epoch arithmetic is in UTC."""
+    """Runtime settings the jobs rely on.
+
+    The zone changes answers: epoch arithmetic is in UTC. The other lets adaptive execution split a
+    hot key of a join even where the result is grouped by that key, at the price of one more shuffle.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") != "true":
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

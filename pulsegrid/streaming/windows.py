@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import byte_length
 from pulsegrid.operators.rank_select import grouped_rank_select
+from pulsegrid.session import durable
 
 __all__ = [
     "batch_window_median",
@@ -85,7 +86,8 @@ def value_counts(df: DataFrame, ts: str, pane_seconds: int, value: str) -> DataF
 
 def window_median(counts: DataFrame, size_seconds: int, slide_seconds: int, value: str, q: float = 0.5) -> DataFrame:
     """Exact order statistic of every sliding window from its (pane, value) counts."""
-    windows = windows_of_panes(counts, size_seconds, slide_seconds, [value])
+    # read three times below, so the expanded counts are stored once
+    windows = durable(windows_of_panes(counts, size_seconds, slide_seconds, [value]))
     return grouped_rank_select(windows, ["window_start"], value, q, weight="n", name="median")
 
 
