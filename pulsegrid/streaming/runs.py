@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pulsegrid.session import work_path
 
-__all__ = ["append_table", "latest_rows", "run_available", "start_into_table", "stored_batches"]
+__all__ = ["append_table", "compact", "latest_rows", "latest_since", "run_available", "start_into_table", "stored_batches"]
 
 
 def start_into_table(
@@ -56,13 +56,34 @@ def stored_batches(spark: SparkSession, path: str) -> DataFrame:
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest row of each key in a table of update-mode batches."""
-    rows = spark.read.parquet(path)
+    return _newest(spark.read.parquet(path), keys)
+
+
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     values = [c for c in rows.columns if c not in keys and c != "batch_id"]
     newest = F.max_by(F.struct(*values), "batch_id").alias("_r")
     grouped = rows.groupBy(*keys).agg(newest) if keys else rows.agg(newest)
     return grouped.select(*keys, "_r.*")
 
 
+def compact(spark: SparkSession, path: str, snapshot: str, keys: list[str]) -> int:
+    """Write the newest row of each key as a snapshot; returns the last batch it covers.
+
+    Later reads need only the snapshot and the batches after it, see :func:`latest_since`.
+    """
+    last = spark.read.parquet(path).agg(F.max("batch_id").alias("b")).first().b
+    rows = spark.read.parquet(path).filter(F.col("batch_id") <= last)
+    _newest(rows, keys).write.mode("overwrite").parquet(f"{snapshot}/batch_id={last}")
+    return last
+
+
+def latest_since(spark: SparkSession, path: str, snapshot: str, keys: list[str], last: int) -> DataFrame:
+    """Newest row of each key from the snapshot of batch ``last`` and the batches after it."""
+    newer = spark.read.parquet(path).filter(F.col("batch_id") > last)
+    known = spark.read.parquet(snapshot).filter(F.col("batch_id") == last)
+    return _newest(known.unionByName(newer), keys)
+
+
 def append_table(stream: DataFrame, name: str) -> DataFrame:
     """Run an append-mode query over everything available and give its rows."""
     return stored_batches(stream.sparkSession, run_available(stream, name, "append")).drop("batch_id")
