@@ -123,7 +123,7 @@ def strip_suffix(c: Column | str, n_chars: int = 24) -> Column:
 
 def word_tokens(c: Column | str, pattern: str = r"\s+") -> Column:
     """Non-empty tokens of a text."""
-    return F.filter(F.split(_col(c), pattern), lambda w: w != "")
+    return F.array_remove(F.split(_col(c), pattern), "")
 
 
 def rank_position(n: Column, q: float) -> Column:

@@ -42,16 +42,20 @@ def metrics_of(kind: str, scored: DataFrame) -> DataFrame:
 
 
 def score_areas(scored: DataFrame, score: str = "rawPrediction") -> dict[str, float]:
-    """Areas from continuous scores, for models that give them."""
-    return {
-        name: BinaryClassificationEvaluator(rawPredictionCol=score, labelCol="label", metricName=metric).evaluate(scored)
-        for name, metric in (("roc_area", "areaUnderROC"), ("pr_area", "areaUnderPR"))
-    }
+    """Areas from continuous scores, for models that give them; rows are scored once."""
+    kept = scored.select("label", score).persist()
+    try:
+        return {
+            name: BinaryClassificationEvaluator(rawPredictionCol=score, labelCol="label", metricName=metric).evaluate(kept)
+            for name, metric in (("roc_area", "areaUnderROC"), ("pr_area", "areaUnderPR"))
+        }
+    finally:
+        kept.unpersist()
 
 
 def evaluate_all(kind: str, train: DataFrame, test: DataFrame, models: Mapping[str, Mapping]) -> DataFrame:
     """One row of metrics per model; ``models`` maps a result name to (``model``, parameters)."""
-    train.persist()
+    held = [train.persist()] if test is train else [train.persist(), test.persist()]
     rows = []
     try:
         for name, spec in models.items():
@@ -61,7 +65,8 @@ def evaluate_all(kind: str, train: DataFrame, test: DataFrame, models: Mapping[s
             rows.append((name, *[float(v) if v is not None else None for v in row.values()]))
             columns = list(row)
     finally:
-        train.unpersist()
+        for df in held:
+            df.unpersist()
     schema = "model string, " + ", ".join(f"{c} double" for c in columns)
     return train.sparkSession.createDataFrame(rows, schema)
 

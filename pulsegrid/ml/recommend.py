@@ -42,6 +42,8 @@ def recommend_all(model: ALSModel, k: int, users: DataFrame | None = None, max_b
         recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
         return _flat(recs)
 
+    # an explicit number: scoring is heavy, so adaptive execution must not merge the small partitions
+    factors = factors.repartition(factors.sparkSession.sparkContext.defaultParallelism, "id")
     items = model.itemFactors.orderBy("id").toPandas()
     packed = factors.sparkSession.sparkContext.broadcast(
         (items["id"].to_numpy(np.int32), np.array(items["features"].tolist(), dtype=np.float32))
@@ -54,8 +56,10 @@ def recommend_all(model: ALSModel, k: int, users: DataFrame | None = None, max_b
             for at in range(0, len(batch), rows_at_once):
                 part = batch.iloc[at : at + rows_at_once]
                 scores = np.array(part["features"].tolist(), dtype=np.float32) @ matrix.T
+                best = np.sort(np.argpartition(-scores, top - 1, axis=1)[:, :top], axis=1)
                 # stable: equal scores keep the order of the product ids
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+                order = np.argsort(-np.take_along_axis(scores, best, axis=1), axis=1, kind="stable")
+                best = np.take_along_axis(best, order, axis=1)
                 yield pd.DataFrame(
                     {
                         "user": np.repeat(part["id"].to_numpy(np.int32), top),

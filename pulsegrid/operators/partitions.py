@@ -62,6 +62,16 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Spread a scan of few splits over all cores before heavy work per row.
+
+    A large input has more splits than cores and is left as it is. For plain scans only: the
+    partitions of a shuffled frame are not known without running it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def layout(
     df: DataFrame, partitions: int | None = None, key: str | None = None, shrink: bool = False, spread: int = 1
 ) -> DataFrame:

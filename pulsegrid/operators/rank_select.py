@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ def rank_select(
             _narrow(values, b, accuracy)
             if (b.lo, b.hi) == before:
                 break
-    return [_finish(values, b) for b in brackets]
+    return _finish(values, brackets)
 
 
 def _around(quantiles: list[float], accuracy: int):
@@ -114,13 +115,25 @@ def _narrow(values: DataFrame, b: _Bracket, accuracy: int) -> None:
             b.lo, b.hi, b.below, b.inside = side.lo, side.hi, side.below, side.inside
 
 
-def _finish(values: DataFrame, b: _Bracket) -> object:
-    if b.lo == b.hi:
-        return b.lo
-    counts = values.filter(_within(b)).groupBy("v").agg(F.count("*").alias("n"))
-    # at most finish_rows rows reach this window, whatever the size of the table
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")) + F.lit(b.below))
-    return upto.filter(F.col("upto") >= b.rank).agg(F.min("v").alias("v")).first().v
+def _finish(values: DataFrame, brackets: list[_Bracket]) -> list[object]:
+    """Pick all ranks from the values counted inside their brackets, in one job."""
+    found = {i: b.lo for i, b in enumerate(brackets) if b.lo == b.hi}
+    rest = {i: b for i, b in enumerate(brackets) if i not in found}
+    if rest:
+        matched = F.array_compact(F.array(*[F.when(_within(b), F.lit(i)) for i, b in rest.items()]))
+        needs = F.create_map(*[F.lit(x) for i, b in rest.items() for x in (i, b.rank - b.below)])
+        counts = (
+            values.filter(reduce(lambda x, y: x | y, map(_within, rest.values())))
+            .select("v", F.explode(matched).alias("b"))
+            .groupBy("b", "v")
+            .agg(F.count("*").alias("n"))
+        )
+        # at most finish_rows rows of a bracket reach this window, whatever the size of the table
+        upto = F.sum("n").over(Window.partitionBy("b").orderBy("v"))
+        picked = counts.withColumn("upto", upto).filter(F.col("upto") >= needs[F.col("b")])
+        # one row per quantile comes back
+        found.update({row.b: row.v for row in picked.groupBy("b").agg(F.min("v").alias("v")).collect()})
+    return [found[i] for i in range(len(brackets))]
 
 
 def quantile_table(df: DataFrame, column: str, named: dict[str, float], **options) -> DataFrame:

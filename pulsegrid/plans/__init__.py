@@ -2,6 +2,7 @@
 
 from pulsegrid.plans import (  # noqa: F401
     graphs,
+    jobs,
     messages,
     models,
     power,

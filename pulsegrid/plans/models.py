@@ -8,11 +8,12 @@ from pulsegrid.functions import threshold_label
 from pulsegrid.ml import cluster, features, models, online, recommend, reduce
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import filters
+from pulsegrid.operators.partitions import spread_out
 from pulsegrid.operators.ranking import top_per_group
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.streams import table_stream
 from pulsegrid.plans.tables import RATINGS, part_titles, rating_triples, table
-from pulsegrid.session import work_path
+from pulsegrid.session import durable, work_path
 
 # ---- meter models: calendar parts and order figures against the price of a line
 
@@ -35,12 +36,20 @@ _CATEGORIES, _NUMBERS = ["year", "month", "day"], ["quantity", "line", "discount
 
 
 def _prepared(spark, sf, label="label"):
-    rows = _readings(spark, sf).withColumn("label", F.col(label))
+    rows = spread_out(_readings(spark, sf)).withColumn("label", F.col(label))
     model = features.one_hot_pipeline(_CATEGORIES, _NUMBERS).fit(rows)
     return model, model.transform(rows).select("id", "ts", "label", "features")
 
 
-@query("one_hot_features")
+_ROWS = """rd AS (SELECT l_shipdate AS ts, l_quantity AS quantity, CAST(l_linenumber AS DOUBLE) AS line, l_discount * 100 AS discount,
+    l_extendedprice / 1000 AS active_kw, CASE WHEN l_extendedprice / 1000 >= 40 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM lineitem)"""
+
+
+@query(
+    "one_hot_features",
+    f"""WITH {_ROWS}, w AS (SELECT count(DISTINCT year(ts)) + count(DISTINCT month(ts)) + count(DISTINCT day(ts)) + 3 + 3 AS width FROM rd)
+        SELECT label, CAST((SELECT width FROM w) AS INTEGER) AS width, count(*) AS n FROM rd GROUP BY 1""",
+)
 def one_hot_features(spark, sf):
     """Width and number of non-zero slots of the encoded rows."""
     from pyspark.ml.functions import vector_to_array
@@ -50,7 +59,13 @@ def one_hot_features(spark, sf):
     return hot.groupBy("label", F.size("x").alias("width")).agg(F.count("*").alias("n"))
 
 
-@query("standardised_columns")
+def _scaled_sql(column):
+    return f"""SELECT '{column}' AS "column", 0.0::DOUBLE AS mean, 1.0::DOUBLE AS variance,
+      round((min({column}) - avg({column})) / stddev_samp({column}), 6) AS low,
+      round((max({column}) - avg({column})) / stddev_samp({column}), 6) AS high FROM rd"""
+
+
+@query("standardised_columns", f"WITH {_ROWS} " + " UNION ALL ".join(_scaled_sql(c) for c in ("quantity", "line", "discount")))
 def standardised_columns(spark, sf):
     """Columns after scaling to mean 0 and deviation 1."""
     from pyspark.ml.functions import vector_to_array
@@ -59,7 +74,49 @@ def standardised_columns(spark, sf):
     scaled = features.standardiser("features", "scaled").fit(rows).transform(rows)
     split = scaled.select(vector_to_array("scaled").alias("x")).select(*[F.col("x")[i].alias(c) for i, c in enumerate(_NUMBERS)])
     stats = agg.column_statistics(split, _NUMBERS)
-    return stats.select("column", (F.round("mean", 6) + 0.0).alias("mean"), F.round("variance", 6).alias("variance"), "nonzeros")
+    return stats.select("column", *[(F.round(c, 6) + 0.0).alias(c) for c in ("mean", "variance", "low", "high")])
+
+
+@query(
+    "linear_fit",
+    f"""WITH {_ROWS} SELECT round(regr_slope(active_kw, quantity), 6) AS slope, round(regr_intercept(active_kw, quantity), 6) AS intercept FROM rd""",
+)
+def linear_fit(spark, sf):
+    """One-feature linear regression, whose solution has a closed form."""
+    rows = features.assembled(_readings(spark, sf), ["quantity"], "active_kw")
+    fitted = models.estimator("regress", "linear", solver="normal").fit(rows)
+    found = [(float(fitted.coefficients[0]), float(fitted.intercept))]
+    df = spark.createDataFrame(found, "slope double, intercept double")
+    return df.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query(
+    "bayes_parameters",
+    f"""WITH {_ROWS}, s AS (SELECT label, count(*) AS n, sum(quantity) AS q, sum(line) AS l, sum(floor(discount + 0.5)) AS d FROM rd GROUP BY 1)
+        SELECT label, round(ln(n + 1.0) - ln((SELECT count(*) FROM rd) + 2.0), 9) AS prior, round(ln(q + 1) - ln(q + l + d + 3), 9) AS quantity,
+               round(ln(l + 1) - ln(q + l + d + 3), 9) AS line, round(ln(d + 1) - ln(q + l + d + 3), 9) AS discount FROM s""",
+)
+def bayes_parameters(spark, sf):
+    """Smoothed log probabilities of a naive Bayes model of three whole-number columns."""
+    whole = _readings(spark, sf).withColumn("discount", F.floor(F.col("discount") + 0.5).cast("double"))
+    fitted = models.estimator("classify", "bayes", smoothing=1.0).fit(features.assembled(whole, _NUMBERS, "label"))
+    found = [
+        (float(c), *[round(float(x), 9) for x in (fitted.pi[c], *fitted.theta.toArray()[c])]) for c in range(fitted.numClasses)
+    ]
+    return spark.createDataFrame(found, "label double, prior double, quantity double, line double, discount double")
+
+
+@query(
+    "score_roc_area",
+    """WITH g AS (SELECT l_discount AS s, CAST(count(*) FILTER (WHERE l_tax >= 0.04) AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE l_tax < 0.04) AS DOUBLE) AS n FROM lineitem GROUP BY 1),
+       c AS (SELECT p, n, sum(p) OVER (ORDER BY s DESC) - p AS above FROM g)
+       SELECT round(sum(n * (above + p / 2)) / (sum(p) * sum(n)), 9) AS roc_area FROM c""",
+)
+def score_roc_area(spark, sf):
+    """Area under the ROC curve of a score with ties."""
+    scored = table(spark, sf, "lineitem").select(threshold_label("l_tax", 0.04).alias("label"), F.col("l_discount").alias("score"))
+    area = models.score_areas(scored, "score")["roc_area"]
+    return spark.createDataFrame([(round(area, 9),)], "roc_area double")
 
 
 _CLASSIFIERS = {
@@ -107,11 +164,13 @@ def bayes_sweep(spark, sf):
 def score_areas(spark, sf):
     """Areas from raw scores of the linear machine and the logistic model."""
     _, rows = _prepared(spark, sf)
+    rows.persist()
     found = []
     for name in ("svm", "logistic"):
         scored = models.estimator("classify", name, maxIter=5).fit(rows).transform(rows)
         areas = models.score_areas(scored)
         found.append((name, areas["roc_area"], areas["pr_area"]))
+    rows.unpersist()
     return spark.createDataFrame(found, "model string, roc_area double, pr_area double")
 
 
@@ -166,7 +225,7 @@ def minute_profile_model(spark, sf):
 @query("predict_at_times")
 def predict_at_times(spark, sf):
     """Order dates as requested times: the actual reading, a model's answer and its error."""
-    rows = _readings(spark, sf)
+    rows = spread_out(_readings(spark, sf))
     encoder = features.one_hot_pipeline(_CATEGORIES, []).fit(rows)
     fitted = models.estimator("regress", "tree", maxDepth=5).fit(
         encoder.transform(rows.withColumn("label", F.col("active_kw")))
@@ -183,16 +242,14 @@ def predict_at_times(spark, sf):
 @query("als_recommendations")
 def als_recommendations(spark, sf):
     """Ten products for every customer, with titles."""
-    ratings = rating_triples(spark, sf)
-    model = recommend.train_als(ratings, rank=10, iterations=3, reg=0.1)
-    return recommend.recommend(model, ratings.select("user").distinct(), 10, part_titles(spark, sf)).select(
-        "user", "rank", "product", "title"
-    )
+    model = recommend.train_als(rating_triples(spark, sf), rank=10, iterations=3, reg=0.1)
+    found = recommend.recommend_all(model, 10).join(part_titles(spark, sf), "product")
+    return found.select("user", "rank", "product", "title")
 
 
 @query("als_rating_errors")
 def als_rating_errors(spark, sf):
-    ratings = rating_triples(spark, sf)
+    ratings = durable(rating_triples(spark, sf))
     model = recommend.train_als(ratings, rank=10, iterations=3, reg=0.1)
     return recommend.rating_errors(ratings, recommend.predict_pairs(model, ratings))
 
@@ -200,9 +257,9 @@ def als_rating_errors(spark, sf):
 @query("als_mean_average_precision")
 def als_mean_average_precision(spark, sf):
     """MAP at 10 over all customers, and over the whole lists by Spark's own evaluator."""
-    ratings = rating_triples(spark, sf)
+    ratings = durable(rating_triples(spark, sf))
     model = recommend.train_als(ratings, rank=10, iterations=3, reg=0.1)
-    predicted = recommend.recommend_all(model, 10)
+    predicted = durable(recommend.recommend_all(model, 10))
     full = recommend.ranking_map(ratings, predicted)
     return recommend.mean_average_precision(ratings, predicted, 10).withColumn("list_map", F.lit(full))
 

@@ -185,5 +185,5 @@ def expiring_results(spark, sf):
     counts = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("count"))
     store = MetricTable(spark, work_path(spark, "expiring"))
     store.put(metric_rows(counts, F.col("l_returnflag"), {"old": "count"}), "ranks", 0, ttl_seconds=-1)
-    store.put(metric_rows(counts, F.col("l_returnflag"), {"count": "count"}), "ranks", 1, ttl_seconds=3600)
+    store.put(metric_rows(counts, F.col("l_returnflag"), {"count": "count"}), "ranks", 1, ttl_seconds=86_400)
     return store.latest("ranks")

@@ -30,12 +30,9 @@ def json_lines_totals(spark, sf):
 def array_batch_split(spark, sf):
     """Two glued array batches per line of text."""
     lines = table(spark, sf, "lineitem").select(
-        F.format_string(
-            '[{"SID":"%d","price":%d}][{"SID":"%d","price":"%d"}]',
-            "l_suppkey",
-            F.col("l_quantity").cast("long"),
-            "l_partkey",
-            "l_linenumber",
+        F.concat(
+            F.lit('[{"SID":"'), "l_suppkey", F.lit('","price":'), F.col("l_quantity").cast("long"),
+            F.lit('}][{"SID":"'), "l_partkey", F.lit('","price":"'), "l_linenumber", F.lit('"}]'),
         ).alias("payload")
     )
     from pulsegrid.schema import MESSAGE

@@ -9,7 +9,7 @@ from pulsegrid.functions import cents, json_field, word_tokens
 from pulsegrid.operators import filters
 from pulsegrid.plans.messages import _IN_SUBSET, _SUBSETS, SALE_RULES
 from pulsegrid.plans.registry import query
-from pulsegrid.plans.tables import EVENTS, SALES, sale_messages, table
+from pulsegrid.plans.tables import EVENTS, SALES, event_messages, table
 from pulsegrid.session import pin_session, work_path
 from pulsegrid.sinks import MetricTable, archive_stream, metric_rows
 from pulsegrid.sources import open_stream, scan_cells, write_cells
@@ -293,20 +293,20 @@ def stream_archive(spark, sf):
 
 @query(
     "incremental_kpis",
-    f"WITH {SALES} SELECT sid, count(*) AS n FROM sl GROUP BY 1 ORDER BY n DESC, sid LIMIT 10",
+    f"WITH {EVENTS} SELECT sid, count(*) AS n, CAST(sum(price) AS BIGINT) AS amount FROM ev GROUP BY 1 ORDER BY n DESC, sid LIMIT 10",
 )
 def incremental_kpis(spark, sf):
     """New cells are added to running totals as they arrive; the ranking is read from the totals."""
     path = work_path(spark, "growing")
-    sales = sale_messages(spark, sf)
-    write_cells(
-        sales.select(
-            F.col("saleTime").alias("row_key"), F.lit("cf").alias("family"), F.col("SID").alias("qualifier"), F.col("price").cast("string").alias("value")
-        ),
-        path,
+    cells = event_messages(spark, sf).select(
+        F.col("saleTime").alias("row_key"),
+        F.lit("cf").alias("family"),
+        F.col("SID").alias("qualifier"),
+        F.col("price").cast("string").alias("value"),
     )
-    stored = spark.read.parquet(path)
-    cells = open_stream(spark, "parquet", path, stored.schema)
-    totals = st.running_totals(cells.withColumnRenamed("qualifier", "sid"), ["sid"])
+    write_cells(cells, path)
+    arriving = open_stream(spark, "parquet", path, spark.read.parquet(path).schema)
+    messages = arriving.select(F.col("qualifier").alias("sid"), F.col("value").cast("long").alias("price"))
+    totals = st.running_totals(messages, ["sid"], "price")
     current = st.latest_rows(spark, st.run_available(totals, "kpis"), ["sid"])
     return current.orderBy(F.desc("n"), "sid").limit(10)

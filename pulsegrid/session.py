@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def build_session(app_name: str = "pulsegrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,9 +39,20 @@ def pin_session(spark: SparkSession) -> SparkSession:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     if spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") != "true":
         spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    _size_shuffles(spark)
     return spark
 
 
+def _size_shuffles(spark: SparkSession) -> None:
+    """Start cluster shuffles with many small partitions, which adaptive execution merges by measured
+    size; a fixed small number would make the partitions of a large table too large to hold."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
+        return
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * sc.defaultParallelism)
+    spark.conf.set(INITIAL_PARTITIONS, str(min(wanted, 65_536)))
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder shared by all executors: the session's checkpoint folder.
 

@@ -17,10 +17,13 @@ def day_of_millis(key: Column | str) -> Column:
 
 
 def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
-    """Store cells (``row_key`` in epoch ms, ``family``, ``qualifier``, ``value``) under their day."""
-    cells.withColumn("row_key", F.col("row_key").cast("long")).withColumn(
-        "day", day_of_millis("row_key")
-    ).write.mode(mode).partitionBy("day").parquet(path)
+    """Store cells (``row_key`` in epoch ms, ``family``, ``qualifier``, ``value``) under their day.
+
+    Rebalancing by day gives a day few files instead of one from every task, and adaptive
+    execution splits a day that is too large for one task.
+    """
+    placed = cells.withColumn("row_key", F.col("row_key").cast("long")).withColumn("day", day_of_millis("row_key"))
+    placed.hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
 
 
 def scan_cells(
