@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import portable_bucket, squared_distance
 from pulsegrid.ml.features import vector_of
+from pulsegrid.operators.partitions import broadcast_if_small
 from pulsegrid.operators.ranking import top_per_group
+from pulsegrid.session import durable
 
 
 def fit_kmeans(df: DataFrame, k: int, iterations: int = 20, seed: int = 1, vector: str = "embedding") -> KMeansModel:
@@ -33,7 +35,7 @@ def distance_to_mean(df: DataFrame, cluster: str = "cluster", vector: str = "emb
     """Squared distance of each row to the mean vector of its given cluster."""
     means = df.groupBy(cluster).agg(Summarizer.mean(vector_of(vector)).alias("m"))
     centres = means.select(cluster, vector_to_array("m").alias("centre"))
-    return df.join(centres, cluster).withColumn("distance", squared_distance(vector, "centre")).drop("centre")
+    return df.join(broadcast_if_small(durable(centres), 10_000), cluster).withColumn("distance", squared_distance(vector, "centre")).drop("centre")
 
 
 def nearest_members(assigned: DataFrame, id_col: str, k: int = 20) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import portable_bucket
+from pulsegrid.operators.partitions import broadcast_if_small
 
 Conditions = Mapping[str, object] | Iterable[tuple[str, object]]
 
@@ -59,10 +60,10 @@ def year_split(df: DataFrame, ts: str, train_years: Iterable[int], test_years: I
 
 
 def listed_filter(df: DataFrame, column: str, listed: DataFrame, listed_col: str, keep: str = "listed") -> DataFrame:
-    """Rows whose value is (``listed``) or is not (``unlisted``) in a list; Spark broadcasts a list it knows is small."""
+    """Rows whose value is (``listed``) or is not (``unlisted``) in a list; a list counted small is broadcast."""
     if keep not in ("listed", "unlisted"):
         raise ValueError("keep is 'listed' or 'unlisted'")
-    words = listed.select(F.col(listed_col).alias("_listed")).distinct()
+    words = broadcast_if_small(listed.select(F.col(listed_col).alias("_listed")).distinct())
     how = "left_semi" if keep == "listed" else "left_anti"
     return df.join(words, F.col(column) == F.col("_listed"), how)
 
@@ -80,7 +81,7 @@ def point_lookup(requests: DataFrame, readings: DataFrame, on: str, value: str)
     The readings are reduced to the requested keys before they are grouped. The value of a
     duplicated key is its smallest reading, so that a retry gives the same answer.
     """
-    wanted = requests.select(on).distinct()
+    wanted = broadcast_if_small(requests.select(on).distinct())
     found = (
         readings.join(wanted, on, "left_semi")
         .groupBy(on)

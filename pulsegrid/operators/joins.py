@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.partitions import row_index
+from pulsegrid.operators.partitions import broadcast_if_small, row_index
+from pulsegrid.session import durable
 
 
 def join_by_key(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -14,17 +15,19 @@ def join_by_key(left: DataFrame, right: DataFrame, on: str | list[str], how: str
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 16, hot_rows: int = 1_000_000
+    left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 16, hot_share: float = 0.01
 ) -> DataFrame:
     """Join whose hot left keys are spread over ``salts`` tasks each.
 
     Use it when the result is grouped by the same key, where adaptive execution keeps the
-    partitioning and cannot split; count equal left rows first where there are many. A key is hot when the left side holds more than ``hot_rows``
-    rows of it; only the right rows of hot keys are copied, once per salt.
+    partitioning and cannot split; count equal left rows first where there are many. A key is hot
+    when it holds more than ``hot_share`` of the left rows, so there are fewer than 1 / hot_share
+    of them; only the right rows of hot keys are copied, once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps right rows once per match only for inner and left joins")
-    hot = left.groupBy(on).count().filter(F.col("count") > hot_rows).select(F.col(on), F.lit(salts).alias("_copies"))
+    hot = left.groupBy(on).count().filter(F.col("count") > hot_share * left.count())
+    hot = F.broadcast(durable(hot.select(on, F.lit(salts).alias("_copies"))))
     # a digest of the whole row, not a random number: a recomputed task must give the same salt
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     marked = left.join(hot, on, "left").withColumn(
@@ -75,8 +78,11 @@ def _with_chunk(counted: DataFrame, key: str, value: str, chunk_rows: int) -> Da
     sizes = counted.groupBy(F.col(key).alias("_k")).agg(
         F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("chunks")
     )
-    joined = counted.join(sizes, F.col(key).eqNullSafe(F.col("_k")))
-    return joined.drop("_k").withColumn("chunk", F.pmod(F.xxhash64(value), F.col("chunks")).cast("int"))
+    # only keys of several chunks: at most rows / chunk_rows of them
+    large = broadcast_if_small(durable(sizes.filter(F.col("chunks") > 1)))
+    joined = counted.join(large, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
+    joined = joined.withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    return joined.withColumn("chunk", F.pmod(F.xxhash64(value), F.col("chunks")).cast("int"))
 
 
 def flat_values(lists: DataFrame, column: str = "values") -> DataFrame:
@@ -87,8 +93,7 @@ def flat_values(lists: DataFrame, column: str = "values") -> DataFrame:
 
 def lookup_dim(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner", max_rows: int = 500_000) -> DataFrame:
     """Join a dimension: broadcast when a count that stops at ``max_rows`` proves it small, else a plain join."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(dim) if small else dim, on, how)
+    return facts.join(broadcast_if_small(dim, max_rows), on, how)
 
 
 def outer_with_default(left: DataFrame, right: DataFrame, on: str, defaults: dict[str, object]) -> DataFrame:

@@ -62,6 +62,16 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Mark a join side for broadcast when a count that stops at ``max_rows`` proves it small.
+
+    Spark estimates the size of an aggregated side from its input, and would shuffle the large side
+    before it learns better. A larger side stays a plain join side. The count runs the side once, so
+    give something cheap: a table, a short list or a checkpointed aggregate.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def spread_out(df: DataFrame) -> DataFrame:
     """Spread a scan of few splits over all cores before heavy work per row.
 

@@ -106,7 +106,8 @@ def fill_buckets(counted: DataFrame, first: int, width: int, nodes: int) -> Data
     """Complete a (pos, amount) table to 1..nodes and label each bucket with its end."""
     spine = counted.sparkSession.range(1, nodes + 1).withColumnRenamed("id", "pos")
     kind = counted.schema["amount"].dataType
-    return spine.join(counted, "pos", "left").select(
+    # at most one row per bucket
+    return spine.join(F.broadcast(counted), "pos", "left").select(
         "pos",
         (F.lit(first).cast("long") + F.col("pos") * F.lit(width).cast("long")).alias("bucket_end"),
         F.coalesce("amount", F.lit(0).cast(kind)).alias("amount"),

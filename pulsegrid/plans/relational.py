@@ -270,10 +270,10 @@ def inner_join(spark, sf):
        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""",
 )
 def salted_join(spark, sf):
-    """Lines of very large suppliers are spread before the join; the threshold adapts to the data."""
+    """Lines of suppliers that hold more than a hundredth of all lines are spread before the join."""
     lines = table(spark, sf, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_quantity")
     suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    joined = joins.salted_join(lines, suppliers, "l_suppkey", hot_rows=500)
+    joined = joins.salted_join(lines, suppliers, "l_suppkey")
     return joined.groupBy("l_suppkey", "s_nationkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
 
 

@@ -83,3 +83,10 @@ def test_grouped_needs_a_group(spark):
 def test_quantile_table_keeps_the_type(spark):
     found = quantile_table(frame(spark, LIST).withColumn("v", F.col("v") / 2), "v", {"median": 0.5})
     assert found.dtypes[1] == ("value", "double") and found.first().value == 6.0
+
+
+def test_grouped_without_broadcast_gives_the_same(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 10007).alias("v"))
+    small = grouped_rank_select(df, ["k"], "v", 0.9, buckets=32)
+    plain = grouped_rank_select(df, ["k"], "v", 0.9, buckets=32, max_broadcast_groups=0)
+    assert sorted(small.collect()) == sorted(plain.collect())

@@ -26,7 +26,7 @@ def test_salted_join_equals_plain_join(spark):
     right = spark.range(15).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     for how in ("inner", "left"):
         want = rows(left.join(right, "k", how))
-        assert rows(joins.salted_join(left, right, "k", how, salts=4, hot_rows=100), *left.join(right, "k", how).columns) == want
+        assert rows(joins.salted_join(left, right, "k", how, salts=4, hot_share=0.2), *left.join(right, "k", how).columns) == want
 
 
 def test_cogroup_keeps_both_sides_and_copies(spark):

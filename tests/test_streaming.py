@@ -192,3 +192,10 @@ def test_text_stream_and_offset_report(spark, tmp_path):
     assert rows(st.stored_batches(spark, str(tmp_path / "rows")), "word", "n") == [("x", 2), ("y", 1)]
     report = sources.offset_report(query)
     assert report[0]["batch_id"] == 0 and report[0]["rows"] == 1 and report[0]["end_offset"]
+
+
+def test_console_stream(spark, stream, folder):
+    writer = sinks.console(stream.groupBy("brand").count(), rows=1).option("checkpointLocation", folder)
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None
