@@ -91,7 +91,7 @@ def month_series(spark, sf):
     monthly = power.power_by_month(meter_readings(spark, sf))
     return monthly.agg(
         series_text("month", "month").alias("months"),
-        series_text("month", (F.col("active_kwh") * 60).cast("long")).alias("amounts"),
+        series_text("month", F.round(F.col("active_kwh") * 60).cast("long")).alias("amounts"),
     )
 
 
