@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,24 +99,31 @@ def rating_errors(actual: DataFrame, predicted: DataFrame) -> DataFrame:
     return joined.agg(F.avg(squared).alias("mse"), F.sqrt(F.avg(squared)).alias("rmse"), F.count("*").alias("n"))
 
 
-def average_precision(actual: DataFrame, predicted: DataFrame, k: int) -> DataFrame:
-    """AP@k per user of ``predicted``: ranked products against the distinct products the user has.
+def _precision_sums(actual: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Per user of ``predicted``: sum over hits of hits-so-far / rank, hits, and distinct products owned.
 
-    Score: sum over hits of hits-so-far / rank, over min(number of actual products, k). A user
-    without actual products scores 1. Only the first ``k`` ranks of a user meet in a window.
+    Owned products meet the ranks in a join on (user, product); only the ranks of a user meet in a window.
     """
     owned = actual.select("user", "product").distinct()
     sizes = owned.groupBy("user").agg(F.count("*").alias("n_actual"))
-    ranked = predicted.filter(F.col("rank") <= k).select("user", "product", "rank")
+    ranked = predicted.select("user", "product", "rank")
     hits = ranked.join(owned.withColumn("hit", F.lit(1)), ["user", "product"], "left").fillna(0, ["hit"])
     upto = F.sum("hit").over(Window.partitionBy("user").orderBy("rank"))
     scores = hits.withColumn("part", F.when(F.col("hit") == 1, upto / F.col("rank")).otherwise(0.0))
-    summed = scores.groupBy("user").agg(F.sum("part").alias("score"), F.sum("hit").alias("hits"))
-    joined = summed.join(sizes, "user", "left")
+    summed = scores.groupBy("user").agg(F.sum("part").alias("score"), F.sum("hit").cast("long").alias("hits"))
+    return summed.join(sizes, "user", "left")
+
+
+def average_precision(actual: DataFrame, predicted: DataFrame, k: int) -> DataFrame:
+    """AP@k per user of ``predicted``: ranked products against the distinct products the user has.
+
+    The sum over hits is divided by min(number of products owned, k). A user who owns none scores 1.
+    """
+    sums = _precision_sums(actual, predicted.filter(F.col("rank") <= k))
     value = F.when(F.col("n_actual").isNull(), F.lit(1.0)).otherwise(
         F.col("score") / F.least(F.col("n_actual"), F.lit(k))
     )
-    return joined.select("user", F.col("hits").cast("long").alias("hits"), value.alias("average_precision"))
+    return sums.select("user", "hits", value.alias("average_precision"))
 
 
 def mean_average_precision(actual: DataFrame, predicted: DataFrame, k: int) -> DataFrame:
@@ -126,11 +132,7 @@ def mean_average_precision(actual: DataFrame, predicted: DataFrame, k: int) -> D
     )
 
 
-def ranking_map(actual: DataFrame, predicted: DataFrame) -> float:
-    """Mean average precision over full rankings by Spark's evaluator."""
-    real = actual.groupBy("user").agg(F.collect_set(F.col("product").cast("double")).alias("label"))
-    lists = predicted.groupBy("user").agg(
-        F.sort_array(F.collect_list(F.struct("rank", F.col("product").cast("double").alias("p")))).alias("r")
-    )
-    both = real.join(lists, "user").select("label", F.transform("r", lambda x: x["p"]).alias("prediction"))
-    return RankingEvaluator(metricName="meanAveragePrecision").evaluate(both)
+def ranking_map(actual: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Mean average precision of whole rankings: divided by all products owned, over users who own some."""
+    sums = _precision_sums(actual, predicted).filter(F.col("n_actual").isNotNull())
+    return sums.agg(F.avg(F.col("score") / F.col("n_actual")).alias("ranking_map"))

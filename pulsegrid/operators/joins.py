@@ -14,6 +14,18 @@ def join_by_key(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(right, on, how)
 
 
+def outer_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+    """Left or right outer join that survives a hot key on the side that is not preserved.
+
+    Adaptive execution cannot split that side of an outer join. Matches come from an inner join,
+    where both sides can be split, and the rows without a match from an anti join on distinct keys.
+    """
+    kept, other = (left, right) if how == "left" else (right, left)
+    matched = left.join(right, on)
+    alone = anti_by_key(kept, other, on)
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 16, hot_share: float = 0.01
 ) -> DataFrame:

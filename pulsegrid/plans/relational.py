@@ -292,9 +292,9 @@ def left_outer_join(spark, sf):
     """SELECT o_orderkey AS key, o_custkey, l_partkey, l_quantity FROM lineitem RIGHT JOIN orders ON l_orderkey = o_orderkey""",
 )
 def right_outer_join(spark, sf):
-    return joins.join_by_key(_lines(spark, sf), _orders(spark, sf), "key", "right").select(
-        "key", "o_custkey", "l_partkey", "l_quantity"
-    )
+    """Lines are the side that may hold a hot key, orders the side that is kept whole."""
+    joined = joins.outer_join(_lines(spark, sf), _orders(spark, sf), "key", "right")
+    return joined.select("key", "o_custkey", "l_partkey", "l_quantity")
 
 
 @query(

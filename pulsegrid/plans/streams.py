@@ -80,7 +80,9 @@ def stream_city_totals(spark, sf):
 
     writer = totals.writeStream.outputMode("update").foreachBatch(save)
     writer = writer.option("checkpointLocation", work_path(spark, "city_state"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with st.state_partitions(spark):
+        query_ = writer.trigger(availableNow=True).start()
+    query_.awaitTermination()
     return store.latest("city")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,23 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pulsegrid.session import work_path
 
-__all__ = ["append_table", "compact", "latest_rows", "latest_since", "run_available", "start_into_table", "stored_batches"]
+__all__ = ["append_table", "compact", "latest_rows", "latest_since", "run_available", "start_into_table", "state_partitions", "stored_batches"]
+
+
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Partitions of the state of queries first started inside: as configured, but at most two per core.
+
+    Every state partition is a task and a file of every batch, and adaptive execution does not merge
+    them. A query that continues from a checkpoint keeps the number it began with.
+    """
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(configured), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
 
 
 def start_into_table(
@@ -33,7 +50,8 @@ def start_into_table(
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    with state_partitions(stream.sparkSession):
+        return writer.start()
 
 
 def run_available(

@@ -106,6 +106,17 @@ def test_average_precision_by_hand(spark):
     assert recommend.mean_average_precision(actual, predicted, 3).first().users == 3
 
 
+def test_ranking_map_agrees_with_sparks_evaluator(spark, als):
+    from pyspark.ml.evaluation import RankingEvaluator
+
+    actual, predicted = ratings(spark), recommend.recommend_all(als, 8)
+    owned = actual.groupBy("user").agg(F.collect_set(F.col("product").cast("double")).alias("label"))
+    ranked = predicted.groupBy("user").agg(F.sort_array(F.collect_list(F.struct("rank", F.col("product").cast("double").alias("p")))).alias("r"))
+    both = owned.join(ranked, "user").select("label", F.transform("r", lambda x: x["p"]).alias("prediction"))
+    want = RankingEvaluator(metricName="meanAveragePrecision").evaluate(both)
+    assert abs(recommend.ranking_map(actual, predicted).first().ranking_map - want) < 1e-12
+
+
 def test_similar_items(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.1]), (3, [0.0, 1.0]), (4, [0.0, 0.0])], "id int, features array<double>")
     found = recommend.similar_items(items, 1, 3).collect()

@@ -21,6 +21,12 @@ def test_joins_on_literals(spark):
     assert rows(joins.anti_by_key(a, b, "k")) == [(1, 2)]
 
 
+def test_outer_join_equals_plain_outer_join(spark):
+    a, b = pair(spark, A + [(None, 8)]), pair(spark, B + [(9, 9), (None, 7)], "w")
+    for how in ("left", "right"):
+        assert rows(joins.outer_join(a, b, "k", how), "k", "v", "w") == rows(a.join(b, "k", how), "k", "v", "w")
+
+
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(500).select(F.when(F.col("id") < 300, 7).otherwise(F.col("id") % 20).alias("k"), "id")
     right = spark.range(15).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
