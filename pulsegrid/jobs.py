@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pulsegrid.functions import half_up
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import power, ranking
-from pulsegrid.operators.filters import Conditions, condition_filter, condition_key
+from pulsegrid.operators.filters import Conditions, condition_key
 from pulsegrid.operators.time_buckets import distribution_report, time_distribution
 from pulsegrid.schema import MESSAGE
 from pulsegrid.sinks import MetricTable, metric_rows, report_json
@@ -33,7 +33,7 @@ def stored_messages(
 
 def total_report(messages: DataFrame, store: MetricTable, run: int, amount: str = "price") -> DataFrame:
     """Count, total, median, average and bytes under ``total``."""
-    panel = agg.kpi_panel(messages, amount)
+    panel = agg.kpi_panel(messages, amount, hold=True)
     fields = {"count": "n", "amount": "total", "median": "median", "average": "average", "bytes": "bytes"}
     store.put(metric_rows(panel, F.lit("total"), fields), "total_report", run)
     return store.latest("total_report")
@@ -87,7 +87,7 @@ def and_count_job(
 def refresh_kpis(messages: DataFrame, store: MetricTable, run: int, key: str = "SID", amount: str = "price") -> DataFrame:
     """All figures of the dashboard from a full rescan: the panel, and count and sum per key."""
     panel = metric_rows(
-        agg.kpi_panel(messages, amount),
+        agg.kpi_panel(messages, amount, hold=True),
         F.lit("kpi"),
         {"count": "n", "amount": "total", "median": "median", "average": "average", "bytes": "bytes"},
     )

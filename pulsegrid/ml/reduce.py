@@ -8,7 +8,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pulsegrid.ml.features import standardiser, vector_of
 

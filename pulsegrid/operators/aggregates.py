@@ -71,17 +71,29 @@ def approx_distinct_count(df: DataFrame, column: str, rsd: float = 0.02) -> Data
     return df.agg(F.approx_count_distinct(column, rsd).alias("n_distinct"))
 
 
-def kpi_panel(df: DataFrame, amount: str, payload: str = "payload") -> DataFrame:
-    """Count, total, median, average and bytes in one row."""
-    median = rank_select(df, amount, [0.5])[0]
-    kind = df.schema[amount].dataType
-    return df.agg(
-        F.count("*").alias("n"),
-        F.sum(amount).alias("total"),
-        F.lit(median).cast(kind).alias("median"),
-        (F.sum(amount) / F.count("*")).alias("average"),
-        F.sum(byte_length(payload)).alias("bytes"),
-    )
+def kpi_panel(df: DataFrame, amount: str, payload: str = "payload", hold: bool = False) -> DataFrame:
+    """Count, total, median, average and bytes in one row.
+
+    The median needs a few passes over the amounts. Set ``hold`` where a row is costly to make (parsed
+    from text): amounts and byte counts are then made once and kept for the passes.
+    """
+    figures = df.select(F.col(amount), byte_length(payload).alias("bytes"))
+    if hold:
+        figures = figures.persist()
+    try:
+        median = rank_select(figures, amount, [0.5])[0]
+        panel = figures.agg(
+            F.count("*").alias("n"),
+            F.sum(amount).alias("total"),
+            F.lit(median).cast(df.schema[amount].dataType).alias("median"),
+            (F.sum(amount) / F.count("*")).alias("average"),
+            F.sum("bytes").alias("bytes"),
+        )
+        # a held panel is read now, as its rows are about to be released
+        return df.sparkSession.createDataFrame([tuple(panel.first())], panel.schema) if hold else panel
+    finally:
+        if hold:
+            figures.unpersist()
 
 
 def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import filters, lattice, ranking
 from pulsegrid.operators.joins import flat_values, value_lists
+from pulsegrid.operators.partitions import spread_out
 from pulsegrid.operators.rank_select import (
     approximate_quantile,
     bucketed_median,
@@ -386,7 +387,7 @@ def top_rows(spark, sf):
         WHERE word <> '' GROUP BY 1 ORDER BY n DESC, word LIMIT 25""",
 )
 def top_words(spark, sf):
-    return ranking.top_words(table(spark, sf, "documents", "text"), "text", 25)
+    return ranking.top_words(spread_out(table(spark, sf, "documents", "text")), "text", 25)
 
 
 @query("key_lookup", f"WITH {EVENTS} SELECT event_id, brand, price FROM ev WHERE sid = '8'")

@@ -119,7 +119,8 @@ _TOKENS = r"""tk AS (SELECT word FROM (SELECT unnest(string_split_regex(text, '\
 def _words(spark, sf, name):
     from pulsegrid.functions import word_tokens
 
-    return table(spark, sf, name, "text").select(F.explode(word_tokens("text")).alias("word"))
+    texts = partitions.spread_out(table(spark, sf, name, "text"))
+    return texts.select(F.explode(word_tokens("text")).alias("word"))
 
 
 @query("listed_words", f"WITH {_TOKENS} SELECT word, count(*) AS n FROM tk WHERE word IN (SELECT word FROM wl) GROUP BY 1")

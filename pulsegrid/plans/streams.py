@@ -312,3 +312,44 @@ def incremental_kpis(spark, sf):
     totals = st.running_totals(messages, ["sid"], "price")
     current = st.latest_rows(spark, st.run_available(totals, "kpis"), ["sid"])
     return current.orderBy(F.desc("n"), "sid").limit(10)
+
+
+@query(
+    "stream_report_job",
+    f"""WITH {EVENTS}, w AS (SELECT (saletime // 1000) // 6 * 6 - o.o * 6 AS window_start, price FROM ev, (SELECT unnest(range(0, 50)) AS o) o),
+        r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY price) AS pos, count(*) OVER (PARTITION BY window_start) AS c FROM w)
+        SELECT 'total ' || brand AS report, count(*) AS n, CAST(sum(price) AS BIGINT) AS amount FROM ev GROUP BY 1
+        UNION ALL SELECT 'subset 1', count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click'
+        UNION ALL SELECT 'subset 3', count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click' AND ram = '69'
+        UNION ALL SELECT 'rank ' || sid, count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click' GROUP BY 1
+        UNION ALL SELECT 'windows', count(DISTINCT window_start), CAST(sum(price) AS BIGINT) FROM w
+        UNION ALL SELECT 'medians', count(*), CAST(sum(price) AS BIGINT) FROM r WHERE pos = greatest(1, floor((c + 1) * 0.5::DOUBLE))
+        UNION ALL SELECT 'archive', count(*), CAST(sum(price) AS BIGINT) FROM ev""",
+)
+def stream_report_job(spark, sf):
+    """All streaming reports over the events as one-message batches, summed up per report."""
+    message = F.to_json(F.struct(F.col("sid").alias("SID"), "brand", "ram", "price"))
+    batches = event_stream(spark, sf).select(
+        F.concat(F.lit("["), message, F.lit("]")).alias("payload"), F.col("ts").alias("arrived")
+    )
+    reports = st.StreamReports(spark, work_path(spark, "reports"), [("brand", "click"), ("ram", "69")], ["brand", "SID"])
+    for running in reports.start(batches).values():
+        running.awaitTermination()
+
+    def line(df, report, n, amount):
+        return df.select(report.alias("report"), n.cast("long").alias("n"), amount.cast("long").alias("amount"))
+
+    n, amount = F.col("n"), F.col("amount")
+    subsets, ranks = reports.subsets().filter("subset in (1, 3)"), reports.ranks().filter("subset = 1 and dim = 'SID'")
+    windows = reports.windows().agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    medians = reports.medians().agg(F.count("*").alias("n"), F.sum("median").alias("amount"))
+    price = json_field("value", "price", "long")
+    archive = scan_cells(spark, reports.archive(), 0, 4102444800000).agg(F.count("*").alias("n"), F.sum(price).alias("amount"))
+    return st.union_streams(
+        line(reports.totals(), F.concat(F.lit("total "), "brand"), n, amount),
+        line(subsets, F.concat(F.lit("subset "), F.col("subset").cast("string")), n, amount),
+        line(ranks, F.concat(F.lit("rank "), "value"), n, amount),
+        line(windows, F.lit("windows"), n, amount),
+        line(medians, F.lit("medians"), n, amount),
+        line(archive, F.lit("archive"), n, amount),
+    )

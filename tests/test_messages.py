@@ -93,6 +93,15 @@ def test_hard_label_areas_agree_with_evaluator(spark):
     assert row.accuracy == 0.85
 
 
+def test_kpi_panel_held_or_not(spark):
+    want = (4, 26, 5, 6.5, sum(len(x.encode()) for x in LINES))
+    assert tuple(agg.kpi_panel(messages(spark), "price").first()) == want
+    held = agg.kpi_panel(messages(spark), "price", hold=True)
+    assert tuple(held.first()) == want and held.dtypes == agg.kpi_panel(messages(spark), "price").dtypes
+    empty = agg.kpi_panel(messages(spark).filter("false"), "price", hold=True).first()
+    assert (empty.n, empty.total, empty.median) == (0, None, None)
+
+
 def test_purchase_report(spark):
     df = spark.createDataFrame([("u", "p", 3), ("u", "q", 4), ("v", "q", 5), ("w", "p", 1)], "u string, p string, v long")
     assert tuple(agg.purchase_report(df, "u", "p", "v").first()) == (4, 3, 13, "p", 2)
