@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm.exact_dedup import exact_groups
+from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.session import pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +39,8 @@ FROM (SELECT doc_id, {LOWERED} AS low FROM documents) t
 WINDOW g AS (PARTITION BY low)""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query(quality_sql())
+def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
