@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm.exact_dedup import exact_groups
+from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.session import pin_session
 
@@ -44,3 +45,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(quality_sql())
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
+@_query()
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
