@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.quality import judge_quality, quality_sql
+from pulsegrid.llm.warc import read_archives, write_archives
 from pulsegrid.session import pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +54,34 @@ def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def default_vocabulary() -> str:
+    """Place of the byte-level vocabulary of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query()
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = share_vocabulary(spark, default_vocabulary())
+    tokens = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), shared), shared)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+o AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN o ON p.d = o.d""")
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf_dir, "pages"))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
