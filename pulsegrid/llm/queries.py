@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.mixing import mix_sources
+from pulsegrid.llm.near_dedup import near_groups
 from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.llm.warc import read_archives, write_archives
 from pulsegrid.session import pin_session
@@ -85,3 +86,23 @@ FROM p LEFT JOIN o ON p.d = o.d""")
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(_table(spark, sf_dir, "pages"))
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query(f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM d),
+n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_n FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM c JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id
+  WHERE 100 * both_n >= 85 * (p.n_shingles + q.n_shingles - both_n)),
+r AS (SELECT doc_id, doc_id AS reach FROM n UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reach = l.x)
+SELECT n.doc_id, n_shingles, component_id, n.doc_id = component_id AS kept
+FROM n JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1) m ON n.doc_id = m.doc_id""")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
