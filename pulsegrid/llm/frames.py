@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.session import work_path
 
+MAX_BATCH_ROWS, MAX_BATCH_BYTES = 2000, 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,3 +33,12 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def packed(docs: DataFrame, *extra: Column) -> DataFrame:
     """The whole row in one column ``row``, so that helper columns cannot clash with names of the table."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *extra)
+
+
+def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches that stay small when rows are long."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > MAX_BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(MAX_BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BATCH_BYTES))
+    return df.mapInArrow(fn, schema)

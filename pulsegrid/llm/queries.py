@@ -12,6 +12,7 @@ from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
 from pulsegrid.llm.quality import judge_quality, quality_sql
+from pulsegrid.llm.substring_dedup import drop_repeats
 from pulsegrid.llm.warc import read_archives, write_archives
 from pulsegrid.session import pin_session
 
@@ -106,3 +107,19 @@ FROM n JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1) m ON n
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT rid, i, count(*) OVER (PARTITION BY array_to_string(w[i:i + 34], ' ')) AS n FROM p),
+g AS (SELECT rid, list_distinct(flatten(list(range(i, i + 35)))) AS gone FROM h WHERE n > 1 GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+              ELSE array_to_string(list_filter(w, lambda x, k: NOT list_contains(gone, k)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN g ON d.rid = g.rid""")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
