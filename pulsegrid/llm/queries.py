@@ -11,6 +11,7 @@ from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
+from pulsegrid.llm.pii import KINDS, TERM, find_personal_data
 from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.llm.substring_dedup import drop_repeats
 from pulsegrid.llm.warc import read_archives, write_archives
@@ -123,3 +124,13 @@ FROM d LEFT JOIN g ON d.rid = g.rid""")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query()
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    name = lambda kind, s: F.concat_ws(":", kind, s["start"].cast("string"), s["end"].cast("string"))
+    base = F.transform("spans", lambda s: name(s["kind"], s))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    every = F.concat(base, F.transform("terms", lambda s: name(F.lit(TERM), s)))
+    return found.select("doc_id", *counts, F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"))
