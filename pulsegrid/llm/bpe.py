@@ -14,7 +14,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.frames import map_batches
 from pulsegrid.llm.words import text_slices
 
 #: The white space of Unicode, and the piece pattern of the byte-level vocabulary.
@@ -35,7 +35,7 @@ CHUNK = re.compile(rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 SAFE_CUT = re.compile(rf"(?<=[^{SPACES}]) (?=[^{SPACES}])")
 BLOCK_CHARS = 1 << 20
 KNOWN_PIECES = 300_000
-KNOWN_PAIRS = 2_000_000
+KNOWN_PAIRS = 500_000
 SHORT = 48
 
 
@@ -46,6 +46,38 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class HashTable:
+    """Whole columns of non-negative 64-bit keys looked up at once; a key that is absent gives ``absent``."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, absent: int) -> None:
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, absent, np.int64)
+        todo, at = np.arange(len(keys)), self._place(keys)
+        while len(todo):  # each free place goes to one of its keys, the others move on
+            taken = self.keys[at] >= 0
+            self.keys[at[~taken]] = keys[todo[~taken]]
+            won = self.keys[at] == keys[todo]
+            self.values[at[won]] = values[todo[won]]
+            todo, at = todo[~won], (at[~won] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self._place(keys)
+        found, out = self.keys[at], self.values[at]
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            found = self.keys[at]
+            out[open_] = self.values[at]
+            more = (found != keys[open_]) & (found >= 0)
+            open_, at = open_[more], at[more]
+        return out
+
+
 class Vocabulary:
     """Token bytes, merge ranks and special tokens of a byte-level BPE file."""
 
@@ -57,54 +89,116 @@ class Vocabulary:
         letters = byte_letters()
         raw = lambda token: bytes(letters[c] for c in token)
         names = spec["model"]["vocab"]
-        self.ids = {raw(t): i for t, i in names.items()}
+        ids = {raw(t): i for t, i in names.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes = [b""] * (max([*names.values(), *self.special.values()]) + 1)
-        for token, i in self.ids.items():
+        for token, i in ids.items():
             self.bytes[i] = token
         for text, i in self.special.items():
             self.bytes[i] = text.encode()
         self.size = len(self.bytes)
-        self.ranks: dict[tuple[int, int], int] = {}
-        self.merged: list[int] = []
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks[names[left], names[right]] = rank
-            self.merged.append(names[left + right])
-        self.never = len(self.merged)
-        self.single = [self.ids[bytes([b])] for b in range(256)]
-        self.longest: dict[bytes, int] = {}  # by the first four bytes
-        for token in self.ids:
-            if len(token) > 3:
-                self.longest[token[:4]] = max(self.longest.get(token[:4], 0), len(token))
+        self.texts = pa.array(self.bytes, pa.large_binary())
+        self.single = np.array([ids[bytes([b])] for b in range(256)], np.int64)
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+        self.merged = np.array([names[a + b] for a, b in pairs], np.int64)
+        self.never = len(pairs)
+        self.rank_of = {(names[a], names[b]): r for r, (a, b) in enumerate(pairs)}
+        self.ranks = HashTable(np.array([a * self.size + b for a, b in self.rank_of], np.int64), np.arange(len(self.rank_of)), self.never)
+        self._grow_trie(ids)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def merge(self, piece: bytes) -> list[int]:
-        """The exact encoding: the pair of lowest rank, leftmost first, until none is left."""
-        ids = [self.single[b] for b in piece]
-        if len(ids) > SHORT:
-            return self._merge_long(ids)
-        ranks, never, get = self.ranks, self.never, self.ranks.get
-        order = [get(p, never) for p in zip(ids, ids[1:])]
-        while order:
-            rank = min(order)
-            if rank == never:
-                break
-            i = order.index(rank)
-            ids[i] = self.merged[rank]
-            del ids[i + 1], order[i]
-            if i:
-                order[i - 1] = ranks.get((ids[i - 1], ids[i]), never)
-            if i < len(order):
-                order[i] = ranks.get((ids[i], ids[i + 1]), never)
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same for long pieces with a heap over a linked list."""
-        n, ranks = len(ids), self.ranks
+    def _grow_trie(self, ids: dict[bytes, int]) -> None:
+        """``steps``: (node, byte) to node; ``token``: the token that ends at a node, or -1."""
+        nodes: dict[int, int] = {}
+        token = [-1]
+        for name, i in ids.items():
+            node = 0
+            for byte in name:
+                key = node << 8 | byte
+                if key not in nodes:
+                    nodes[key] = len(token)
+                    token.append(-1)
+                node = nodes[key]
+            token[node] = i
+        self.token = np.array(token, np.int64)
+        self.steps = HashTable(np.array(list(nodes), np.int64), np.array(list(nodes.values()), np.int64), -1)
+
+    def guess(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match of all pieces side by side; ``ends`` are the ends of the pieces in ``data``.
+
+        Returns the tokens of all pieces in order, and how many each piece has.
+        """
+        at = np.concatenate(([0], ends[:-1]))
+        piece = np.flatnonzero(at < ends)
+        at = at[piece]
+        owners, tokens = [], []
+        while len(piece):
+            best, length = self.single[data[at]], np.ones(len(at), np.int64)
+            row, node, depth = np.arange(len(at)), np.zeros(len(at), np.int64), 0
+            while len(row):
+                node = self.steps.get(node << 8 | data[at[row] + depth])
+                depth += 1
+                alive = node >= 0
+                row, node = row[alive], node[alive]
+                ending = self.token[node] >= 0
+                best[row[ending]], length[row[ending]] = self.token[node[ending]], depth
+                inside = at[row] + depth < ends[piece[row]]
+                row, node = row[inside], node[inside]
+            owners.append(piece)
+            tokens.append(best)
+            at = at + length
+            more = at < ends[piece]
+            piece, at = piece[more], at[more]
+        owner = np.concatenate([np.zeros(0, np.int64), *owners])
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate([np.zeros(0, np.int64), *tokens])[order], np.bincount(owner, minlength=len(ends))
+
+    def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The exact encoding of all pieces side by side: the pair of lowest rank, leftmost first, until none is left."""
+        ids = self.single[data]
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        done_ids, done_owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        ranks = np.full(len(ids), self.never)  # of each token with the next one of its piece
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        ranks[inner] = self.ranks.get(ids[inner] * self.size + ids[inner + 1])
+        while len(ids):
+            new = np.ones(len(ids), bool)
+            new[1:] = owner[1:] != owner[:-1]
+            starts = np.flatnonzero(new)
+            least = np.minimum.reduceat(ranks, starts)
+            lengths = np.diff(np.append(starts, len(ids)))
+            if (least == self.never).any():
+                ready = np.repeat(least == self.never, lengths)
+                done_ids.append(ids[ready])
+                done_owner.append(owner[ready])
+                ids, owner, ranks = ids[~ready], owner[~ready], ranks[~ready]
+                lengths, least = lengths[least < self.never], least[least < self.never]
+                if not len(ids):
+                    break
+            spot = np.flatnonzero(ranks == np.repeat(least, lengths))
+            spot = spot[np.concatenate(([True], owner[spot[1:]] != owner[spot[:-1]]))]
+            ids[spot] = self.merged[ranks[spot]]
+            keep = np.ones(len(ids), bool)
+            keep[spot + 1] = False
+            spot -= np.arange(len(spot))  # one token is gone before each later spot
+            ids, owner, ranks = ids[keep], owner[keep], ranks[keep]
+            for left in (spot - 1, spot):
+                left = left[(left >= 0) & (left + 1 < len(ids))]
+                left = left[owner[left] == owner[left + 1]]
+                ranks[left] = self.ranks.get(ids[left] * self.size + ids[left + 1])
+            last = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))
+            ranks[last] = self.never
+        owner = np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(done_ids)[order], np.bincount(owner, minlength=len(sizes))
+
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """The same for one long piece, with a heap over a linked list."""
+        ids, ranks = self.single[np.frombuffer(piece, np.uint8)].tolist(), self.rank_of
+        n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
@@ -113,7 +207,7 @@ class Vocabulary:
             j = after[i]
             if j >= n or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = self.merged[rank], -1
+            ids[i], ids[j] = int(self.merged[rank]), -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
@@ -122,101 +216,128 @@ class Vocabulary:
                     pair = (ids[left], ids[after[left]])
                     if pair in ranks:
                         heapq.heappush(heap, (ranks[pair], left, pair))
-        return [x for x in ids if x >= 0]
-
-    def guess(self, piece: bytes) -> list[int]:
-        """Greedy longest match."""
-        out, at, n, ids, longest = [], 0, len(piece), self.ids, self.longest
-        while at < n:
-            end = min(n, at + longest.get(piece[at : at + 4], 3))
-            token = ids.get(piece[at:end])
-            while token is None:  # single bytes are all tokens
-                end -= 1
-                token = ids.get(piece[at:end])
-            out.append(token)
-            at = end
-        return out
-
-    def _fits(self, code: int) -> bool:
-        left, right = divmod(code, self.size)
-        return self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
+        return np.array([x for x in ids if x >= 0], np.int64)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Encode many pieces: guesses, one test of all adjacent pairs, exact merging of the failing ones."""
-        guesses = [self.guess(p) for p in pieces]
-        sizes = np.fromiter(map(len, guesses), np.int64, len(guesses))
-        flat = np.fromiter((i for g in guesses for i in g), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(pieces)), sizes)
-        inner = owner[1:] == owner[:-1]
-        codes = flat[:-1][inner] * self.size + flat[1:][inner]
+    def _compatible(self, codes: np.ndarray) -> np.ndarray:
+        """Whether the two tokens of each pair are what merging their bytes gives."""
         distinct, where = np.unique(codes, return_inverse=True)
         if len(self.pairs) > KNOWN_PAIRS:
             self.pairs.clear()
-        fits = np.zeros(len(distinct), bool)
-        for k, code in enumerate(distinct.tolist()):
-            known = self.pairs.get(code)
-            if known is None:
-                known = self.pairs[code] = self._fits(code)
-            fits[k] = known
-        failing = set(owner[1:][inner][~fits[where]].tolist()) if len(codes) else set()
-        for k in np.flatnonzero(sizes == 1).tolist():  # a lone token must be reachable by merges itself
-            token = guesses[k][0]
-            code = -1 - token
-            if code not in self.pairs:
-                self.pairs[code] = self.merge(self.bytes[token]) == [token]
-            if not self.pairs[code]:
-                failing.add(k)
-        for k in failing:
-            guesses[k] = self.merge(pieces[k])
-        return guesses
+        new = [c for c in distinct.tolist() if c not in self.pairs]
+        if new:
+            parts = [self.bytes[c // self.size] + self.bytes[c % self.size] for c in new]
+            ids, sizes = self.merge(np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts]))
+            first = np.cumsum(sizes) - sizes
+            two = sizes == 2
+            same = two & (ids[first] * self.size + ids[np.minimum(first + 1, len(ids) - 1)] == np.array(new))
+            self.pairs.update(zip(new, same.tolist()))
+        return np.fromiter((self.pairs[c] for c in distinct.tolist()), bool, len(distinct))[where]
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids, as 32-bit numbers, of many pieces: guesses, one test of all adjacent pairs, exact merging where it fails."""
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ids, sizes = self.guess(data, np.cumsum(lengths))
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        failing = np.zeros(len(pieces), bool)
+        failing[owner[inner][~self._compatible(ids[inner] * self.size + ids[inner + 1])]] = True
+        failing[sizes == 1] = ~self._reachable()[ids[np.cumsum(sizes)[sizes == 1] - 1]]
+        out = _split(ids, sizes)
+        short = np.flatnonzero(failing & (lengths <= SHORT))
+        if len(short):
+            ids, sizes = self.merge(np.frombuffer(b"".join([pieces[k] for k in short.tolist()]), np.uint8), lengths[short])
+            for k, exact in zip(short.tolist(), _split(ids, sizes)):
+                out[k] = exact
+        for k in np.flatnonzero(failing & (lengths > SHORT)).tolist():
+            out[k] = self.merge_long(pieces[k]).astype(np.int32).tobytes()
+        return out
+
+    def _reachable(self) -> np.ndarray:
+        """Whether merging a token's own bytes gives the token; worked out once."""
+        if not hasattr(self, "reach"):
+            short = [t if len(t) <= 4 * SHORT else b"" for t in self.bytes]
+            ids, sizes = self.merge(np.frombuffer(b"".join(short), np.uint8), np.array([len(t) for t in short]))
+            first = np.minimum(np.cumsum(sizes) - sizes, len(ids) - 1)
+            self.reach = (sizes == 1) & (ids[first] == np.arange(self.size))
+        return self.reach
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not known yet. When the memory is full, only chunks in use are carried over."""
         if len(self.pieces) > KNOWN_PIECES:
             self.pieces, self.older = {}, self.pieces
         new = []
-        for chunk in chunks:
-            if chunk not in self.pieces:
-                ids = self.older.get(chunk)
-                if ids is None:
-                    new.append(chunk)
-                else:
-                    self.pieces[chunk] = ids
-        cut = [[c] if c.isalpha() or (c[0] == " " and c[1:].isalpha()) else PIECE.findall(c) for c in new]
+        for chunk in chunks.difference(self.pieces):
+            ids = self.older.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                self.pieces[chunk] = ids
+        if not new:
+            return
+        cut = [(c,) if c.isalpha() or (c[0] == " " and c[1:].isalpha()) else PIECE.findall(c) for c in new]
         distinct = list({p for ps in cut for p in ps})
         ids = dict(zip(distinct, self.encode_pieces([p.encode() for p in distinct])))
         for chunk, ps in zip(new, cut):
-            self.pieces[chunk] = array("i", ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]]).tobytes()
+            self.pieces[chunk] = ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps])
 
-    def encode_block(self, text: str) -> bytes:
-        """Token ids, as 32-bit numbers, of a stretch of text that starts and ends at a cut."""
-        chunks = CHUNK.findall(text)
-        known = self.pieces
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            self.learn(set(chunks))
-            return b"".join([self.pieces[c] for c in chunks])
-
-    def encode(self, text: str) -> bytes:
-        """Token ids, as 32-bit numbers, of a whole text, in stretches of bounded length."""
-        parts = self.split_special.split(text) if self.split_special else [text]
-        out = []
-        for part in parts:
+    def stretches(self, text: str) -> Iterator[list[str] | int]:
+        """The chunks of a text, in stretches of bounded length, and the ids of special tokens between them."""
+        for part in self.split_special.split(text) if self.split_special else [text]:
             if part in self.special:
-                out.append(np.int32(self.special[part]).tobytes())
+                yield self.special[part]
                 continue
             at = 0
             while at < len(part):
-                cut = SAFE_CUT.search(part, at + BLOCK_CHARS)
+                cut = SAFE_CUT.search(part, at + BLOCK_CHARS) if len(part) - at > BLOCK_CHARS else None
                 end = cut.start() if cut else len(part)
-                out.append(self.encode_block(part[at:end]))
+                yield CHUNK.findall(part[at:end])
                 at = end
-        return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        token = self.bytes
-        return b"".join([token[i] for i in ids]).decode("utf-8", errors="replace")
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Token ids, as 32-bit numbers, of whole texts; the new chunks of all texts are learnt together."""
+        done, cut, waiting = [], [], 0
+        for k, text in enumerate(texts):
+            for stretch in self.stretches(text):
+                cut.append((k, stretch))
+                waiting += len(stretch) if isinstance(stretch, list) else 1
+                if waiting > BLOCK_CHARS:
+                    self._settle(cut, done)
+                    waiting = 0
+        self._settle(cut, done)
+        out = [b""] * len(texts)
+        parts: dict[int, list[bytes]] = {}
+        for k, ids in done:
+            parts.setdefault(k, []).append(ids)
+        for k, ids in parts.items():
+            out[k] = b"".join(ids)
+        return out
+
+    def _settle(self, cut: list, done: list) -> None:
+        self.learn(set().union(*[stretch for _, stretch in cut if isinstance(stretch, list)]))
+        known = self.pieces
+        for k, stretch in cut:
+            done.append((k, b"".join([known[c] for c in stretch]) if isinstance(stretch, list) else np.int32(stretch).tobytes()))
+        cut.clear()
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of lists of ids; bytes that are not UTF-8 become U+FFFD."""
+        flat = self.texts.take(ids.values.slice(ids.offsets[0].as_py(), ids.offsets[-1].as_py() - ids.offsets[0].as_py()))
+        ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+        offsets = ids.offsets.to_numpy()
+        places = pa.py_buffer(np.ascontiguousarray(ends[offsets - offsets[0]]))
+        data = flat.buffers()[2] if len(flat) else None
+        made = pa.Array.from_buffers(pa.large_string(), len(ids), [None, places, data or pa.py_buffer(b"")])
+        try:
+            made.validate(full=True)
+        except pa.ArrowInvalid:
+            return pa.array([b.as_py().decode("utf-8", "replace") for b in made.cast(pa.large_binary(), safe=False)], pa.string())
+        return made.cast(pa.string())
+
+
+def _split(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    raw, ends = ids.astype(np.int32).tobytes(), (4 * np.cumsum(sizes)).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 _loaded: dict[int, Vocabulary] = {}
@@ -252,15 +373,13 @@ def encode_texts(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         for part in text_slices(batches, "text"):
-            texts = part.column("text").to_pylist()
-            vocabulary.learn({c for t in texts if len(t) <= BLOCK_CHARS for c in CHUNK.findall(t)})
-            coded = [vocabulary.encode(t) for t in texts]
+            coded = vocabulary.encode(part.column("text").to_pylist())
             ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
             flat = pa.array(np.frombuffer(b"".join(coded), np.int32))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"{_passed(rows, ['doc_id'])}, ids array<int>")
+    return map_batches(rows, run, f"{_passed(rows, ['doc_id'])}, ids array<int>")
 
 
 def decode_ids(tokens: DataFrame, shared, ids_col: str = "ids") -> DataFrame:
@@ -271,7 +390,7 @@ def decode_ids(tokens: DataFrame, shared, ids_col: str = "ids") -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [vocabulary.decode(i) if i else "" for i in part.column(ids_col).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
+                texts = vocabulary.decode(part.column(ids_col).fill_null([]))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
 
-    return tokens.mapInArrow(run, f"{_passed(tokens, tokens.columns)}, decoded string")
+    return map_batches(tokens, run, f"{_passed(tokens, tokens.columns)}, decoded string")
