@@ -131,6 +131,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(_table(spark, sf_dir, "documents"))
     name = lambda kind, s: F.concat_ws(":", kind, s["start"].cast("string"), s["end"].cast("string"))
     base = F.transform("spans", lambda s: name(s["kind"], s))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{k}") for k in KINDS]
     every = F.concat(base, F.transform("terms", lambda s: name(F.lit(TERM), s)))
     return found.select("doc_id", *counts, F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"))
