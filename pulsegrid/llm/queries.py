@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
+from pulsegrid.llm.language import fit_languages, predict_languages
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
 from pulsegrid.llm.pii import KINDS, TERM, find_personal_data
 from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.llm.substring_dedup import drop_repeats
+from pulsegrid.llm.toxicity import fit_toxicity, score_toxicity
 from pulsegrid.llm.warc import read_archives, write_archives
 from pulsegrid.session import pin_session
 
@@ -135,3 +137,25 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [of_kind(k).alias(f"n_{k}") for k in KINDS]
     every = F.concat(base, F.transform("terms", lambda s: name(F.lit(TERM), s)))
     return found.select("doc_id", *counts, F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"))
+
+
+def _remainder(of: int) -> Column:
+    """crc32 of the id as text modulo ``of``, which deals rows to learning and held-out sets."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+@_query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    model = fit_toxicity(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@_query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = fit_languages(docs, ~held_out)
+    return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
