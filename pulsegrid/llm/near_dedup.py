@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.components import components
-from pulsegrid.llm.frames import keyed_texts, packed, stored
+from pulsegrid.llm.frames import keyed_texts, map_batches, packed, stored
 from pulsegrid.llm.words import LOWER, find_words, hash_windows, hash_words, mix64, text_bytes, text_slices
 
 ROWS = 5
@@ -33,6 +33,8 @@ MISS = 1e-7
 SALTS = 256
 #: Elements of the sets that a block of a crowded bucket holds.
 BLOCK_ELEMENTS = 1 << 19
+#: Text that a task signs at a time; an unfilled signature keeps a permutation of all slots per element.
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 
@@ -97,7 +99,7 @@ def _signer(width: int, bands: int):
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("sid", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             sets = shingle_sets(*text_bytes(part.column("text")), width)
             counts = np.array([len(s) for s in sets])
             some = np.flatnonzero(counts)
@@ -120,7 +122,7 @@ def _signer(width: int, bands: int):
 
 def _set_maker(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             sets = [s.tobytes() for s in shingle_sets(*text_bytes(part.column("text")), width)]
             yield pa.RecordBatch.from_arrays([part.column("sid"), pa.array(sets, pa.binary())], names=["sid", "elements"])
 
@@ -249,7 +251,7 @@ def _test_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     centres = pairs.select("hub", "salt").distinct().join(sets.withColumnRenamed("sid", "hub"), "hub")
     centres = centres.select("hub", "salt", F.lit(False).alias("member"), F.col("hub").alias("sid"), "elements")
     rows = members.unionByName(centres).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member")
-    return rows.select("hub", "sid", "member", "elements").mapInArrow(_star_tester(percent), "a binary, b binary")
+    return map_batches(rows.select("hub", "sid", "member", "elements"), _star_tester(percent), "a binary, b binary")
 
 
 def _test_rest(inside: DataFrame, hubs: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,7 +268,7 @@ def _test_rest(inside: DataFrame, hubs: DataFrame, found: DataFrame, sets: DataF
     rest = rest.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("with")
     rows = rest.join(sets, "sid").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "sid")
     rows = rows.select("bucket", "low", "high", "sid", "comp", "block", "elements")
-    return rows.mapInArrow(_block_tester(percent), "a binary, b binary")
+    return map_batches(rows, _block_tester(percent), "a binary, b binary")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -281,7 +283,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = keyed_texts(docs, id_col, text_col)
     bands = band_count(percent)
-    signed = stored(texts.mapInArrow(_signer(width, bands), "doc_id long, th long, sid binary, n long, bands array<long>"), "signatures")
+    signed = stored(map_batches(texts, _signer(width, bands), "doc_id long, th long, sid binary, n long, bands array<long>"), "signatures")
     classes = signed.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "th")).alias("sample"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
     )
@@ -290,7 +292,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = classes.select("sid", "sample").join(inside.select("sid").distinct(), "sid", "left_semi")
     wanted = wanted.select("sid", F.col("sample.doc_id").alias("want_id"), F.col("sample.th").alias("want_th"))
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["want_id"]) & (texts["th"] == wanted["want_th"]))
-    sets = found.select("sid", "text").mapInArrow(_set_maker(width), "sid binary, elements binary")
+    sets = map_batches(found.select("sid", "text"), _set_maker(width), "sid binary, elements binary")
     sets = stored(sets.groupBy("sid").agg(F.any_value("elements").alias("elements")), "sets")
 
     hubs, pairs = _star_pairs(inside, percent)
