@@ -155,8 +155,13 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    return quality_columns(_row_text(docs, text_col, lang_col)).where("kept").select("row.*")
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    The row number keeps the optimiser from moving the verdict below the columns that it is made of, where
+    each of them would be written out again for every use.
+    """
+    judged = quality_columns(_row_text(docs, text_col, lang_col)).withColumn("place", F.monotonically_increasing_id())
+    return judged.where("kept and place >= 0").select("row.*")
 
 
 def quality_sql(table: str = "documents") -> str:
