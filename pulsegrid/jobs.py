@@ -31,9 +31,14 @@ def stored_messages(
     return parsed.withColumn("saleTime", F.coalesce("saleTime", "row_key")).drop("row_key")
 
 
+def _with_decimal_average(panel: DataFrame) -> DataFrame:
+    """The average with six decimals, whose text does not depend on the engine that prints it."""
+    return panel.withColumn("average", F.col("average").cast("decimal(38,6)"))
+
+
 def total_report(messages: DataFrame, store: MetricTable, run: int, amount: str = "price") -> DataFrame:
     """Count, total, median, average and bytes under ``total``."""
-    panel = agg.kpi_panel(messages, amount, hold=True)
+    panel = _with_decimal_average(agg.kpi_panel(messages, amount, hold=True))
     fields = {"count": "n", "amount": "total", "median": "median", "average": "average", "bytes": "bytes"}
     store.put(metric_rows(panel, F.lit("total"), fields), "total_report", run)
     return store.latest("total_report")
@@ -87,7 +92,7 @@ def and_count_job(
 def refresh_kpis(messages: DataFrame, store: MetricTable, run: int, key: str = "SID", amount: str = "price") -> DataFrame:
     """All figures of the dashboard from a full rescan: the panel, and count and sum per key."""
     panel = metric_rows(
-        agg.kpi_panel(messages, amount, hold=True),
+        _with_decimal_average(agg.kpi_panel(messages, amount, hold=True)),
         F.lit("kpi"),
         {"count": "n", "amount": "total", "median": "median", "average": "average", "bytes": "bytes"},
     )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import portable_bucket, squared_distance
 from pulsegrid.ml.features import vector_of
-from pulsegrid.operators.partitions import broadcast_if_small
 from pulsegrid.operators.ranking import top_per_group
 from pulsegrid.session import durable
 
@@ -27,15 +26,17 @@ def assign(df: DataFrame, model: KMeansModel, vector: str = "embedding") -> Data
 
 
 def with_distance(df: DataFrame, centers: list[list[float]], vector: str, cluster: str = "cluster") -> DataFrame:
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    return df.withColumn("distance", squared_distance(vector, F.element_at(table, F.col(cluster) + 1)))
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]  # k rows
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, "_i int, _centre array<double>"))
+    near = df.join(table, F.col(cluster) == F.col("_i")).withColumn("distance", squared_distance(vector, "_centre"))
+    return near.drop("_i", "_centre")
 
 
 def distance_to_mean(df: DataFrame, cluster: str = "cluster", vector: str = "embedding") -> DataFrame:
     """Squared distance of each row to the mean vector of its given cluster."""
     means = df.groupBy(cluster).agg(Summarizer.mean(vector_of(vector)).alias("m"))
     centres = means.select(cluster, vector_to_array("m").alias("centre"))
-    return df.join(broadcast_if_small(durable(centres), 10_000), cluster).withColumn("distance", squared_distance(vector, "centre")).drop("centre")
+    return df.join(centres, cluster).withColumn("distance", squared_distance(vector, "centre")).drop("centre")
 
 
 def nearest_members(assigned: DataFrame, id_col: str, k: int = 20) -> DataFrame:

@@ -41,14 +41,15 @@ class OnlineRegression:
             stats = {}
             for i in range(1, self.iterations + 1):
                 row = points.agg(F.count("*").alias("n"), *self._sums(weights)).first()
-                if row.n == 0:
-                    return
+                if row.n == 0:  # the weights carry on, so that the next batch finds them
+                    stats = dict.fromkeys(self.steps)
+                    break
                 for name, step in self.steps.items():
                     if i == 1:
                         stats[name] = row[f"{name}_sse"] / row.n
                     scale = step / i**0.5 / row.n
                     weights[name] = [w - scale * row[f"{name}_{j}"] for j, w in enumerate(weights[name])]
-            rows = [(m, weights[m], row.n, stats[m], stats[m] ** 0.5) for m in self.steps]
+            rows = [(m, weights[m], row.n, stats[m], None if stats[m] is None else stats[m] ** 0.5) for m in self.steps]
             self.spark.createDataFrame(rows, WEIGHTS).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
         finally:
             points.unpersist()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,51 +22,13 @@ def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 def recommend(model: ALSModel, users: DataFrame, k: int, titles: DataFrame | None = None) -> DataFrame:
     """Top ``k`` products of the given users as (user, rank, product, score), with titles when given."""
-    recs = recommend_all(model, k, users)
+    recs = _flat(model.recommendForUserSubset(users.select("user").distinct(), k))
     return recs.join(titles, "product") if titles is not None else recs
 
 
-def recommend_all(model: ALSModel, k: int, users: DataFrame | None = None, max_bytes: int = 256 << 20) -> DataFrame:
-    """Top ``k`` products of every user (or of the given ones) as (user, rank, product, score).
-
-    Item factors whose counted size is within ``max_bytes`` go to the tasks once, and each task
-    scores its own users against them. Larger ones are left to Spark's blocked recommendation.
-    """
-    factors = model.userFactors
-    if users is not None:
-        factors = factors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
-    if model.itemFactors.count() * model.rank * 4 > max_bytes:
-        recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
-        return _flat(recs)
-
-    # an explicit number: scoring is heavy, so adaptive execution must not merge the small partitions
-    factors = factors.repartition(factors.sparkSession.sparkContext.defaultParallelism, "id")
-    items = model.itemFactors.orderBy("id").toPandas()
-    packed = factors.sparkSession.sparkContext.broadcast(
-        (items["id"].to_numpy(np.int32), np.array(items["features"].tolist(), dtype=np.float32))
-    )
-
-    def score(batches):
-        ids, matrix = packed.value
-        top, rows_at_once = min(k, len(ids)), max(1, (64 << 20) // (4 * max(1, len(ids))))
-        for batch in batches:
-            for at in range(0, len(batch), rows_at_once):
-                part = batch.iloc[at : at + rows_at_once]
-                scores = np.array(part["features"].tolist(), dtype=np.float32) @ matrix.T
-                best = np.sort(np.argpartition(-scores, top - 1, axis=1)[:, :top], axis=1)
-                # stable: equal scores keep the order of the product ids
-                order = np.argsort(-np.take_along_axis(scores, best, axis=1), axis=1, kind="stable")
-                best = np.take_along_axis(best, order, axis=1)
-                yield pd.DataFrame(
-                    {
-                        "user": np.repeat(part["id"].to_numpy(np.int32), top),
-                        "rank": np.tile(np.arange(1, top + 1, dtype=np.int32), len(part)),
-                        "product": ids[best].ravel(),
-                        "score": np.take_along_axis(scores, best, axis=1).ravel(),
-                    }
-                )
-
-    return factors.mapInPandas(score, "user int, rank int, product int, score float")
+def recommend_all(model: ALSModel, k: int) -> DataFrame:
+    """Top ``k`` products of every user as (user, rank, product, score): Spark's blocked recommendation."""
+    return _flat(model.recommendForAllUsers(k))
 
 
 def _flat(recs: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pulsegrid.ml.features import standardiser, vector_of
 
@@ -30,18 +30,11 @@ def component_rows(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "component int, share double, loadings array<double>")
 
 
-def centred_svd(df: DataFrame, k: int, vector: str = "embedding", with_left: bool = False):
-    """Top-k SVD of the mean-centred rows: singular values, right vectors and optionally U.
-
-    The means come from one aggregate; only the small (width x width) Gram matrix reaches the driver.
-    """
-    data = df.withColumn("raw", vector_of(vector))
-    centre = standardiser("raw", "centred", with_std=False).fit(data)
-    rows = centre.transform(data).select(vector_to_array("centred").alias("x")).rdd.map(lambda r: Vectors.dense(r.x))
-    return RowMatrix(rows).computeSVD(k, computeU=with_left)
-
-
 def singular_values(df: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
-    svd = centred_svd(df, k, vector)
-    rows = [(i + 1, float(s)) for i, s in enumerate(svd.s.toArray())]
+    """Top-k singular values of the mean-centred rows, from the shares of variance of the fitted components."""
+    data = df.select(vector_of(vector).alias("raw"))
+    shares = PCA(k=k, inputCol="raw", outputCol="out").fit(data).explainedVariance.toArray()
+    n, spread = data.agg(F.count("*"), Summarizer.variance(F.col("raw"))).first()
+    squares = (n - 1) * float(sum(spread.toArray()))
+    rows = [(i + 1, float((s * squares) ** 0.5)) for i, s in enumerate(shares)]
     return df.sparkSession.createDataFrame(rows, "component int, singular_value double")

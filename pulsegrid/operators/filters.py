@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import portable_bucket
-from pulsegrid.operators.partitions import broadcast_if_small
 
 Conditions = Mapping[str, object] | Iterable[tuple[str, object]]
 
@@ -19,8 +18,12 @@ def _pairs(conditions: Conditions) -> list[tuple[str, object]]:
 
 
 def key_is(key: str, value: object) -> Column:
-    """The rendered value of a field equals the text of ``value``; a missing field is no match."""
-    return F.coalesce(F.col(key).cast("string") == F.lit(str(value)), F.lit(False))
+    """The rendered value of a field equals the text of ``value``.
+
+    A missing field gives null, which a filter, a ``when`` and an OR take as no match; a plain comparison
+    reaches the files.
+    """
+    return F.col(key).cast("string") == F.lit(str(value))
 
 
 def all_of(conditions: Conditions) -> Column:
@@ -51,19 +54,23 @@ def condition_key(conditions: Conditions) -> str:
     return "".join(f"{key}_" for key, _ in _pairs(conditions))
 
 
-def in_years(ts: str, years: Iterable[int]) -> Column:
-    return F.year(ts).isin(*years)
+def in_years(df: DataFrame, ts: str, years: Iterable[int]) -> Column:
+    """Ranges with bounds of the column's own type, so that they reach the files."""
+    kind = df.schema[ts].dataType.simpleString()
+    start = lambda year: F.lit(f"{year}-01-01 00:00:00").cast(kind)
+    ranges = [(F.col(ts) >= start(y)) & (F.col(ts) < start(y + 1)) for y in years]
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))
 
 
 def year_split(df: DataFrame, ts: str, train_years: Iterable[int], test_years: Iterable[int]):
-    return df.filter(in_years(ts, train_years)), df.filter(in_years(ts, test_years))
+    return df.filter(in_years(df, ts, train_years)), df.filter(in_years(df, ts, test_years))
 
 
 def listed_filter(df: DataFrame, column: str, listed: DataFrame, listed_col: str, keep: str = "listed") -> DataFrame:
-    """Rows whose value is (``listed``) or is not (``unlisted``) in a list; a list counted small is broadcast."""
+    """Rows whose value is (``listed``) or is not (``unlisted``) in a list."""
     if keep not in ("listed", "unlisted"):
         raise ValueError("keep is 'listed' or 'unlisted'")
-    words = broadcast_if_small(listed.select(F.col(listed_col).alias("_listed")).distinct())
+    words = listed.select(F.col(listed_col).alias("_listed")).distinct()
     how = "left_semi" if keep == "listed" else "left_anti"
     return df.join(words, F.col(column) == F.col("_listed"), how)
 
@@ -81,7 +88,7 @@ def point_lookup(requests: DataFrame, readings: DataFrame, on: str, value: str)
     The readings are reduced to the requested keys before they are grouped. The value of a
     duplicated key is its smallest reading, so that a retry gives the same answer.
     """
-    wanted = broadcast_if_small(requests.select(on).distinct())
+    wanted = requests.select(on).distinct()
     found = (
         readings.join(wanted, on, "left_semi")
         .groupBy(on)

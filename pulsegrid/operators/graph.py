@@ -48,18 +48,12 @@ def oldest_follower(vertices: DataFrame, edges: DataFrame, name: str = "name", a
     """For each vertex the follower (source of an incoming edge) of greatest age; equal ages by the
     smallest name; ``follower`` is ``none`` without one.
 
-    Parallel edges are merged first, and the maximum is taken partially before the shuffle, so a
+    A least value does not change with parallel edges and is taken partially before the shuffle, so a
     vertex with very many followers costs no more than another.
     """
-    links = edges.select("src", "dst").distinct()
     sources = vertices.select(F.col("id").alias("src"), F.col(age).alias("a"), F.col(name).alias("f"))
-    best = (
-        links.join(sources, "src")
-        .groupBy("dst", "a")
-        .agg(F.min("f").alias("f"))
-        .groupBy("dst")
-        .agg(F.max(F.struct("a", "f")).alias("m"))
-    )
+    first = F.min(F.struct((-F.col("a")).alias("o"), "f", "a"))
+    best = edges.select("src", "dst").join(sources, "src").where("a is not null").groupBy("dst").agg(first.alias("m"))
     return vertices.join(best, F.col("id") == F.col("dst"), "left").select(
         "id",
         F.col(name),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.partitions import broadcast_if_small, row_index
+from pulsegrid.operators.partitions import row_index
 from pulsegrid.session import durable
 
 
@@ -56,56 +56,22 @@ def anti_by_key(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataF
     return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
-def cogroup_lists(
-    left: DataFrame, right: DataFrame, key: str, value: str, chunk_rows: int = 100_000
-) -> DataFrame:
-    """Value lists of both sides per key.
-
-    Equal (key, side, value) rows are counted first, so a list holds each value once with its
-    number of copies. A key with more than ``chunk_rows`` distinct values is given in several
-    rows (``chunk`` of ``chunks``), none of which exceeds about that size.
-    """
-    sides = left.select(key, F.lit("l").alias("_side"), F.col(value).alias("_v")).unionByName(
-        right.select(key, F.lit("r").alias("_side"), F.col(value).alias("_v"))
-    )
-    counted = sides.groupBy(key, "_side", "_v").agg(F.count("*").alias("copies"))
-    sized = _with_chunk(counted, key, "_v", chunk_rows)
-    item = F.struct(F.col("_v").alias("value"), F.col("copies"))
-    return sized.groupBy(key, "chunk", "chunks").agg(
-        F.sort_array(F.collect_list(F.when(F.col("_side") == "l", item))).alias("left_values"),
-        F.sort_array(F.collect_list(F.when(F.col("_side") == "r", item))).alias("right_values"),
-    )
-
-
-def value_lists(df: DataFrame, key: str, value: str, chunk_rows: int = 100_000) -> DataFrame:
-    """Values per key as (value, copies) lists, in chunks of about ``chunk_rows`` distinct values."""
-    counted = df.groupBy(key, F.col(value).alias("_v")).agg(F.count("*").alias("copies"))
-    sized = _with_chunk(counted, key, "_v", chunk_rows)
-    return sized.groupBy(key, "chunk", "chunks").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_v").alias("value"), F.col("copies")))).alias("values")
-    )
-
-
-def _with_chunk(counted: DataFrame, key: str, value: str, chunk_rows: int) -> DataFrame:
-    sizes = counted.groupBy(F.col(key).alias("_k")).agg(
-        F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("chunks")
+def cogroup_rows(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """Values of both sides per key as rows ``key, side, value, copies``; the same shape for a key of any size."""
+    sides = left.select(key, F.lit("left").alias("side"), F.col(value).alias("value")).unionByName(
+        right.select(key, F.lit("right").alias("side"), F.col(value).alias("value"))
     )
-    # only keys of several chunks: at most rows / chunk_rows of them
-    large = broadcast_if_small(durable(sizes.filter(F.col("chunks") > 1)))
-    joined = counted.join(large, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
-    joined = joined.withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    return joined.withColumn("chunk", F.pmod(F.xxhash64(value), F.col("chunks")).cast("int"))
+    return sides.groupBy(key, "side", "value").agg(F.count("*").alias("copies"))
 
 
-def flat_values(lists: DataFrame, column: str = "values") -> DataFrame:
-    """Plain value array of a (value, copies) list column; for keys known to be small."""
-    plain = F.flatten(F.transform(column, lambda x: F.array_repeat(x["value"], x["copies"].cast("int"))))
-    return lists.withColumn(column, plain)
+def value_rows(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Values per key as rows ``key, value, copies``."""
+    return df.groupBy(key, F.col(value).alias("value")).agg(F.count("*").alias("copies"))
 
 
-def lookup_dim(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner", max_rows: int = 500_000) -> DataFrame:
-    """Join a dimension: broadcast when a count that stops at ``max_rows`` proves it small, else a plain join."""
-    return facts.join(broadcast_if_small(dim, max_rows), on, how)
+def lookup_dim(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join a dimension; adaptive execution broadcasts it when its measured bytes are few."""
+    return facts.join(dim, on, how)
 
 
 def outer_with_default(left: DataFrame, right: DataFrame, on: str, defaults: dict[str, object]) -> DataFrame:

@@ -14,29 +14,34 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import byte_length
 from pulsegrid.operators.filters import Conditions, _pairs, key_is
 
-MAX_CONDITIONS = 10
-
-
 def condition_mask(conditions: Conditions) -> Column:
     pairs = _pairs(conditions)
-    if len(pairs) > MAX_CONDITIONS:
-        raise ValueError(f"at most {MAX_CONDITIONS} conditions")
-    bits = [F.when(key_is(key, value), F.lit(1 << i)).otherwise(F.lit(0)) for i, (key, value) in enumerate(pairs)]
-    return reduce(lambda a, b: a + b, bits, F.lit(0))
+    if len(pairs) > 62:
+        raise ValueError("a mask has 62 bits")
+    one, none = lambda i: F.lit(1 << i).cast("long"), F.lit(0).cast("long")
+    bits = [F.when(key_is(key, value), one(i)).otherwise(none) for i, (key, value) in enumerate(pairs)]
+    return reduce(lambda a, b: a + b, bits, none)
 
 
 def subset_label(conditions: Conditions, subset: Column) -> Column:
     """Values of the subset's conditions joined by ``_``; the empty subset is ``all``."""
     parts = [
-        F.when(subset.bitwiseAND(1 << i) != 0, F.lit(str(value))) for i, (_, value) in enumerate(_pairs(conditions))
+        F.when(F.shiftright(subset, i).bitwiseAND(1) != 0, F.lit(str(value))) for i, (_, value) in enumerate(_pairs(conditions))
     ]
     text = F.concat_ws("_", *parts)
     return F.when(subset == 0, F.lit("all")).otherwise(text)
 
 
 def expand_subsets(df: DataFrame, conditions: Conditions, mask: str = "mask") -> DataFrame:
-    every = F.sequence(F.lit(0), F.lit((1 << len(_pairs(conditions))) - 1))
-    return df.withColumn("subset", F.explode(F.filter(every, lambda s: F.col(mask).bitwiseAND(s) == s)))
+    """A row for each subset of the conditions that the mask meets; only the bits that are set double the rows."""
+    last = len(_pairs(conditions)) - 1
+    if last < 0:
+        return df.withColumn("subset", F.lit(0).cast("long"))
+    subsets = F.expr(
+        f"aggregate(sequence(0, {last}), array(0L), (found, i) -> "
+        f"if(shiftright(`{mask}`, i) & 1L = 1L, concat(found, transform(found, s -> s | shiftleft(1L, i))), found))"
+    )
+    return df.withColumn("subset", F.explode(subsets))
 
 
 def lattice_totals(df: DataFrame, conditions: Conditions, amount: str, payload: str = "payload") -> DataFrame:

@@ -62,14 +62,19 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark a join side for broadcast when a count that stops at ``max_rows`` proves it small.
+def running_total(df: DataFrame, order: list[str], value: str, name: str = "upto") -> DataFrame:
+    """Adds the total of ``value`` over the rows up to each row in the given (unique) order.
 
-    Spark estimates the size of an aggregated side from its input, and would shuffle the large side
-    before it learns better. A larger side stays a plain join side. The count runs the side once, so
-    give something cheap: a table, a short list or a checkpointed aggregate.
+    As in :func:`row_index`, the rows are range partitioned and fixed; a window runs within one
+    partition, and the totals of the partitions before it are added.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    placed = durable(df.orderBy(*order).withColumn("_p", F.spark_partition_id()))
+    sums = placed.groupBy("_p").agg(F.sum(value).alias("_t"))
+    # one row per partition of the sorted data
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    within = F.sum(value).over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("_w", within).join(F.broadcast(offsets), "_p").withColumn(name, F.col("_o") + F.col("_w")).drop("_p", "_o", "_w")
 
 
 def spread_out(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import rank_position
-from pulsegrid.session import durable
+from pulsegrid.session import written
 
 
 def quantile_rank(n: int, q: float) -> int:
@@ -163,25 +163,22 @@ def grouped_rank_select(
     levels: int = 1,
     weight: str | None = None,
     name: str = "value",
-    max_broadcast_groups: int = 500_000,
 ) -> DataFrame:
     """Exact order statistic per group, for groups of any size.
 
     A histogram of ``buckets`` equal steps between the group's extremes locates the bucket that
     holds the rank, again for each level; only the last bucket's values are counted one by one.
     All counts are reduced before they are shuffled, and a window sees at most ``buckets`` rows or
-    one bucket's distinct values. The values themselves are never shuffled while the groups, whose
-    number is counted, are few enough to broadcast. Use a second level for long-tailed columns. ``weight`` counts a
-    row several times.
+    one bucket's distinct values. The groups are stored, so that the values are not shuffled while the
+    groups' bytes are few. Use a second level for long-tailed columns. ``weight`` counts a row several times.
     """
     if not groups:
         raise ValueError("name at least one group; rank_select and bucketed_median answer for a whole column")
     values = df.select(*groups, F.col(column).alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
     values = values.filter(F.col("_v").isNotNull())
     extent = values.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
-    bounds = durable(extent.withColumn("_need", rank_position(F.col("_n"), q)).drop("_n"))
-    small = bounds.limit(max_broadcast_groups + 1).count() <= max_broadcast_groups
-    placed = _attach(values, bounds, groups, small)
+    bounds = written(extent.withColumn("_need", rank_position(F.col("_n"), q)).drop("_n"), "bounds")
+    placed = _attach(values, bounds, groups)
 
     by_bucket = Window.partitionBy(*groups).orderBy("_b")
     for _ in range(levels):
@@ -196,7 +193,7 @@ def grouped_rank_select(
             .select(*groups, "_lo", "_hi", (F.col("_need") - F.col("_upto") + F.col("_c")).alias("_need"))
         )
         # bounds of the located bucket replace those of the group, so one join per level is enough
-        placed = _attach(values, bounds, groups, small).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        placed = _attach(values, written(bounds, "bounds"), groups).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     by_value = Window.partitionBy(*groups).orderBy("_v")
     return (
         placed.groupBy(*groups, "_v")
@@ -215,12 +212,12 @@ def _bucket(buckets: int):
     return F.when(hi > lo, F.least(step, F.lit(buckets - 1).cast("long"))).otherwise(F.lit(0).cast("long"))
 
 
-def _attach(left: DataFrame, right: DataFrame, groups: list[str], small: bool) -> DataFrame:
+def _attach(left: DataFrame, right: DataFrame, groups: list[str]) -> DataFrame:
     """Null-safe join on the groups; ``right`` has one row per group."""
     keys = {g: f"_g{i}" for i, g in enumerate(groups)}
     same = [F.col(g).eqNullSafe(F.col(k)) for g, k in keys.items()]
     right = right.withColumnsRenamed(keys)
-    return left.join(F.broadcast(right) if small else right, same).drop(*keys.values())
+    return left.join(right, same).drop(*keys.values())
 
 
 def bucketed_median(df: DataFrame, column: str, width: float, q: float = 0.5) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import filters, lattice, ranking
-from pulsegrid.operators.joins import flat_values, value_lists
+from pulsegrid.operators.joins import value_rows
 from pulsegrid.operators.partitions import spread_out
 from pulsegrid.operators.rank_select import (
     approximate_quantile,
@@ -113,14 +113,9 @@ def average_and_sum_by_key(spark, sf):
     return agg.avg_sum_by(sale_messages(spark, sf), "SID", "COUNT").withColumnRenamed("SID", "sid")
 
 
-@query(
-    "value_lists_by_key",
-    f"""WITH {EVENTS} SELECT sid, string_agg(CAST(price AS VARCHAR), ',' ORDER BY price) AS prices FROM ev GROUP BY 1""",
-)
+@query("value_lists_by_key", f"WITH {EVENTS} SELECT sid, price AS value, count(*) AS copies FROM ev GROUP BY 1, 2")
 def value_lists_by_key(spark, sf):
-    lists = flat_values(value_lists(event_messages(spark, sf), "SID", "price"))
-    text = F.array_join(F.transform("values", lambda v: v.cast("string")), ",")
-    return lists.select(F.col("SID").alias("sid"), text.alias("prices"))
+    return value_rows(event_messages(spark, sf), "SID", "price").withColumnRenamed("SID", "sid")
 
 
 @query(

@@ -167,25 +167,20 @@ def slice_totals(spark, sf):
 
 @query("tagged_partitions", "SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS total FROM lineitem")
 def tagged_partitions(spark, sf):
-    """Partition-wise sums, then their total."""
-    tagged = partitions.tagged_partitions(table(spark, sf, "lineitem", "l_suppkey", "l_quantity"), "l_suppkey", 8)
+    """Partition-wise sums of the scan, then their total."""
+    tagged = table(spark, sf, "lineitem", "l_quantity").withColumn("partition", F.spark_partition_id())
     parts = tagged.groupBy("partition").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
     return parts.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
-def _batch_tails(batches):
-    for batch in batches:
-        yield batch.assign(tail=batch["text"].str.rstrip().str[-1:])[["conv_id", "turn", "tail"]]
-
-
 @query(
     "row_iterative_map",
     r"SELECT conv_id, turn, right(regexp_replace(text, '\s+$', ''), 1) AS tail FROM conversations",
 )
 def row_iterative_map(spark, sf):
-    """User logic over Arrow batches: the last visible character of each text."""
+    """The last visible character of each text."""
     rows = table(spark, sf, "conversations", "conv_id", "turn", "text")
-    return partitions.map_batches(rows, _batch_tails, "conv_id long, turn long, tail string")
+    return rows.select("conv_id", "turn", F.right(F.regexp_replace("text", r"\s+$", ""), F.lit(1)).alias("tail"))
 
 
 @query(
@@ -300,21 +295,14 @@ def right_outer_join(spark, sf):
 
 @query(
     "cogroup",
-    """WITH k AS (SELECT o_custkey AS key, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS l FROM orders GROUP BY 1),
-       m AS (SELECT user_id AS key, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS r FROM events GROUP BY 1)
-       SELECT coalesce(k.key, m.key) AS key, coalesce(l, '') AS left_values, coalesce(r, '') AS right_values FROM k FULL JOIN m ON k.key = m.key""",
+    """SELECT o_custkey AS key, 'left' AS side, o_orderkey AS value, count(*) AS copies FROM orders GROUP BY 1, 2, 3
+       UNION ALL SELECT user_id, 'right', event_id, count(*) FROM events GROUP BY 1, 2, 3""",
 )
 def cogroup(spark, sf):
     """Orders and events of the same person."""
     left = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("v"))
     right = table(spark, sf, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("v"))
-    both = joins.cogroup_lists(left, right, "key", "v")
-
-    def text(column):
-        plain = F.flatten(F.transform(column, lambda x: F.array_repeat(x["value"], x["copies"].cast("int"))))
-        return F.array_join(F.transform(plain, lambda v: v.cast("string")), ",")
-
-    return both.select("key", text("left_values").alias("left_values"), text("right_values").alias("right_values"))
+    return joins.cogroup_rows(left, right, "key", "v")
 
 
 @query("anti_join", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
@@ -431,11 +419,9 @@ def top_per_group_query(spark, sf):
         FROM (SELECT price // 500 AS bucket, count(*) AS n FROM ev GROUP BY 1)""",
 )
 def histogram_prefix_sum(spark, sf):
-    """Running total over the buckets of a histogram (the number of buckets is bounded by the price range)."""
-    from pyspark.sql import Window
-
+    """Running total over the buckets of a histogram."""
     histogram = event_messages(spark, sf).groupBy(F.floor(F.col("price") / 500).alias("bucket")).agg(F.count("*").alias("n"))
-    return histogram.withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
+    return partitions.running_total(histogram, ["bucket"], "n")
 
 
 # ---- scalar functions

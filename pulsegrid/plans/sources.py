@@ -66,7 +66,7 @@ def lenient_parse_counts(spark, sf):
 )
 def inferred_schema_totals(spark, sf):
     lines = table(spark, sf, "events").select(F.col("props").alias("payload"))
-    return sources.infer_json(spark, lines).groupBy("k").agg(F.count("*").alias("n"))
+    return sources.infer_json(lines).groupBy("k").agg(F.count("*").alias("n"))
 
 
 @query(

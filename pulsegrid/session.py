@@ -77,6 +77,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/pulsegrid/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Store a table in the work folder and read it back: fixed rows, and a size that the planner knows, so
+    that a join broadcasts it exactly when its bytes are few."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so later jobs see fixed partitions and rows."""
     work_root(df.sparkSession)

@@ -6,20 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.sources.keyrange import day_of_millis
+from pulsegrid.sources.messages import joined_arrays
 
 __all__ = ["archive_cells", "archive_stream", "batch_log"]
 
 
 def archive_cells(batches: DataFrame, arrived_ms: Column, payload: str = "payload") -> DataFrame:
-    """One cell per message of a JSON-array batch: key = arrival ms, qualifier ``SID_position``.
+    """One cell per message of a batch: key = arrival ms, qualifier ``SID_position``.
 
-    A batch that is not an array of objects gives no cells.
+    Arrays glued as ``][`` are one batch, as for the totals; a message without ``SID`` is stored under its
+    position alone. A batch that is not an array of objects gives no cells.
     """
-    objects = F.from_json(F.col(payload), "array<string>")
+    objects = F.from_json(joined_arrays(payload), "array<string>")
     return (
         batches.select(arrived_ms.cast("long").alias("row_key"), F.posexplode(objects).alias("idx", "value"))
-        .withColumn("sid", F.get_json_object("value", "$.SID"))
-        .filter(F.col("sid").isNotNull())
+        .withColumn("sid", F.coalesce(F.get_json_object("value", "$.SID"), F.lit("")))
         .select(
             "row_key", F.lit("cf").alias("family"), F.concat_ws("_", "sid", "idx").alias("qualifier"), "value"
         )

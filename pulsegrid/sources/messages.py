@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,7 @@ from pulsegrid.schema import MESSAGE
 
 __all__ = [
     "infer_json",
+    "joined_arrays",
     "parse_lenient",
     "parse_messages",
     "parse_quality",
@@ -31,17 +32,23 @@ def parse_messages(lines: DataFrame, schema: T.StructType = MESSAGE, payload: st
     return parsed.select(*lines.columns, "_m.*")
 
 
-def split_batches(lines: DataFrame, schema: T.StructType = MESSAGE, payload: str = "payload") -> DataFrame:
+def joined_arrays(payload: str) -> Column:
+    """Arrays glued as ``][`` made one array."""
+    return F.regexp_replace(F.col(payload), r"\]\s*\[", ",")
+
+
+def split_batches(
+    lines: DataFrame, schema: T.StructType = MESSAGE, payload: str = "payload", text: str | None = None
+) -> DataFrame:
     """One row per object of a JSON-array batch; arrays glued as ``][`` are joined first.
 
-    ``idx`` is the position of the object in its batch.
+    ``idx`` is the position of the object in its batch; ``text`` names a column for the whole object, with the
+    fields that are not in the schema.
     """
-    whole = F.regexp_replace(F.col(payload), r"\]\s*\[", ",")
-    return (
-        lines.withColumn("_b", F.from_json(whole, T.ArrayType(schema)))
-        .select(*lines.columns, F.posexplode("_b").alias("idx", "_m"))
-        .select(*lines.columns, "idx", "_m.*")
-    )
+    objects = F.from_json(joined_arrays(payload), "array<string>")
+    split = lines.select(*lines.columns, F.posexplode(objects).alias("idx", "_t"))
+    kept = [F.col("_t").alias(text)] if text else []
+    return split.withColumn("_m", F.from_json("_t", schema)).select(*lines.columns, "idx", *kept, "_m.*")
 
 
 def parse_lenient(lines: DataFrame, schema: T.StructType = MESSAGE, payload: str = "payload") -> DataFrame:
@@ -62,11 +69,10 @@ def parse_quality(parsed: DataFrame) -> DataFrame:
     )
 
 
-def infer_json(spark: SparkSession, lines: DataFrame, payload: str = "payload", sample: float = 1.0) -> DataFrame:
-    """Parse with a schema inferred from the lines (one extra pass; ``sample`` shortens it)."""
-    texts = lines.select(F.col(payload).cast("string").alias("value"))
-    inferred = spark.read.option("samplingRatio", sample).json(texts.rdd.map(lambda row: row.value)).schema
-    return parse_messages(lines, inferred, payload)
+def infer_json(lines: DataFrame, payload: str = "payload") -> DataFrame:
+    """Parse with the schema that one aggregation over all lines infers."""
+    found = lines.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(payload).cast("string")))).first()[0]
+    return parse_messages(lines, T.DataType.fromDDL((found or "OBJECT<>").replace("OBJECT<", "STRUCT<")), payload)
 
 
 def strip_envelope(lines: DataFrame, n_chars: int = 24, payload: str = "payload") -> DataFrame:

@@ -25,7 +25,7 @@ class StreamReports:
     """Queries that share a source and keep their tables below one folder.
 
     ``batches`` has ``payload`` (an array of messages) and ``arrived`` (event time). Each question is
-    one query with one state; the windows are read from panes.
+    one query with one state; the windows are read from panes. Totals are kept per ``total_key``.
     """
 
     def __init__(
@@ -37,19 +37,20 @@ class StreamReports:
         amount: str = "price",
         schema: T.StructType = MESSAGE,
         delay: str = "10 minutes",
+        total_key: str = "brand",
     ):
         self.spark, self.base, self.conditions, self.dims = spark, base, conditions, dims
-        self.amount, self.schema, self.delay = amount, schema, delay
+        self.amount, self.schema, self.delay, self.total_key = amount, schema, delay, total_key
 
     def start(self, batches: DataFrame, every: str | None = None) -> dict[str, StreamingQuery]:
         """Start all queries; ``every`` is the trigger interval, without it they stop when caught up."""
         raw = batches.withColumn("arrived_ms", F.unix_millis(F.col("arrived").cast("timestamp")))
-        messages = split_batches(batches.select("payload", "arrived"), self.schema)
-        # bytes are those of one message, not of its batch
-        messages = messages.withColumn("payload", F.to_json(F.struct(*self.schema.names)))
+        # bytes are those of the whole message, fields outside the schema included
+        messages = split_batches(batches.select("payload", "arrived"), self.schema, text="message")
+        messages = messages.drop("payload").withColumnRenamed("message", "payload")
         timed = event_time(messages, "arrived", self.delay)
         tables = {
-            "totals": running_totals(messages, self.dims[:1], self.amount, "payload"),
+            "totals": running_totals(messages, [self.total_key], self.amount, "payload"),
             "subsets": lattice_stream(messages, self.conditions, self.amount, "payload"),
             "ranks": lattice_stream(messages, self.conditions, self.amount, "payload", self.dims),
             "panes": pane_totals(timed, "arrived", SLIDE_SECONDS, None, self.amount, "payload"),
@@ -67,7 +68,7 @@ class StreamReports:
         return latest_rows(self.spark, f"{self.base}/{name}/rows", keys)
 
     def totals(self) -> DataFrame:
-        return self._latest("totals", self.dims[:1])
+        return self._latest("totals", [self.total_key])
 
     def subsets(self) -> DataFrame:
         return self._latest("subsets", ["subset"])

@@ -37,7 +37,7 @@ def test_lenient_parse_keeps_bad_rows(spark):
 
 
 def test_inferred_schema(spark):
-    found = sources.infer_json(spark, lines(spark, '{"a":1}', '{"a":2,"b":"x"}'))
+    found = sources.infer_json(lines(spark, '{"a":1}', '{"a":2,"b":"x"}'))
     assert dict(found.dtypes)["a"] == "bigint" and rows(found, "a", "b") == [(1, None), (2, "x")]
 
 
@@ -130,10 +130,12 @@ def test_text_output_replaces_the_old_one(spark, folder):
     assert rows(sources.read_lines(spark, folder + "/o")) == [("a,1",)]
 
 
-def test_archive_skips_bad_batches(spark):
-    batches = lines(spark, '[{"SID":"a","v":1},{"SID":"a","v":2}]', "junk", '[{"v":1}]')
+def test_archive_keeps_every_message(spark):
+    batches = lines(spark, '[{"SID":"a","v":1}][{"SID":"a","v":2}]', "junk", '[{"v":1}]')
     found = sinks.archive_cells(batches, F.lit(1000))
-    assert rows(found) == [(1000, "cf", "a_0", '{"SID":"a","v":1}'), (1000, "cf", "a_1", '{"SID":"a","v":2}')]
+    want = [("_0", '{"v":1}'), ("a_0", '{"SID":"a","v":1}'), ("a_1", '{"SID":"a","v":2}')]
+    assert rows(found) == [(1000, "cf", *x) for x in want]
+    assert found.count() == sources.split_batches(batches).count()
 
 
 def kpis(spark, **fields):

@@ -79,6 +79,11 @@ def test_lattice_equals_direct_filters(spark):
     assert top_of_lattice(ranks, "n", 1).count() == len(list(itertools.product(range(8), ["city", "ram"])))
 
 
-def test_too_many_conditions(spark):
-    with pytest.raises(ValueError):
-        lattice_totals(spark.range(1), [(f"c{i}", 1) for i in range(11)], "id")
+def test_lattice_of_twenty_conditions(spark):
+    """Only the subsets of the masks in the data are expanded."""
+    columns = [f"c{i}" for i in range(20)]
+    data = [tuple(int(i in hit) for i in range(20)) + (n, "pp") for n, hit in enumerate([{0, 19}, {0, 7, 12}, set()])]
+    df = spark.createDataFrame(data, ", ".join(f"{c} int" for c in columns) + ", price long, payload string")
+    found = {r.subset: (r.n, r.bytes, r.amount, r.label) for r in lattice_totals(df, [(c, 1) for c in columns], "price").collect()}
+    assert len(found) == 1 + 2 + 1 + 2 + 4  # the empty set and {0} are shared
+    assert found[0] == (3, 6, 3, "all") and found[1] == (2, 4, 1, "1") and found[1 << 19 | 1] == (1, 2, 0, "1_1")
