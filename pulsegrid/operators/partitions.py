@@ -55,7 +55,8 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 def take_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """``n`` rows chosen by the digest of a key: a top-n, not a sort of the whole table."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    return df.orderBy(digest, F.col(key)).limit(n)
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:

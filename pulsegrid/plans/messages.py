@@ -131,9 +131,13 @@ def distinct_senders(spark, sf):
     return agg.distinct_count(event_messages(spark, sf), "SID")
 
 
-@query("approximate_distinct")
+@query("approximate_distinct", f"WITH {EVENTS} SELECT count(DISTINCT sid) AS exact, true AS within FROM ev")
 def approximate_distinct(spark, sf):
-    return agg.approx_distinct_count(event_messages(spark, sf), "SID")
+    """The sketch's answer is within four standard errors (2 % each) of the exact one."""
+    events = event_messages(spark, sf)
+    sketch = agg.approx_distinct_count(events, "SID").first().n_distinct
+    exact = F.countDistinct("SID")
+    return events.agg(exact.alias("exact"), (F.abs(F.lit(sketch) - exact) <= 0.08 * exact).alias("within"))
 
 
 @query(
@@ -202,9 +206,14 @@ def median_by_brand(spark, sf):
     return grouped_rank_select(sale_messages(spark, sf), ["brand"], "price", 0.5, name="median")
 
 
-@query("approximate_median")
+@query("approximate_median", f"WITH {SALES} SELECT count(*) AS n, true AS within FROM sl")
 def approximate_median(spark, sf):
-    return sale_messages(spark, sf).agg(approximate_quantile("price").alias("median"))
+    """The sketch's answer has within 1 % of the rows as many values below as above."""
+    sales = sale_messages(spark, sf).select("price")
+    median = sales.agg(approximate_quantile("price").alias("m")).first().m
+    below, upto = F.count_if(F.col("price") < median), F.count_if(F.col("price") <= median)
+    n = F.count("*")
+    return sales.agg(n.alias("n"), ((below <= 0.51 * n) & (upto >= 0.49 * n)).alias("within"))
 
 
 def _distribution_sql(source, start, end, nodes, amount, where="true", anchor="start"):

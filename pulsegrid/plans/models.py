@@ -377,9 +377,40 @@ def singular_values(spark, sf):
     return reduce.singular_values(table(spark, sf, "embeddings", "vec_id", "embedding"), 8)
 
 
+_SPREAD = """x AS (SELECT generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
+  s AS (SELECT sum(m) AS spread FROM (SELECT pos, var_samp(v) * (count(*) - 1) AS m FROM x GROUP BY 1) t)"""
+
+
+def _width(spark, sf):
+    return table(spark, sf, "embeddings", "embedding").agg(F.max(F.size("embedding")).alias("w")).first().w
+
+
+@query("singular_value_energy", f"WITH {_SPREAD} SELECT round(spread, 4) AS energy FROM s")
+def singular_value_energy(spark, sf):
+    """The squares of all singular values add up to the squares of the centred values."""
+    values = reduce.singular_values(table(spark, sf, "embeddings", "vec_id", "embedding"), _width(spark, sf))
+    return values.agg(F.round(F.sum(F.col("singular_value") * F.col("singular_value")), 4).alias("energy"))
+
+
 # ---- online regression
 
 
+@query(
+    "online_weights",
+    """WITH x AS (SELECT vec_id, label::DOUBLE AS y, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings)
+       SELECT model, pos - 1 AS pos, round(step * sum(y * v) / count(*), 6) AS weight
+       FROM x, (VALUES ('slow', 0.01::DOUBLE), ('fast', 1.0::DOUBLE)) m(model, step) GROUP BY model, step, pos""",
+)
+def online_weights(spark, sf):
+    """The trained weights: one gradient step from zero over the batch."""
+    vectors = table_stream(spark, sf, "embeddings").select(F.col("label").cast("double").alias("label"), F.col("embedding").alias("features"))
+    trained = online.OnlineRegression(spark, work_path(spark, "online"), _width(spark, sf), {"slow": 0.01, "fast": 1.0})
+    trained.start(vectors, work_path(spark, "online_state")).awaitTermination()
+    return trained.history().select("model", F.posexplode("weights").alias("pos", "w")).select(
+        "model", F.col("pos").cast("long").alias("pos"), F.round("w", 6).alias("weight")
+    )
+
+
 @query("online_regression")
 def online_regression(spark, sf):
     """Two step sizes trained side by side on a stream of vectors, with their error per batch."""

@@ -191,12 +191,17 @@ def row_index(spark, sf):
     return partitions.row_index(table(spark, sf, "events", "event_id", "ts"), ["ts", "event_id"]).select("event_id", "pos")
 
 
-@query("bernoulli_sample")
+@query("bernoulli_sample", "SELECT count(*) AS rows, true AS near FROM events")
 def bernoulli_sample(spark, sf):
-    return partitions.bernoulli_sample(table(spark, sf, "events", "event_id", "event_type"), 0.1, 100)
+    """The size of a one-in-ten sample is within five standard deviations, and every row comes from the table."""
+    events = table(spark, sf, "events", "event_id", "event_type")
+    sample = partitions.bernoulli_sample(events, 0.1, 100).withColumn("hit", F.lit(1))
+    n = F.count("*")
+    joined = events.join(sample, ["event_id", "event_type"], "left")
+    return joined.agg(n.alias("rows"), (F.abs(F.count("hit") - 0.1 * n) <= 5 * F.sqrt(0.09 * n)).alias("near"))
 
 
-@query("take_sample")
+@query("take_sample", "SELECT event_id, event_type FROM events ORDER BY md5('100:' || event_id), event_id LIMIT 20")
 def take_sample(spark, sf):
     return partitions.take_sample(table(spark, sf, "events", "event_id", "event_type"), 20, 100, "event_id")
 
@@ -213,12 +218,13 @@ def weighted_split(spark, sf):
     return parts.groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query("random_split")
+@query("random_split", "SELECT count(*) AS rows, true AS near FROM events")
 def random_split(spark, sf):
+    """Both parts together are the table, and the sizes are within five standard deviations of 60 and 40 %."""
     parts = partitions.random_split(table(spark, sf, "events", "event_id"), [0.6, 0.4], 123)
-    return parts[0].select(F.lit("train").alias("part")).unionByName(parts[1].select(F.lit("test").alias("part"))).groupBy(
-        "part"
-    ).agg(F.count("*").alias("n"))
+    both = parts[0].select("event_id", F.lit(1).alias("train")).unionByName(parts[1].select("event_id", F.lit(0).alias("train")))
+    n = F.countDistinct("event_id")
+    return both.agg(n.alias("rows"), (F.abs(F.sum("train") - 0.6 * n) <= 5 * F.sqrt(0.24 * n)).alias("near"))
 
 
 @query(
