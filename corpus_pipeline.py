@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
+from pulsegrid.llm.bpe import encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import drop_exact_copies
 from pulsegrid.llm.frames import stored
 from pulsegrid.llm.mixing import take_mix
@@ -42,7 +42,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of the tokens, and the digest of the text they decode to."""
     shared = share_vocabulary(spark, default_vocabulary())
-    tokens = decode_ids(encode_texts(docs, shared), shared)
+    tokens = encode_texts(docs, shared, decoded=True)
     return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

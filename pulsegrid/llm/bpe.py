@@ -34,8 +34,9 @@ PIECE = regex.compile(
 CHUNK = re.compile(rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 SAFE_CUT = re.compile(rf"(?<=[^{SPACES}]) (?=[^{SPACES}])")
 BLOCK_CHARS = 1 << 20
-KNOWN_PIECES = 300_000
-KNOWN_PAIRS = 500_000
+KNOWN_PIECES = 150_000
+KNOWN_PAIRS = 200_000
+SLICE_BYTES = 1 << 20
 SHORT = 48
 
 
@@ -362,24 +363,29 @@ def _passed(df: DataFrame, keep: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
 
 
-def encode_texts(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids array<int>`` of every whole text.
+def _encode_slice(vocabulary: Vocabulary, part: pa.RecordBatch) -> pa.ListArray:
+    coded = vocabulary.encode(part.column("text").to_pylist())
+    ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+
+
+def encode_texts(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids array<int>`` of every whole text; with ``decoded`` also the text that the ids decode to.
 
     A null or empty text has no ids; special tokens written in a text get their ids; nothing is added
     or cut. Each row is its own, so repeated rows and null ids pass through; other columns are not read.
+    Decoding in the same worker spares a second one per core with a vocabulary of its own.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
-        for part in text_slices(batches, "text"):
-            coded = vocabulary.encode(part.column("text").to_pylist())
-            ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
-            flat = pa.array(np.frombuffer(b"".join(coded), np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
-
-    return map_batches(rows, run, f"{_passed(rows, ['doc_id'])}, ids array<int>")
+        for part in text_slices(batches, "text", SLICE_BYTES):
+            ids = _encode_slice(vocabulary, part)
+            made = {"doc_id": part.column("doc_id"), "ids": ids} | ({"decoded": vocabulary.decode(ids)} if decoded else {})
+            yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
+
+    return map_batches(rows, run, f"{_passed(rows, ['doc_id'])}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode_ids(tokens: DataFrame, shared, ids_col: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bpe import decode_ids, encode_texts, share_vocabulary
+from pulsegrid.llm.bpe import encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.language import fit_languages, predict_languages
 from pulsegrid.llm.mixing import mix_sources
@@ -71,7 +71,7 @@ def default_vocabulary() -> str:
 @_query()
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = share_vocabulary(spark, default_vocabulary())
-    tokens = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), shared), shared)
+    tokens = encode_texts(_table(spark, sf_dir, "documents"), shared, decoded=True)
     return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
