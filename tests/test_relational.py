@@ -60,11 +60,11 @@ def test_running_total(spark):
 
 
 def test_set_operations(spark):
-    a = spark.createDataFrame([(1,), (2,), (3,), (2,), (None,)], "x int")
-    b = spark.createDataFrame([(3,), (4,), (5,), (None,)], "x int")
-    assert rows(setops.subtract_keep(a, b)) == [(1,), (2,), (2,)]
-    assert rows(setops.intersect_set(a, b)) == [(3,), (None,)]
-    assert setops.union_bag(a, b).count() == 9
+    a = spark.createDataFrame([(21,), (8,), (8,), (40,), (8,), (None,)], "x int")
+    b = spark.createDataFrame([(40,), (33,), (None,), (21,)], "x int")
+    assert rows(setops.subtract_keep(a, b)) == [(8,), (8,), (8,)]
+    assert rows(setops.intersect_set(a, b)) == [(21,), (40,), (None,)]
+    assert setops.union_bag(a, b).count() == 10
     assert setops.distinct_rows(a).count() == 4
 
 
