@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import map_batches, stored
@@ -152,82 +152,77 @@ def _voter(shared):
     return run
 
 
-def _bit(k: int) -> Column:
-    return F.shiftright("mask", k).bitwiseAND(1).cast("double")
+def _bits(mask: np.ndarray) -> np.ndarray:
+    return (mask[:, None] >> np.arange(VOTERS) & 1).astype(float)
 
 
-def fit_label_model(votes: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """EM over ``mask, label, n``: firing rates per class, correlations, weights and prior.
+def _posterior(bits: np.ndarray, label: np.ndarray, model: dict[str, np.ndarray]) -> np.ndarray:
+    """Probability of toxic given the voters that fire and, where there is one, the label (else -1)."""
+    gold, prior = model["gold"], model["prior"][0]
+    logit = math.log(prior / (1 - prior)) + bits @ (np.log(model["fire"][0] / model["fire"][1]) * model["trust"])
+    yes, no = math.log(gold[0] / gold[1]), math.log((1 - gold[0]) / (1 - gold[1]))
+    logit = logit + np.where(label == 1, yes, np.where(label == 0, no, 0.0))
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def _moments(votes: DataFrame, model: dict[str, np.ndarray] | None) -> np.ndarray:
+    """Weighted joint firing counts per class, over all votes: voters, label 1, labelled, and one by each other.
 
-    Each round is one aggregation of a few hundred sums, whatever the number of texts.
+    Without a model the labels are the classes. The tables of the tasks are summed cell by cell.
     """
-    k = VOTERS
-    labelled = votes.where("label >= 0")
-
-    def rates(rows: DataFrame, p: Column) -> np.ndarray:
-        """Row 0: toxic, row 1: others; the column after the voters is the label, the last one the total."""
-        n = F.col("n").cast("double")
-        told, gold = (F.col("label") >= 0).cast("double"), F.greatest(F.col("label"), F.lit(0)).cast("double")
-        sums = [F.sum(n * w * x) for w in (p, 1 - p) for x in [*[_bit(i) for i in range(k)], gold, told, F.lit(1.0)]]
-        found = rows.agg(*sums).first()
-        return np.array([x or 0.0 for x in found]).reshape(2, k + 3)
-
-    def posterior(fire: np.ndarray, gold: np.ndarray, prior: float, trust: np.ndarray) -> Column:
-        """Probability of toxic given the voters and, where there is one, the label."""
-        evidence = np.log(fire[0] / fire[1]) * trust
-        logit = F.lit(float(math.log(prior / (1 - prior))))
-        for i in range(k):
-            logit = logit + _bit(i) * float(evidence[i])
-        yes, no = math.log(gold[0] / gold[1]), math.log((1 - gold[0]) / (1 - gold[1]))
-        logit = logit + F.when(F.col("label") == 1, yes).when(F.col("label") == 0, no).otherwise(0.0)
-        return 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))))
-
-    def shares(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        fire = (s[:, :k] + 0.5) / (s[:, k + 2 :] + 1)
-        gold = (s[:, k] + 0.5) / (s[:, k + 1] + 1)
-        return np.clip(fire, 1e-4, 1 - 1e-4), np.clip(gold, 1e-3, 1 - 1e-3), float(np.clip(s[0, k + 2] / max(1.0, s[:, k + 2].sum()), 1e-4, 0.5))
-
-    fire, gold, prior = shares(rates(labelled, F.col("label").cast("double")))
-    gold = np.array([0.95, 0.02])
-    trust = np.full(k, 1.0)
-    for step in range(rounds):
-        p = posterior(fire, gold, prior, trust)
-        if step == 0:  # joint firing within the classes, once the first posteriors are there
-            trust, corr = _trust(votes, p, k)
-            p = posterior(fire, gold, prior, trust)
-        fire, gold, prior = shares(rates(votes, p))
-    return {"fire": fire, "gold": gold, "prior": np.array([prior]), "trust": trust, "correlation": corr}
-
-
-def _trust(votes: DataFrame, p: Column, k: int) -> tuple[np.ndarray, np.ndarray]:
+    side = VOTERS + 3
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, side, side))
+        for batch in batches:
+            mask, label, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "label", "n"))
+            bits = _bits(mask)
+            p = label.clip(0).astype(float) if model is None else _posterior(bits, label, model)
+            n = n * (label >= 0) if model is None else n
+            x = np.column_stack((bits, label == 1, label >= 0, np.ones(len(n)))).astype(float)
+            total += [(x * (n * w)[:, None]).T @ x for w in (p, 1 - p)]
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
+
+    cells = map_batches(votes, run, "sums array<double>").select(F.posexplode("sums").alias("at", "x"))
+    out = np.zeros(2 * side * side)
+    for at, x in cells.groupBy("at").agg(F.sum("x")).collect():  # a fixed number of cells
+        out[at] = x
+    return out.reshape(2, side, side)
+
+
+def _shares(moments: np.ndarray) -> dict[str, np.ndarray]:
+    """Firing rates, label rates and prior from the moments."""
+    one = moments[:, -1, -1]
+    fire = (moments[:, -1, :VOTERS] + 0.5) / (one[:, None] + 1)
+    gold = (moments[:, -1, VOTERS] + 0.5) / (moments[:, -1, VOTERS + 1] + 1)
+    prior = np.clip(one[0] / max(1.0, one.sum()), 1e-4, 0.5)
+    return {"fire": np.clip(fire, 1e-4, 1 - 1e-4), "gold": np.clip(gold, 1e-3, 1 - 1e-3), "prior": np.array([prior])}
+
+
+def _trust(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One over one plus the summed positive correlations of a voter with the others inside the classes."""
-    weighted = votes.select("mask", (F.col("n") * p).alias("w1"), (F.col("n") * (1 - p)).alias("w0"))
-    total = np.zeros((k, k))
-    mass = 0.0
-    for w in ("w1", "w0"):
-        pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        found = weighted.agg(F.sum(w), *[F.sum(F.col(w) * _bit(i) * _bit(j)) for i, j in pairs]).first()
-        size = max(found[0] or 0.0, 1e-9)
-        joint = np.zeros((k, k))
-        for (i, j), x in zip(pairs, found[1:]):
-            joint[i, j] = joint[j, i] = (x or 0.0) / size
+    total = np.zeros((VOTERS, VOTERS))
+    for table in moments:
+        size = max(table[-1, -1], 1e-9)
+        joint = table[:VOTERS, :VOTERS] / size
         mean = np.diag(joint)
         spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
         total += size * (joint - np.outer(mean, mean)) / np.outer(spread, spread)
-        mass += size
-    corr = np.clip(total / max(mass, 1e-9), -1, 1)
+    corr = np.clip(total / max(moments[:, -1, -1].sum(), 1e-9), -1, 1)
     np.fill_diagonal(corr, 1)
     return 1 / np.maximum(1.0, np.clip(corr, 0, 1).sum(1)), corr
 
 
-def label_posterior(model: dict[str, np.ndarray], mask: int, label: int) -> float:
-    fire, gold, trust = model["fire"], model["gold"], model["trust"]
-    bits = np.array([(mask >> i) & 1 for i in range(VOTERS)])
-    logit = math.log(model["prior"][0] / (1 - model["prior"][0]))
-    logit += float((bits * np.log(fire[0] / fire[1]) * trust).sum())
-    if label >= 0:
-        logit += math.log(gold[0] / gold[1]) if label else math.log((1 - gold[0]) / (1 - gold[1]))
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
+def fit_label_model(votes: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """EM over ``mask, label, n``: firing rates per class, correlations, trust, label rates and prior.
+
+    Each round is one aggregation to a table of fixed size, whatever the number of texts.
+    """
+    model = _shares(_moments(votes, None)) | {"trust": np.ones(VOTERS), "gold": np.array([0.95, 0.02])}
+    model["trust"], model["correlation"] = _trust(_moments(votes, model))
+    for _ in range(rounds):
+        model |= _shares(_moments(votes, model))
+    return model
 
 
 def fit_linear(rows: list[tuple[list[int], list[float]]], targets: np.ndarray, terms: int, l2: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -286,9 +281,9 @@ def fit_toxicity(
             yield pa.RecordBatch.from_arrays([*columns, part.column("toxic")], names=["ranks", "dense", "mask", "toxic"])
 
     rows = map_batches(sample, look, "ranks array<int>, dense array<double>, mask long, toxic int")
-    rows = rows.orderBy("mask", "toxic", "ranks", "dense").collect()  # about ``fit_rows`` short rows
-    targets = np.array([label_posterior(model.voters, r["mask"], r["toxic"]) for r in rows])
-    model.weights, model.bias = fit_linear([(r["ranks"], r["dense"]) for r in rows], targets, len(lexicon))
+    rows = sorted((r["ranks"], r["dense"], r["mask"], r["toxic"]) for r in rows.toLocalIterator())  # about ``fit_rows`` short rows
+    targets = _posterior(_bits(np.array([r[2] for r in rows])), np.array([r[3] for r in rows]), model.voters)
+    model.weights, model.bias = fit_linear([r[:2] for r in rows], targets, len(lexicon))
     return model
 
 
