@@ -77,6 +77,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/pulsegrid/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder of any store that Spark reaches; none if it does not exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reaches."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Store a table in the work folder and read it back: fixed rows, and a size that the planner knows, so
     that a join broadcasts it exactly when its bytes are few."""

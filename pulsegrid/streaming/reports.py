@@ -41,6 +41,9 @@ class StreamReports:
     ):
         self.spark, self.base, self.conditions, self.dims = spark, base, conditions, dims
         self.amount, self.schema, self.delay, self.total_key = amount, schema, delay, total_key
+        self.keys = {
+            "totals": [total_key], "subsets": ["subset"], "ranks": ["subset", "dim", "value"], "panes": ["pane"], "values": ["pane", amount],
+        }
 
     def start(self, batches: DataFrame, every: str | None = None) -> dict[str, StreamingQuery]:
         """Start all queries; ``every`` is the trigger interval, without it they stop when caught up."""
@@ -57,30 +60,30 @@ class StreamReports:
             "values": value_counts(timed, "arrived", SLIDE_SECONDS, self.amount),
         }
         queries = {
-            name: start_into_table(df, f"{self.base}/{name}/rows", f"{self.base}/{name}/state", "update", every)
+            name: start_into_table(df, f"{self.base}/{name}/rows", f"{self.base}/{name}/state", "update", every, keys=self.keys[name])
             for name, df in tables.items()
         }
         writer = archive_stream(raw, f"{self.base}/archive/rows", f"{self.base}/archive/state", arrived="arrived_ms")
         writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
         return {**queries, "archive": writer.start()}
 
-    def _latest(self, name: str, keys: list[str]) -> DataFrame:
-        return latest_rows(self.spark, f"{self.base}/{name}/rows", keys)
+    def _latest(self, name: str) -> DataFrame:
+        return latest_rows(self.spark, f"{self.base}/{name}/rows", self.keys[name])
 
     def totals(self) -> DataFrame:
-        return self._latest("totals", [self.total_key])
+        return self._latest("totals")
 
     def subsets(self) -> DataFrame:
-        return self._latest("subsets", ["subset"])
+        return self._latest("subsets")
 
     def ranks(self) -> DataFrame:
-        return self._latest("ranks", ["subset", "dim", "value"])
+        return self._latest("ranks")
 
     def windows(self) -> DataFrame:
-        return windows_of_panes(self._latest("panes", ["pane"]), WINDOW_SECONDS, SLIDE_SECONDS)
+        return windows_of_panes(self._latest("panes"), WINDOW_SECONDS, SLIDE_SECONDS)
 
     def medians(self) -> DataFrame:
-        counts = self._latest("values", ["pane", self.amount])
+        counts = self._latest("values")
         return window_median(counts, WINDOW_SECONDS, SLIDE_SECONDS, self.amount)
 
     def archive(self) -> str:

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from pulsegrid.session import work_path
+from pulsegrid.session import drop_folder, folder_names, work_path
 
-__all__ = ["append_table", "compact", "latest_rows", "latest_since", "run_available", "start_into_table", "state_partitions", "stored_batches"]
+__all__ = ["append_table", "latest_rows", "run_available", "start_into_table", "state_partitions", "store_batch", "stored_batches"]
+
+#: Batches of a table that are merged into one snapshot.
+COMPACT_EVERY = 20
 
 
 @contextmanager
@@ -37,16 +41,19 @@ def start_into_table(
     mode: str = "update",
     every: str | None = None,
     per_batch: Callable[[DataFrame, int], DataFrame] | None = None,
+    keys: list[str] | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start a query whose batch ``n`` replaces the folder ``batch_id=n`` of a Parquet table.
 
     A batch repeated after a failure overwrites its own rows. ``every`` is a trigger interval;
-    without it the query handles what is available and stops.
+    without it the query handles what is available and stops. With ``keys`` (of an update-mode table)
+    every ``compact_every`` batches are merged into a snapshot, and folders that no reader needs go.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = per_batch(batch, batch_id) if per_batch else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        store_batch(rows, path, batch_id, keys, compact_every)
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -54,6 +61,45 @@ def start_into_table(
         return writer.start()
 
 
+def store_batch(rows: DataFrame, path: str, batch_id: int, keys: list[str] | None, compact_every: int = COMPACT_EVERY) -> None:
+    """Write one batch, and a snapshot of everything up to it when its turn has come.
+
+    The snapshot starts from the last one before this batch, so a repeated batch gives the same snapshot.
+    That last one is kept, with the batches after it; what is older is deleted.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    if keys is None or (batch_id + 1) % compact_every:
+        return
+    old = [n for n in _numbers(spark, _snapshot(path)) if n < batch_id]
+    current = _current(spark, path, keys, old[-1] if old else None, batch_id)
+    current.write.mode("overwrite").parquet(f"{_snapshot(path)}/batch_id={batch_id}")
+    if old:
+        for folder, last in ((path, old[-1]), (_snapshot(path), old[-1] - 1)):
+            for n in _numbers(spark, folder):
+                if n <= last:
+                    drop_folder(spark, f"{folder}/batch_id={n}")
+
+
+def _snapshot(path: str) -> str:
+    return f"{path}_snapshot"
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batch folders below a path, in order."""
+    return sorted(int(n.removeprefix("batch_id=")) for n in folder_names(spark, path) if n.startswith("batch_id="))
+
+
+def _current(spark: SparkSession, path: str, keys: list[str], snapshot: int | None, upto: int | None = None) -> DataFrame:
+    """Newest row of each key from a snapshot and the batches after it."""
+    wanted = [n for n in _numbers(spark, path) if (snapshot is None or n > snapshot) and (upto is None or n <= upto)]
+    places = [f"{path}/batch_id={n}" for n in wanted]
+    parts = [spark.read.option("basePath", path).parquet(*places)] if places else []
+    if snapshot is not None:
+        parts.append(spark.read.option("basePath", _snapshot(path)).parquet(f"{_snapshot(path)}/batch_id={snapshot}"))
+    return _newest(reduce(DataFrame.unionByName, parts) if parts else spark.read.parquet(path), keys)
+
+
 def run_available(
     stream: DataFrame,
     name: str,
@@ -73,8 +119,9 @@ def stored_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row of each key in a table of update-mode batches."""
-    return _newest(spark.read.parquet(path), keys)
+    """Newest row of each key in a table of update-mode batches: the last snapshot and the batches after it."""
+    snapshots = _numbers(spark, _snapshot(path))
+    return _current(spark, path, keys, snapshots[-1] if snapshots else None)
 
 
 def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,24 +131,6 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return grouped.select(*keys, "_r.*")
 
 
-def compact(spark: SparkSession, path: str, snapshot: str, keys: list[str]) -> int:
-    """Write the newest row of each key as a snapshot; returns the last batch it covers.
-
-    Later reads need only the snapshot and the batches after it, see :func:`latest_since`.
-    """
-    last = spark.read.parquet(path).agg(F.max("batch_id").alias("b")).first().b
-    rows = spark.read.parquet(path).filter(F.col("batch_id") <= last)
-    _newest(rows, keys).write.mode("overwrite").parquet(f"{snapshot}/batch_id={last}")
-    return last
-
-
-def latest_since(spark: SparkSession, path: str, snapshot: str, keys: list[str], last: int) -> DataFrame:
-    """Newest row of each key from the snapshot of batch ``last`` and the batches after it."""
-    newer = spark.read.parquet(path).filter(F.col("batch_id") > last)
-    known = spark.read.parquet(snapshot).filter(F.col("batch_id") == last)
-    return _newest(known.unionByName(newer), keys)
-
-
 def append_table(stream: DataFrame, name: str) -> DataFrame:
     """Run an append-mode query over everything available and give its rows."""
     return stored_batches(stream.sparkSession, run_available(stream, name, "append")).drop("batch_id")

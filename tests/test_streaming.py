@@ -1,3 +1,4 @@
+import os
 import shutil
 
 import pytest
@@ -54,11 +55,24 @@ def test_running_totals_equal_batch(spark, stream, batch, folder):
     assert rows(found, "sid", "n", "bytes", "amount") == rows(want)
 
 
-def test_snapshot_and_later_batches_equal_all_batches(spark, stream, folder):
-    path = st.run_available(st.running_totals(stream, ["brand"], "price"), "q", path=folder)
-    everything = rows(st.latest_rows(spark, path, ["brand"]))
-    last = st.compact(spark, path, folder + "/snap", ["brand"])
-    assert rows(st.latest_since(spark, path, folder + "/snap", ["brand"], last)) == everything
+def test_fifty_batches_are_read_from_a_snapshot_and_the_later_folders(spark, folder):
+    path, want = folder + "/rows", {}
+    for n in range(50):
+        changed = [(f"k{n % 7}", n), (f"k{(n * 3) % 11}", 100 + n)]
+        want.update(changed)
+        batch = spark.createDataFrame(list(dict(changed).items()), "k string, v long").coalesce(1)
+        st.store_batch(batch, path, n, ["k"], compact_every=10)
+        if n == 29:  # a batch repeated after a failure, its snapshot too
+            st.store_batch(batch, path, n, ["k"], compact_every=10)
+    found = st.latest_rows(spark, path, ["k"])
+    assert dict(rows(found, "k", "v")) == want
+    number = lambda names: sorted(int(x.split("=")[1]) for x in names if x.startswith("batch_id="))
+    assert number(os.listdir(path)) == list(range(40, 50)) and number(os.listdir(path + "_snapshot")) == [39, 49]
+    assert not any("/rows/" in f for f in found.inputFiles())
+    st.store_batch(spark.createDataFrame([("k1", -1)], "k string, v long"), path, 50, ["k"], compact_every=10)
+    again = st.latest_rows(spark, path, ["k"])
+    assert dict(rows(again, "k", "v")) == want | {"k1": -1}
+    assert {f.split("/batch_id=")[1].split("/")[0] for f in again.inputFiles()} == {"49", "50"}
 
 
 def test_lattice_stream_equals_batch(spark, stream, batch, folder):
