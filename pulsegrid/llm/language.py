@@ -156,7 +156,8 @@ def fit_languages(
         having[at] = n
     idf = (np.log((1 + total) / (1 + having)) + 1).astype(np.float32)
 
-    counts = rows.groupBy("lang").agg(F.count("*").alias("of"))
+    # stored, so that the planner sees a small table and does not shuffle the texts to join it
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("of")), "languages")
     share = F.lit(float(fit_rows)) / F.col("of") * F.lit(float(1 << 62))
     sample = rows.join(counts, "lang").where(F.shiftrightunsigned("place", 2).cast("double") < share)
     fitted = sample.select("lang", "text").groupBy("lang").applyInArrow(
