@@ -152,6 +152,17 @@ def stream_sliding_totals(spark, sf):
     return st.windows_of_panes(stored, 3000, 300)
 
 
+@query(
+    "stream_sliding_bytes",
+    f"""WITH {EVENTS}, w AS (SELECT *, (saletime // 1000) // 300 * 300 - o.o * 300 AS window_start FROM ev, (SELECT unnest(range(0, 10)) AS o) o)
+        SELECT window_start, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes FROM w GROUP BY 1""",
+)
+def stream_sliding_bytes(spark, sf):
+    """Number and bytes of the messages in sliding windows."""
+    panes = st.pane_totals(event_stream(spark, sf, "1 hour"), "ts", 300, payload="payload")
+    return st.windows_of_panes(st.latest_rows(spark, st.run_available(panes, "pane_bytes"), ["pane"]), 3000, 300)
+
+
 @query("stream_sliding_by_key", _windows_sql(7200, 3600, key="brand", value="price"))
 def stream_sliding_by_key(spark, sf):
     windows = st.finished_windows(event_stream(spark, sf, "1 day"), "ts", "2 hours", "1 hour", ["brand"], "price")
@@ -316,15 +327,19 @@ def incremental_kpis(spark, sf):
 
 @query(
     "stream_report_job",
-    f"""WITH {EVENTS}, w AS (SELECT (saletime // 1000) // 6 * 6 - o.o * 6 AS window_start, price FROM ev, (SELECT unnest(range(0, 50)) AS o) o),
+    f"""WITH {EVENTS}, ob AS (SELECT *, strlen('{{"SID":"' || sid || '","brand":"' || brand || '"' || coalesce(',"ram":"' || ram || '"', '') || ',"price":' || price || '}}') AS size FROM ev),
+        w AS (SELECT (saletime // 1000) // 6 * 6 - o.o * 6 AS window_start, price FROM ev, (SELECT unnest(range(0, 50)) AS o) o),
         r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY price) AS pos, count(*) OVER (PARTITION BY window_start) AS c FROM w)
-        SELECT 'total ' || brand AS report, count(*) AS n, CAST(sum(price) AS BIGINT) AS amount FROM ev GROUP BY 1
-        UNION ALL SELECT 'subset 1', count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click'
-        UNION ALL SELECT 'subset 3', count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click' AND ram = '69'
-        UNION ALL SELECT 'rank ' || sid, count(*), CAST(sum(price) AS BIGINT) FROM ev WHERE brand = 'click' GROUP BY 1
-        UNION ALL SELECT 'windows', count(DISTINCT window_start), CAST(sum(price) AS BIGINT) FROM w
-        UNION ALL SELECT 'medians', count(*), CAST(sum(price) AS BIGINT) FROM r WHERE pos = greatest(1, floor((c + 1) * 0.5::DOUBLE))
-        UNION ALL SELECT 'archive', count(*), CAST(sum(price) AS BIGINT) FROM ev""",
+        SELECT 'total ' || brand AS report, count(*) AS n, CAST(sum(price) AS BIGINT) AS amount, CAST(sum(size) AS BIGINT) AS bytes FROM ob GROUP BY 1
+        UNION ALL SELECT 'subset 0', count(*), CAST(sum(price) AS BIGINT), CAST(sum(size) AS BIGINT) FROM ob
+        UNION ALL SELECT 'subset 1', count(*), CAST(sum(price) AS BIGINT), CAST(sum(size) AS BIGINT) FROM ob WHERE brand = 'click'
+        UNION ALL SELECT 'subset 2', count(*), CAST(sum(price) AS BIGINT), CAST(sum(size) AS BIGINT) FROM ob WHERE ram = '69' HAVING count(*) > 0
+        UNION ALL SELECT 'subset 3', count(*), CAST(sum(price) AS BIGINT), CAST(sum(size) AS BIGINT) FROM ob WHERE brand = 'click' AND ram = '69' HAVING count(*) > 0
+        UNION ALL SELECT 'rank SID ' || sid, count(*), CAST(sum(price) AS BIGINT), 0 FROM ev WHERE brand = 'click' GROUP BY 1
+        UNION ALL SELECT 'rank brand ' || brand, count(*), CAST(sum(price) AS BIGINT), 0 FROM ev WHERE brand = 'click' GROUP BY 1
+        UNION ALL SELECT 'windows', count(DISTINCT window_start), CAST(sum(price) AS BIGINT), 0 FROM w
+        UNION ALL SELECT 'medians', count(*), CAST(sum(price) AS BIGINT), 0 FROM r WHERE pos = greatest(1, floor((c + 1) * 0.5::DOUBLE))
+        UNION ALL SELECT 'archive', count(*), CAST(sum(price) AS BIGINT), 0 FROM ev""",
 )
 def stream_report_job(spark, sf):
     """All streaming reports over the events as one-message batches, summed up per report."""
@@ -336,19 +351,20 @@ def stream_report_job(spark, sf):
     for running in reports.start(batches).values():
         running.awaitTermination()
 
-    def line(df, report, n, amount):
-        return df.select(report.alias("report"), n.cast("long").alias("n"), amount.cast("long").alias("amount"))
+    def line(df, report, n, amount, size=F.lit(0)):
+        figures = [n.alias("n"), amount.alias("amount"), size.alias("bytes")]
+        return df.select(report.alias("report"), *figures).withColumns({c: F.col(c).cast("long") for c in ("n", "amount", "bytes")})
 
-    n, amount = F.col("n"), F.col("amount")
-    subsets, ranks = reports.subsets().filter("subset in (1, 3)"), reports.ranks().filter("subset = 1 and dim = 'SID'")
+    n, amount, size = F.col("n"), F.col("amount"), F.col("bytes")
+    ranks = reports.ranks().filter("subset = 1")
     windows = reports.windows().agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
     medians = reports.medians().agg(F.count("*").alias("n"), F.sum("median").alias("amount"))
     price = json_field("value", "price", "long")
     archive = scan_cells(spark, reports.archive(), 0, 4102444800000).agg(F.count("*").alias("n"), F.sum(price).alias("amount"))
     return st.union_streams(
-        line(reports.totals(), F.concat(F.lit("total "), "brand"), n, amount),
-        line(subsets, F.concat(F.lit("subset "), F.col("subset").cast("string")), n, amount),
-        line(ranks, F.concat(F.lit("rank "), "value"), n, amount),
+        line(reports.totals(), F.concat(F.lit("total "), "brand"), n, amount, size),
+        line(reports.subsets(), F.concat(F.lit("subset "), F.col("subset").cast("string")), n, amount, size),
+        line(ranks, F.concat_ws(" ", F.lit("rank"), "dim", "value"), n, amount),
         line(windows, F.lit("windows"), n, amount),
         line(medians, F.lit("medians"), n, amount),
         line(archive, F.lit("archive"), n, amount),
