@@ -26,7 +26,7 @@ from pulsegrid.llm.frames import keyed_texts, lower_ascii, packed, stored
 from pulsegrid.llm.words import text_bytes, text_slices
 
 #: The directory never has more than 2**MAX_DEPTH pointers, which bounds its histogram and its broadcast.
-MAX_DEPTH = 16
+MAX_DEPTH = 18
 ENTRY = "key long, sha string, body binary, ids array<long>, n long, top long"
 VERDICT = "entry long, keep_id long, keep_entry long, group_size long"
 
@@ -131,7 +131,7 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 64 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20
 ) -> DataFrame:
     """Per row: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` of the text with A-Z lower-cased.
 
