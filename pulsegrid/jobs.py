@@ -151,6 +151,15 @@ def appliance_report(readings: DataFrame, store: MetricTable, run: int, start: s
     return _publish_and_keep(rows, store, run, channel, f"appliance_{start}_{end}")
 
 
+def model_report(metrics: DataFrame, store: MetricTable, run: int, key: str, channel: str = "models") -> DataFrame:
+    """Figures of each model (a row of ``metrics`` with a ``model`` column): published, and kept once per key."""
+    names = [c for c in metrics.columns if c != "model"]
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("decimal(38,6)").cast("string").alias("value")) for c in names])
+    flat = metrics.select("model", F.inline(cells))
+    rows = metric_rows(flat, F.lit(key), field=F.concat_ws("_", "model", "name"), value=F.col("value"))
+    return _publish_and_keep(rows, store, run, channel, key)
+
+
 def _publish_and_keep(rows: DataFrame, store: MetricTable, run: int, channel: str, key: str) -> DataFrame:
     store.publish(rows, channel, run, channel)
     published = store.rows().filter((F.col("query") == channel) & (F.col("batch_id") == run))

@@ -143,6 +143,82 @@ def classifier_holdout(spark, sf):
     return models.evaluate_all("classify", train, test, {k: _CLASSIFIERS[k] for k in ("logistic", "bayes", "tree")})
 
 
+_MINUTES = """e AS (SELECT event_id, event_type, value, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS minute,
+    ('0x' || substr(md5('123:' || event_id), 1, 8))::BIGINT % 10000 < 6000 AS train FROM events),
+  p AS (SELECT minute, CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) AS prediction FROM e WHERE train GROUP BY 1),
+  s AS (SELECT floor(value * 100 + 0.5) AS label, prediction FROM e JOIN p USING (minute) WHERE NOT train)"""
+
+
+@query("classifier_holdout_share")
+def classifier_holdout_share(spark, sf):
+    """All classifiers, trained on 60 % of the rows and tested on the others."""
+    _, rows = _prepared(spark, sf)
+    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    return models.evaluate_all("classify", split.filter("part = 0"), split.filter("part = 1"), _CLASSIFIERS)
+
+
+_REGRESSORS = {"linear": {"maxIter": 10}, "tree": {"maxDepth": 6, "maxBins": 64}}
+
+
+@query("regression_holdout")
+def regression_holdout(spark, sf):
+    """Regressors trained on four years and tested on three others."""
+    _, rows = _prepared(spark, sf, "active_kw")
+    train, test = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
+    return models.evaluate_all("regress", train, test, _REGRESSORS)
+
+
+@query("regression_holdout_share")
+def regression_holdout_share(spark, sf):
+    """Regressors trained on 60 % of the rows and tested on the others."""
+    _, rows = _prepared(spark, sf, "active_kw")
+    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    return models.evaluate_all("regress", split.filter("part = 0"), split.filter("part = 1"), _REGRESSORS)
+
+
+def _sweep(spark, sf, model, grid):
+    _, rows = _prepared(spark, sf)
+    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    return models.sweep("classify", split.filter("part = 0"), split.filter("part = 1"), model, grid)
+
+
+@query("iteration_sweep")
+def iteration_sweep(spark, sf):
+    """Iterations and regularisation of the logistic model."""
+    return _sweep(spark, sf, "logistic", [{"maxIter": i, "regParam": r} for i in (1, 5, 10) for r in (0.0, 0.1)])
+
+
+@query("forest_sweep")
+def forest_sweep(spark, sf):
+    """Number of trees of the forest."""
+    return _sweep(spark, sf, "forest", [{"numTrees": n, "maxDepth": 4, "seed": 1} for n in (1, 3, 9)])
+
+
+@query("model_report_job")
+def model_report_job(spark, sf):
+    """Figures of every classifier, published and kept once."""
+    from pulsegrid import jobs
+    from pulsegrid.sinks import MetricTable
+
+    _, rows = _prepared(spark, sf)
+    metrics = models.evaluate_all("classify", rows, rows, {k: _CLASSIFIERS[k] for k in ("bayes", "tree")})
+    return jobs.model_report(metrics, MetricTable(spark, work_path(spark, "model_report")), 0, "classify_all_rows")
+
+
+@query(
+    "minute_profile_job",
+    f"""WITH {_MINUTES}
+        SELECT 'minute_profile' AS result_key, 'profile_rows' AS field, CAST(CAST(count(*) AS DECIMAL(38, 6)) AS VARCHAR) AS value FROM s""",
+)
+def minute_profile_job(spark, sf):
+    """The minute profile's held-out rows as a published and kept report."""
+    from pulsegrid import jobs
+    from pulsegrid.sinks import MetricTable
+
+    judged = _minute_scored(spark, sf).agg(F.lit("profile").alias("model"), F.count("*").alias("rows"))
+    return jobs.model_report(judged, MetricTable(spark, work_path(spark, "minute_report")), 0, "minute_profile")
+
+
 @query("classifier_sweep")
 def classifier_sweep(spark, sf):
     """Depth and impurity sweep on a reproducible 60/40 split."""
@@ -197,12 +273,6 @@ def log_label_regression(spark, sf):
     return models.log_label_metrics(scored)
 
 
-_MINUTES = """e AS (SELECT event_id, event_type, value, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS minute,
-    ('0x' || substr(md5('123:' || event_id), 1, 8))::BIGINT % 10000 < 6000 AS train FROM events),
-  p AS (SELECT minute, CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) AS prediction FROM e WHERE train GROUP BY 1),
-  s AS (SELECT floor(value * 100 + 0.5) AS label, prediction FROM e JOIN p USING (minute) WHERE NOT train)"""
-
-
 def _minute_scored(spark, sf):
     from pulsegrid.plans.tables import event_readings
 
