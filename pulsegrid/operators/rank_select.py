@@ -11,11 +11,13 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import rank_position
+from pulsegrid.operators.partitions import running_total
 from pulsegrid.session import written
 
 
@@ -79,7 +81,7 @@ def rank_select(
             _narrow(values, b, accuracy)
             if (b.lo, b.hi) == before:
                 break
-    return _finish(values, brackets)
+    return _finish(values, brackets, finish_rows)
 
 
 def _around(quantiles: list[float], accuracy: int):
@@ -116,22 +118,27 @@ def _narrow(values: DataFrame, b: _Bracket, accuracy: int) -> None:
             b.lo, b.hi, b.below, b.inside = side.lo, side.hi, side.below, side.inside
 
 
-def _finish(values: DataFrame, brackets: list[_Bracket]) -> list[object]:
+def _finish(values: DataFrame, brackets: list[_Bracket], finish_rows: int) -> list[object]:
     """Pick all ranks from the values counted inside their brackets, in one job."""
     found = {i: b.lo for i, b in enumerate(brackets) if b.lo == b.hi}
     rest = {i: b for i, b in enumerate(brackets) if i not in found}
     if rest:
         matched = F.array_compact(F.array(*[F.when(_within(b), F.lit(i)) for i, b in rest.items()]))
-        needs = F.create_map(*[F.lit(x) for i, b in rest.items() for x in (i, b.rank - b.below)])
         counts = (
             values.filter(reduce(lambda x, y: x | y, map(_within, rest.values())))
             .select("v", F.explode(matched).alias("b"))
             .groupBy("b", "v")
             .agg(F.count("*").alias("n"))
         )
-        # at most finish_rows rows of a bracket reach this window, whatever the size of the table
-        upto = F.sum("n").over(Window.partitionBy("b").orderBy("v"))
-        picked = counts.withColumn("upto", upto).filter(F.col("upto") >= needs[F.col("b")])
+        before = dict.fromkeys(rest, 0)
+        if all(b.inside <= finish_rows for b in rest.values()):
+            # at most finish_rows rows of a bracket reach this window, whatever the size of the table
+            counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("b").orderBy("v")))
+        else:  # the sketch could not narrow a bracket down: one running total over all brackets, in range partitions
+            counts = running_total(counts, ["b", "v"], "n")
+            before = dict(zip(rest, accumulate([0, *[b.inside for b in rest.values()]])))
+        needs = F.create_map(*[F.lit(x) for i, b in rest.items() for x in (i, before[i] + b.rank - b.below)])
+        picked = counts.filter(F.col("upto") >= needs[F.col("b")])
         # one row per quantile comes back
         found.update({row.b: row.v for row in picked.groupBy("b").agg(F.min("v").alias("v")).collect()})
     return [found[i] for i in range(len(brackets))]
@@ -160,17 +167,18 @@ def grouped_rank_select(
     column: str,
     q: float,
     buckets: int = 4_096,
-    levels: int = 1,
+    finish_rows: int = 65_536,
     weight: str | None = None,
     name: str = "value",
 ) -> DataFrame:
     """Exact order statistic per group, for groups of any size.
 
     A histogram of ``buckets`` equal steps between the group's extremes locates the bucket that
-    holds the rank, again for each level; only the last bucket's values are counted one by one.
+    holds the rank, again within it until no group's bucket holds more than ``finish_rows`` rows; only
+    the last bucket's values are counted one by one.
     All counts are reduced before they are shuffled, and a window sees at most ``buckets`` rows or
     one bucket's distinct values. The groups are stored, so that the values are not shuffled while the
-    groups' bytes are few. Use a second level for long-tailed columns. ``weight`` counts a row several times.
+    groups' bytes are few. ``weight`` counts a row several times.
     """
     if not groups:
         raise ValueError("name at least one group; rank_select and bucketed_median answer for a whole column")
@@ -181,7 +189,8 @@ def grouped_rank_select(
     placed = _attach(values, bounds, groups)
 
     by_bucket = Window.partitionBy(*groups).orderBy("_b")
-    for _ in range(levels):
+    rows = None
+    while True:
         histogram = (
             placed.withColumn("_b", _bucket(buckets))
             .groupBy(*groups, "_b")
@@ -190,10 +199,16 @@ def grouped_rank_select(
         bounds = (
             histogram.withColumn("_upto", F.sum("_c").over(by_bucket))
             .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_c") < F.col("_need")))
-            .select(*groups, "_lo", "_hi", (F.col("_need") - F.col("_upto") + F.col("_c")).alias("_need"))
+            .select(*groups, "_lo", "_hi", "_c", (F.col("_need") - F.col("_upto") + F.col("_c")).alias("_need"))
         )
+        located = written(bounds, "bounds")
+        open_rows = F.when(F.col("_lo") < F.col("_hi"), F.col("_c"))
+        most, total = located.agg(F.max(open_rows), F.sum("_c")).first()
         # bounds of the located bucket replace those of the group, so one join per level is enough
-        placed = _attach(values, written(bounds, "bounds"), groups).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        placed = _attach(values, located.drop("_c"), groups).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        if most is None or most <= finish_rows or total == rows:
+            break
+        rows = total
     by_value = Window.partitionBy(*groups).orderBy("_v")
     return (
         placed.groupBy(*groups, "_v")
@@ -221,25 +236,16 @@ def _attach(left: DataFrame, right: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def bucketed_median(df: DataFrame, column: str, width: float, q: float = 0.5) -> DataFrame:
-    """Global order statistic through a histogram of fixed bucket width: one small table of
-    buckets with a running total, then the values of the one bucket that holds the rank."""
+    """Global order statistic through a histogram of fixed bucket width: running totals over the buckets,
+    then over the values of the one bucket that holds the rank, both in range partitions."""
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     bucket = F.floor(F.col("v") / F.lit(width))
     histogram = values.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("c"))
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    located = (
-        histogram.withColumn("upto", F.sum("c").over(Window.orderBy("bucket")))
-        .withColumn("n", F.sum("c").over(everything))
-        .withColumn("r", rank_position(F.col("n"), q))
-        .filter((F.col("upto") >= F.col("r")) & (F.col("upto") - F.col("c") < F.col("r")))
-        .select("bucket", (F.col("r") - F.col("upto") + F.col("c")).alias("need"))
-    )
-    return (
-        values.withColumn("bucket", bucket)
-        .join(F.broadcast(located), "bucket")  # a single row
-        .groupBy("v")
-        .agg(F.count("*").alias("c"), F.max("need").alias("need"))
-        .withColumn("upto", F.sum("c").over(Window.orderBy("v")))
-        .filter(F.col("upto") >= F.col("need"))
-        .agg(F.min("v").alias("value"))
-    )
+    rank = quantile_rank(values.count(), q)
+    reached = running_total(histogram, ["bucket"], "c")
+    held = (F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank)
+    found = reached.filter(held).select("bucket", (rank - F.col("upto") + F.col("c")).alias("need")).first()
+    if found is None:
+        return values.agg(F.min("v").alias("value"))
+    inside = values.filter(bucket == found.bucket).groupBy("v").agg(F.count("*").alias("c"))
+    return running_total(inside, ["v"], "c").filter(F.col("upto") >= found.need).agg(F.min("v").alias("value"))

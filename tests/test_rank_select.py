@@ -65,8 +65,8 @@ def test_grouped_matches_full_sort(spark):
     data = [("hot", rng.randrange(10**6)) for _ in range(3000)] + [(f"g{i % 7}", rng.randrange(50)) for i in range(300)]
     data += [("one", 4), (None, 8), (None, 9), ("flat", 3), ("flat", 3)]
     df = spark.createDataFrame(data, "k string, v long")
-    for levels in (1, 2):
-        found = {r.k: r.value for r in grouped_rank_select(df, ["k"], "v", 0.5, buckets=16, levels=levels).collect()}
+    for finish in (5, 65_536):
+        found = {r.k: r.value for r in grouped_rank_select(df, ["k"], "v", 0.5, buckets=16, finish_rows=finish).collect()}
         assert found == {k: expected([v for kk, v in data if kk == k], 0.5) for k in {k for k, _ in data}}
 
 
@@ -90,3 +90,17 @@ def test_grouped_without_broadcast_gives_the_same(spark):
     small = grouped_rank_select(df, ["k"], "v", 0.9, buckets=32)
     plain = grouped_rank_select(df, ["k"], "v", 0.9, buckets=32)
     assert sorted(small.collect()) == sorted(plain.collect())
+
+
+def test_two_heavy_ends_with_a_thin_middle(spark):
+    """A sketch that cannot narrow the bracket still gives the exact rank."""
+    values = [0] * 400 + list(range(1, 200)) + [10_000] * 401
+    found = rank_select(frame(spark, values), "v", [0.45, 0.5, 0.55], finish_rows=20)
+    assert found == [expected(values, q) for q in (0.45, 0.5, 0.55)]
+
+
+def test_long_tail_is_narrowed_level_by_level(spark):
+    values = [v for v in range(3_000)] + [10**12, 10**15]
+    df = frame(spark, values).withColumn("k", F.lit("a"))
+    found = grouped_rank_select(df, ["k"], "v", 0.5, buckets=64, finish_rows=50).first().value
+    assert found == expected(values, 0.5)
