@@ -31,7 +31,7 @@ from pulsegrid.llm.words import find_words, hash_windows, hash_words, text_bytes
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 BATCH_BYTES = 4 << 20
 #: Bytes of text per owner of a hash range.
-OWNER_BYTES = 64 << 20
+OWNER_BYTES = 16 << 20
 HASHES = pa.schema([("batch", pa.int64()), ("owner", pa.int64()), ("hashes", pa.binary()), ("several", pa.binary())])
 HASHES_DDL = "batch long, owner long, hashes binary, several binary"
 ANSWER = pa.schema([("batch", pa.int64()), ("hashes", pa.binary())])
