@@ -62,9 +62,12 @@ def _histograms(rows: DataFrame) -> DataFrame:
 
 def _references(rows: DataFrame) -> DataFrame:
     """One row per language: summed histograms over every text long enough to be judged."""
-    judged = _histograms(rows).where(F.size("words") >= MIN_WORDS)
+    judged = _histograms(rows)
     longest = max(map(len, COMMON_WORDS.values())) + 1
-    total = lambda c, n: F.array(*[F.coalesce(F.sum(F.get(F.col(c), F.lit(i))), F.lit(0)) for i in range(n)])
+    # a condition inside the sums: a filter would be moved down and split every text once more
+    long_enough = F.size("words") >= MIN_WORDS
+    cell = lambda c, i: F.when(long_enough, F.get(F.col(c), F.lit(i)))
+    total = lambda c, n: F.array(*[F.coalesce(F.sum(cell(c, i)), F.lit(0)) for i in range(n)])
     return judged.groupBy("language").agg(
         total("chars", len(CLASSES) + 1).alias("ref_chars"), total("marks", longest).alias("ref_marks")
     )
