@@ -41,6 +41,18 @@ def _prepared(spark, sf, label="label"):
     return model, model.transform(rows).select("id", "ts", "label", "features")
 
 
+def _held_out(spark, sf, how, label="label"):
+    """Training and test rows, by years or by a 60/40 share of the keys; the encoder knows the training rows only."""
+    rows = spread_out(_readings(spark, sf)).withColumn("label", F.col(label))
+    if how == "years":
+        parts = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
+    else:
+        split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+        parts = split.filter("part = 0"), split.filter("part = 1")
+    encoder = features.one_hot_pipeline(_CATEGORIES, _NUMBERS).fit(parts[0])
+    return [encoder.transform(part).select("id", "ts", "label", "features") for part in parts]
+
+
 _ROWS = """rd AS (SELECT l_shipdate AS ts, l_quantity AS quantity, CAST(l_linenumber AS DOUBLE) AS line, l_discount * 100 AS discount,
     l_extendedprice / 1000 AS active_kw, CASE WHEN l_extendedprice / 1000 >= 40 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM lineitem)"""
 
@@ -138,8 +150,7 @@ def classifier_report(spark, sf):
 @query("classifier_holdout")
 def classifier_holdout(spark, sf):
     """Trained on four years, tested on three others."""
-    _, rows = _prepared(spark, sf)
-    train, test = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
+    train, test = _held_out(spark, sf, "years")
     return models.evaluate_all("classify", train, test, {k: _CLASSIFIERS[k] for k in ("logistic", "bayes", "tree")})
 
 
@@ -152,9 +163,8 @@ _MINUTES = """e AS (SELECT event_id, event_type, value, CAST(hour(ts) * 60 + min
 @query("classifier_holdout_share")
 def classifier_holdout_share(spark, sf):
     """All classifiers, trained on 60 % of the rows and tested on the others."""
-    _, rows = _prepared(spark, sf)
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
-    return models.evaluate_all("classify", split.filter("part = 0"), split.filter("part = 1"), _CLASSIFIERS)
+    train, test = _held_out(spark, sf, "share")
+    return models.evaluate_all("classify", train, test, _CLASSIFIERS)
 
 
 _REGRESSORS = {"linear": {"maxIter": 10}, "tree": {"maxDepth": 6, "maxBins": 64}}
@@ -163,23 +173,20 @@ _REGRESSORS = {"linear": {"maxIter": 10}, "tree": {"maxDepth": 6, "maxBins": 64}
 @query("regression_holdout")
 def regression_holdout(spark, sf):
     """Regressors trained on four years and tested on three others."""
-    _, rows = _prepared(spark, sf, "active_kw")
-    train, test = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
+    train, test = _held_out(spark, sf, "years", "active_kw")
     return models.evaluate_all("regress", train, test, _REGRESSORS)
 
 
 @query("regression_holdout_share")
 def regression_holdout_share(spark, sf):
     """Regressors trained on 60 % of the rows and tested on the others."""
-    _, rows = _prepared(spark, sf, "active_kw")
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
-    return models.evaluate_all("regress", split.filter("part = 0"), split.filter("part = 1"), _REGRESSORS)
+    train, test = _held_out(spark, sf, "share", "active_kw")
+    return models.evaluate_all("regress", train, test, _REGRESSORS)
 
 
 def _sweep(spark, sf, model, grid):
-    _, rows = _prepared(spark, sf)
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
-    return models.sweep("classify", split.filter("part = 0"), split.filter("part = 1"), model, grid)
+    train, test = _held_out(spark, sf, "share")
+    return models.sweep("classify", train, test, model, grid)
 
 
 @query("iteration_sweep")
@@ -222,18 +229,16 @@ def minute_profile_job(spark, sf):
 @query("classifier_sweep")
 def classifier_sweep(spark, sf):
     """Depth and impurity sweep on a reproducible 60/40 split."""
-    _, rows = _prepared(spark, sf)
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    train, test = _held_out(spark, sf, "share")
     grid = [{"maxDepth": d, "impurity": i} for d in (1, 3, 5) for i in ("gini", "entropy")]
-    return models.sweep("classify", split.filter("part = 0"), split.filter("part = 1"), "tree", grid)
+    return models.sweep("classify", train, test, "tree", grid)
 
 
 @query("bayes_sweep")
 def bayes_sweep(spark, sf):
-    _, rows = _prepared(spark, sf)
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    train, test = _held_out(spark, sf, "share")
     grid = [{"smoothing": s} for s in (0.001, 0.1, 10.0)]
-    return models.sweep("classify", split.filter("part = 0"), split.filter("part = 1"), "bayes", grid)
+    return models.sweep("classify", train, test, "bayes", grid)
 
 
 @query("score_areas")
@@ -258,10 +263,9 @@ def regression_report(spark, sf):
 
 @query("regression_sweep")
 def regression_sweep(spark, sf):
-    _, rows = _prepared(spark, sf, "active_kw")
-    split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
+    train, test = _held_out(spark, sf, "share", "active_kw")
     grid = [{"maxDepth": d, "maxBins": b} for d in (2, 5) for b in (10, 50)]
-    return models.sweep("regress", split.filter("part = 0"), split.filter("part = 1"), "tree", grid)
+    return models.sweep("regress", train, test, "tree", grid)
 
 
 @query("log_label_regression")
