@@ -1,12 +1,14 @@
 """Personal data: pattern spans, and terms that give the protected entities away.
 
 Patterns find the protected entities. A term beside an entity discloses it as far as seeing the term
-tells which entity is meant: with document counts ``n`` over the whole corpus of ``N`` texts,
+tells which entity is meant: with document counts ``n`` over the whole corpus of ``N`` different texts,
 
     PMI(t; e) = log2(n(e, t) * N / (n(e) * n(t))),   IC(e) = log2(N / n(e)),   disclosure = PMI / IC
 
-which is 1 for a term that occurs with this entity only. Terms at ``remove`` or above are taken out,
-those at ``generalise`` or above are replaced by a class; at least ``support`` texts must show both.
+which is 1 for a term that occurs with this entity only. Few texts are weak evidence, so a term is judged
+by the disclosure with n(e, t) / n(t) replaced by the median of its confidence distribution, close to
+(n(e, t) - 1/3) / (n(t) + 1/3): one text of one counts as a half, eight of eight as 0.92. Every pair is
+judged. Terms at ``remove`` or above are taken out, those at ``generalise`` or above are replaced by a class.
 
 One pass over the texts finds spans and contexts and counts every term of the corpus per batch;
 what follows works on numbers only.
@@ -42,12 +44,12 @@ _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
 SCAN = (
     "doc_id long, th long, spans array<struct<kind:string,start:int,end:int>>, "
-    "context array<struct<entity:string,term:long,start:int,end:int>>, entities array<string>, term long, n long"
+    "context array<struct<entity:string,term:long,start:int,end:int>>, entities array<string>, term long, n double"
 )
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 _NEAR = pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 _SCAN = pa.schema(
-    [("doc_id", pa.int64()), ("th", pa.int64()), ("spans", pa.list_(_SPAN)), ("context", pa.list_(_NEAR)), ("entities", pa.list_(pa.string())), ("term", pa.int64()), ("n", pa.int64())]
+    [("doc_id", pa.int64()), ("th", pa.int64()), ("spans", pa.list_(_SPAN)), ("context", pa.list_(_NEAR)), ("entities", pa.list_(pa.string())), ("term", pa.int64()), ("n", pa.float64())]
 )
 
 
@@ -143,7 +145,7 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text, and a row per distinct term of each slice with the number of its texts."""
+    """A row per text, and a row per distinct term of each slice with the number of its texts, equal ones as one."""
     for part in text_slices(batches, "text"):
         column = part.column("text")
         hashes, first = term_hashes(*text_bytes(column))
@@ -152,10 +154,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, o = hashes[order], owner[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-        terms, counts = np.unique(h[new], return_counts=True)
+        weights = 1 / part.column("copies").to_numpy(zero_copy_only=False)
+        terms, at = np.unique(h[new], return_index=True)
+        counts = np.add.reduceat(weights[o[new]], at) if len(at) else np.zeros(0)
         blank = pa.nulls(len(terms))
         yield pa.RecordBatch.from_arrays(
-            [blank.cast(f.type) for f in list(_SCAN)[:5]] + [pa.array(terms.view(np.int64)), pa.array(counts, pa.int64())], schema=_SCAN
+            [blank.cast(f.type) for f in list(_SCAN)[:5]] + [pa.array(terms.view(np.int64)), pa.array(counts, pa.float64())], schema=_SCAN
         )
         rows = []
         for doc_id, th, text in zip(part.column("doc_id").to_pylist(), part.column("th").to_pylist(), column.to_pylist()):
@@ -167,36 +171,47 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, _SCAN)
 
 
-def disclosing_terms(scan: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
-    """``entity, term, disclosure, action`` of the terms at or above the thresholds."""
+def with_copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts with ``copies``, the rows that have an equal text, and the table of the texts that repeat."""
+    groups = texts.groupBy("th").agg(F.count("*").alias("copies"))
+    # stored, so that the planner knows how small it is before the texts are shuffled for the join
+    groups = stored(groups.where("copies > 1"), "copies")
+    return texts.join(groups, "th", "left").withColumn("copies", F.coalesce("copies", F.lit(1))), groups
+
+
+def disclosing_terms(scan: DataFrame, total: int, generalise: float, remove: float) -> DataFrame:
+    """``entity, term, disclosure, bounded, action`` of the terms whose bounded disclosure is at or above the thresholds."""
     texts = scan.where("term is null")
-    total = texts.count()
-    mentions = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = texts.where(F.size("context") > 0).select("row", F.explode("context").alias("c"))
-    pairs = near.select("row", "c.entity", "c.term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
-    counts = scan.where("term is not null").groupBy("term").agg(F.sum("n").alias("n_t"))
+    mentions = texts.select("th", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    near = texts.where(F.size("context") > 0).select("th", F.explode("context").alias("c"))
+    pairs = near.select("th", "c.entity", "c.term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    counts = scan.where("term is not null").groupBy("term").agg(F.round(F.sum("n")).alias("n_t"))  # whole numbers but for rounding
     joined = pairs.join(counts, "term").join(mentions, "entity")
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    disclosure = F.when(information > 0, (information + F.log2(F.col("n_et") / F.col("n_t"))) / information)
-    action = F.when(F.col("disclosure") >= remove, "remove").when(F.col("disclosure") >= generalise, "generalise")
-    return joined.withColumn("disclosure", disclosure).withColumn("action", action).where("action is not null").select("entity", "term", "disclosure", "action")
+    given = lambda share: F.when(information > 0, (information + F.log2(share)) / information)
+    joined = joined.withColumn("disclosure", given(F.col("n_et") / F.col("n_t"))).withColumn("bounded", given((F.col("n_et") - 1 / 3) / (F.col("n_t") + 1 / 3)))
+    action = F.when(F.col("bounded") >= remove, "remove").when(F.col("bounded") >= generalise, "generalise")
+    return joined.withColumn("action", action).where("action is not null").select("entity", "term", "disclosure", "bounded", "action")
 
 
 def find_personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.7, remove: float = 0.95
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.7, remove: float = 0.95
 ) -> DataFrame:
     """Per row: ``doc_id``, ``th``, ``spans`` of the base kinds and ``terms`` with start, end, disclosure and action.
 
-    Offsets are code points, ends exclusive. A null or empty text has no spans. Rows count as texts of
-    their own, repeated ones too; null ids pass through; a text that holds every entity of the corpus
-    discloses nothing (IC is 0). An empty table gives no rows; other columns are not read.
+    Offsets are code points, ends exclusive. ``disclosure`` is PMI / IC, ``action`` follows its bounded value.
+    A null or empty text has no spans. Every row is marked, but equal texts count as one; null ids pass
+    through; an entity that all texts hold is not disclosed (IC is 0). An empty table gives no rows; other
+    columns are not read.
     """
-    scan = map_batches(keyed_texts(docs, id_col, text_col), _scan, SCAN)
+    keyed, repeated = with_copies(keyed_texts(docs, id_col, text_col))
+    scan = map_batches(keyed, _scan, SCAN)
     scan = stored(scan.withColumn("row", F.monotonically_increasing_id()), "spans")
-    terms = disclosing_terms(scan, support, generalise, remove)
     texts = scan.where("term is null")
+    total = texts.count() - (repeated.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    terms = disclosing_terms(scan, total, generalise, remove)
     near = texts.where(F.size("context") > 0).select("row", F.explode("context").alias("c")).select("row", "c.*")
-    hits = near.join(terms, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max(F.struct("disclosure", "action")).alias("d"))
+    hits = near.join(terms, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max(F.struct("bounded", "disclosure", "action")).alias("d"))
     found = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "d.disclosure", "d.action"))).alias("terms"))
     joined = texts.join(found, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,disclosure:double,action:string>>)")

@@ -229,6 +229,20 @@ def test_disclosing_terms(spark):
     assert "[email]" in clean[0] and "Quendolin" not in clean[0] and clean[61] == "no data"
 
 
+def test_terms_of_entities_in_one_and_two_texts(spark):
+    """Rare pairs are judged, with less weight, and copies of a text are no further evidence."""
+    rng = random.Random(16)
+    rows = [(i, f"{prose(rng, 20)} writes to k{i}@x.org about {prose(rng, 20)}", "en", "s") for i in range(80)]
+    for i, name, mail in ((0, "Quendolin", "jo"), (1, "Ottokar", "al"), (2, "Ottokar", "al")):
+        rows[i] = (i, f"{prose(rng, 20)} {name} writes to {mail}@x.org about {prose(rng, 20)}", "en", "s")
+    rows += [(100 + i, rows[0][1], "en", "s") for i in range(40)]
+    found = {r.doc_id: r for r in pii.find_personal_data(documents(spark, rows)).collect()}
+    for i, text, _, _ in rows:
+        name = "Quendolin" if i == 0 or i >= 100 else "Ottokar" if i in (1, 2) else None
+        assert [text[t["start"] : t["end"]] for t in found[i].terms] == ([name] if name else [])
+        assert all(t["action"] == "generalise" and t["disclosure"] == pytest.approx(1.0) for t in found[i].terms)
+
+
 # tokens
 
 
