@@ -17,6 +17,7 @@ what follows works on numbers only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,12 +129,12 @@ def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    taken = sorted((a, b) for _, a, b in spans)
+    starts, ends = sorted(a for _, a, _ in spans), sorted(b for _, _, b in spans)
     out, names = [], []
     for kind, start, end in spans:
         entity = entity_of(kind, text[start:end])
         for word, a, b in _neighbours(text, start, end):
-            if not any(a < y and x < b for x, y in taken[:1000]):
+            if bisect_left(starts, b) <= bisect_right(ends, a):  # no span begins before its end and ends behind its start
                 out.append({"entity": entity, "term": 0, "start": a, "end": b})
                 names.append(word)
     if out:

@@ -243,6 +243,17 @@ def test_terms_of_entities_in_one_and_two_texts(spark):
         assert all(t["action"] == "generalise" and t["disclosure"] == pytest.approx(1.0) for t in found[i].terms)
 
 
+def test_terms_keep_off_every_span_of_a_text(spark):
+    rng = random.Random(26)
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    rows = [(0, " ".join(f"éq{name(i)}@{name(i)}mail.org" for i in range(1200)), "en", "s")]
+    rows += [(i, prose(rng, 20), "en", "s") for i in range(1, 80)]
+    found = {r.doc_id: r for r in pii.find_personal_data(documents(spark, rows)).collect()}
+    assert len(found[0].spans) == 1200 and not found[0].terms
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(spark, rows)).collect()}
+    assert clean[0] == " ".join(["é[email]"] * 1200)
+
+
 # tokens
 
 
