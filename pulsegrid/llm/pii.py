@@ -1,6 +1,6 @@
 """Personal data: pattern spans, and terms that give the protected entities away.
 
-Patterns find the protected entities. A term beside an entity discloses it as far as seeing the term
+Patterns find the protected entities. A term of a text with an entity discloses it as far as seeing the term
 tells which entity is meant: with document counts ``n`` over the whole corpus of ``N`` different texts,
 
     PMI(t; e) = log2(n(e, t) * N / (n(e) * n(t))),   IC(e) = log2(N / n(e)),   disclosure = PMI / IC
@@ -10,14 +10,15 @@ by the disclosure with n(e, t) / n(t) replaced by the median of its confidence d
 (n(e, t) - 1/3) / (n(t) + 1/3): one text of one counts as a half, eight of eight as 0.92. Every pair is
 judged. Terms at ``remove`` or above are taken out, those at ``generalise`` or above are replaced by a class.
 
-One pass over the texts finds spans and contexts and counts every term of the corpus per batch;
-what follows works on numbers only.
+One pass over the texts counts every term of the corpus per batch and lists the terms of the texts with
+entities; what follows works on numbers only. A second pass marks the disclosing terms wherever they
+stand, in texts without the entity too: a bitmap of fixed size sorts out most other terms in the tasks, a
+join with the disclosing terms decides.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,21 +38,19 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # ASCII letters and everything beyond ASCII
-CONTEXT_CHARS, CONTEXT_TERMS, MIN_TERM = 120, 6, 3
+MIN_TERM = 3
+#: Bits of the bitmap for each disclosing term, and the largest size as a power of two (16 MB).
+BITMAP_BITS, BITMAP_POWER = 32, 27
 
 _FOLD = LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
-SCAN = (
-    "doc_id long, th long, spans array<struct<kind:string,start:int,end:int>>, "
-    "context array<struct<entity:string,term:long,start:int,end:int>>, entities array<string>, term long, n double"
-)
+SCAN = "th long, entities array<string>, terms array<long>, term long, n double"
+MARKED = "doc_id long, th long, spans array<struct<kind:string,start:int,end:int>>, hits array<struct<term:long,start:int,end:int>>"
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-_SCAN = pa.schema(
-    [("doc_id", pa.int64()), ("th", pa.int64()), ("spans", pa.list_(_SPAN)), ("context", pa.list_(_NEAR)), ("entities", pa.list_(pa.string())), ("term", pa.int64()), ("n", pa.float64())]
-)
+_HIT = pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+_SCAN = pa.schema([("th", pa.int64()), ("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.int64())), ("term", pa.int64()), ("n", pa.float64())])
+_MARKED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("spans", pa.list_(_SPAN)), ("hits", pa.list_(_HIT))])
 
 
 def luhn(digits: str) -> bool:
@@ -110,46 +109,30 @@ def entity_of(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else NOT_DIGIT.sub('', value)}"
 
 
-def _neighbours(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
-    """The nearest terms on both sides of a span."""
-    left = max(0, start - CONTEXT_CHARS)
-    before = [m for m in LETTERS.finditer(text, left, start) if m.start() > left or left == 0]
-    stop = min(len(text), end + CONTEXT_CHARS)
-    after = [m for m in LETTERS.finditer(text, end, stop) if m.end() < stop or stop == len(text)]
-    for m in before[-CONTEXT_TERMS:] + after[:CONTEXT_TERMS]:
-        if m.end() - m.start() >= MIN_TERM:
-            yield m.group(), m.start(), m.end()
-
-
-def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every term (letters, A-Z lower-cased) and the first term of each text."""
+def find_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every term (letters, that is ASCII letters and all beyond ASCII; A-Z lower-cased), where it starts
+    and ends in code points, and the first term of each text."""
+    data, offsets = text_bytes(column)
     folded = _FOLD[data]
     starts, ends, first = find_words(folded, offsets)
-    return hash_words(folded, starts, ends), first
-
-
-def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    starts, ends = sorted(a for _, a, _ in spans), sorted(b for _, _, b in spans)
-    out, names = [], []
-    for kind, start, end in spans:
-        entity = entity_of(kind, text[start:end])
-        for word, a, b in _neighbours(text, start, end):
-            if bisect_left(starts, b) <= bisect_right(ends, a):  # no span begins before its end and ends behind its start
-                out.append({"entity": entity, "term": 0, "start": a, "end": b})
-                names.append(word)
-    if out:
-        data, offsets = text_bytes(pa.array(names, pa.string()))
-        hashes, first = term_hashes(data, offsets)
-        for row, at in zip(out, first[:-1].tolist()):
-            row["term"] = int(hashes[at].view(np.int64))
-    return out
+    chars = np.zeros(len(data) + 1, np.int32)
+    np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
+    base = np.repeat(chars[offsets[:-1]], np.diff(first))
+    return hash_words(folded, starts, ends), chars[starts] - base, chars[ends] - base, first
+
+
+def apart(spans: list[tuple[str, int, int]], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which terms overlap none of the spans: no span begins before the term's end and ends behind its start."""
+    begun = np.searchsorted(np.sort([a for _, a, _ in spans]), ends, "left")
+    return begun <= np.searchsorted(np.sort([b for _, _, b in spans]), starts, "right")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text, and a row per distinct term of each slice with the number of its texts, equal ones as one."""
+    """A row per text with entities, and a row per distinct term of each slice with the number of its texts; equal
+    texts count as one. A row without both counts the texts."""
     for part in text_slices(batches, "text"):
         column = part.column("text")
-        hashes, first = term_hashes(*text_bytes(column))
+        hashes, starts, ends, first = find_terms(column)
         owner = np.repeat(np.arange(part.num_rows, dtype=np.int64), np.diff(first))
         order = np.lexsort((owner, hashes))
         h, o = hashes[order], owner[order]
@@ -160,39 +143,82 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.add.reduceat(weights[o[new]], at) if len(at) else np.zeros(0)
         blank = pa.nulls(len(terms))
         yield pa.RecordBatch.from_arrays(
-            [blank.cast(f.type) for f in list(_SCAN)[:5]] + [pa.array(terms.view(np.int64)), pa.array(counts, pa.float64())], schema=_SCAN
+            [blank.cast(f.type) for f in list(_SCAN)[:3]] + [pa.array(terms.view(np.int64)), pa.array(counts, pa.float64())], schema=_SCAN
         )
-        rows = []
-        for doc_id, th, text in zip(part.column("doc_id").to_pylist(), part.column("th").to_pylist(), column.to_pylist()):
+        rows = [{"n": weights.sum()}]
+        for i, (th, text) in enumerate(zip(part.column("th").to_pylist(), column.to_pylist())):
             spans = base_spans(text)
-            rows.append({
-                "doc_id": doc_id, "th": th, "spans": [{"kind": k, "start": a, "end": b} for k, a, b in spans], "context": _contexts(text, spans),
-                "entities": sorted({entity_of(k, text[a:b]) for k, a, b in spans}), "term": None, "n": None,
-            })
+            if spans:
+                own = slice(first[i], first[i + 1])
+                fit = (ends[own] - starts[own] >= MIN_TERM) & apart(spans, starts[own], ends[own])
+                rows.append({"th": th, "entities": sorted({entity_of(k, text[a:b]) for k, a, b in spans}), "terms": np.unique(hashes[own][fit]).view(np.int64)})
         yield pa.RecordBatch.from_pylist(rows, _SCAN)
 
 
-def with_copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Texts with ``copies``, the rows that have an equal text, and the table of the texts that repeat."""
+def _marker(shared, power: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per text: its spans, and the terms outside of them that the bitmap has."""
+        for part in text_slices(batches, "text"):
+            column, words = part.column("text"), shared.value
+            hashes, starts, ends, first = find_terms(column)
+            place = hashes >> np.uint64(64 - power)
+            fit = (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1) & (ends - starts >= MIN_TERM)
+            kept = np.flatnonzero(fit)
+            cuts = np.searchsorted(kept, first)
+            rows = []
+            for i, (doc_id, th, text) in enumerate(zip(*[part.column(c).to_pylist() for c in ("doc_id", "th")], column.to_pylist())):
+                spans, own = base_spans(text), kept[cuts[i] : cuts[i + 1]]
+                if spans:
+                    own = own[apart(spans, starts[own], ends[own])]
+                hits = zip(hashes[own].view(np.int64).tolist(), starts[own].tolist(), ends[own].tolist())
+                rows.append({"doc_id": doc_id, "th": th, "spans": [{"kind": k, "start": a, "end": b} for k, a, b in spans], "hits": [{"term": h, "start": a, "end": b} for h, a, b in hits]})
+            yield pa.RecordBatch.from_pylist(rows, _MARKED)
+
+    return run
+
+
+def term_bitmap(terms: DataFrame) -> tuple[np.ndarray, int]:
+    """Words of 64 bits with a bit set for each term by the first bits of its hash, and the number of these bits."""
+    power = min(BITMAP_POWER, max(10, (BITMAP_BITS * terms.count()).bit_length()))
+    place = F.shiftrightunsigned("term", 64 - power)
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    rows = terms.select(place.alias("place")).groupBy(F.expr("place div 64").alias("at")).agg(F.bit_or(bit).alias("bits"))
+    words = np.zeros(1 << power - 6, np.uint64)
+    table = rows.toArrow()  # at most 2**21 rows of two numbers
+    words[table.column("at").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return words, power
+
+
+def with_copies(texts: DataFrame) -> DataFrame:
+    """Texts with ``copies``, the rows that have an equal text."""
     groups = texts.groupBy("th").agg(F.count("*").alias("copies"))
     # stored, so that the planner knows how small it is before the texts are shuffled for the join
     groups = stored(groups.where("copies > 1"), "copies")
-    return texts.join(groups, "th", "left").withColumn("copies", F.coalesce("copies", F.lit(1))), groups
+    return texts.join(groups, "th", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
 
+def disclosing_terms(scan: DataFrame, generalise: float, remove: float) -> DataFrame:
+    """``term, disclosure, bounded, action`` of the terms whose bounded disclosure of some entity is at or above the thresholds.
 
-def disclosing_terms(scan: DataFrame, total: int, generalise: float, remove: float) -> DataFrame:
-    """``entity, term, disclosure, bounded, action`` of the terms whose bounded disclosure is at or above the thresholds."""
-    texts = scan.where("term is null")
-    mentions = texts.select("th", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = texts.where(F.size("context") > 0).select("th", F.explode("context").alias("c"))
-    pairs = near.select("th", "c.entity", "c.term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    Entities of the same texts have the same counts with every term, so they are judged as one: a text with
+    many entities of its own has no more pairs than terms. Terms too frequent for the entity, were they in all
+    of its texts, are left out before pairs are counted.
+    """
+    total = round(scan.where("term is null and entities is null").agg(F.sum("n")).first()[0] or 0)
+    mentions = scan.select("th", F.explode("entities").alias("entity")).distinct()
+    sets = mentions.groupBy("entity").agg(F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("th")).alias("texts"))
+    sets = mentions.join(sets, "entity").select("th", "n_e", "texts").distinct()
     counts = scan.where("term is not null").groupBy("term").agg(F.round(F.sum("n")).alias("n_t"))  # whole numbers but for rounding
-    joined = pairs.join(counts, "term").join(mentions, "entity")
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
     given = lambda share: F.when(information > 0, (information + F.log2(share)) / information)
-    joined = joined.withColumn("disclosure", given(F.col("n_et") / F.col("n_t"))).withColumn("bounded", given((F.col("n_et") - 1 / 3) / (F.col("n_t") + 1 / 3)))
+    judged = lambda n: given((n - 1 / 3) / (F.col("n_t") + 1 / 3))
+    seen = scan.select("th", F.explode("terms").alias("term")).distinct().join(counts, "term")
+    pairs = seen.join(sets, "th").where(judged(F.col("n_e")) >= min(generalise, remove))
+    pairs = pairs.groupBy("texts", "n_e", "term", "n_t").agg(F.count("*").alias("n_et"))
+    pairs = pairs.select("term", judged(F.col("n_et")).alias("bounded"), given(F.col("n_et") / F.col("n_t")).alias("disclosure"))
     action = F.when(F.col("bounded") >= remove, "remove").when(F.col("bounded") >= generalise, "generalise")
-    return joined.withColumn("action", action).where("action is not null").select("entity", "term", "disclosure", "bounded", "action")
+    pairs = pairs.withColumn("action", action).where("action is not null")
+    return pairs.groupBy("term").agg(F.max(F.struct("bounded", "disclosure", "action")).alias("d")).select("term", "d.*")
 
 
 def find_personal_data(
@@ -205,16 +231,15 @@ def find_personal_data(
     through; an entity that all texts hold is not disclosed (IC is 0). An empty table gives no rows; other
     columns are not read.
     """
-    keyed, repeated = with_copies(keyed_texts(docs, id_col, text_col))
-    scan = map_batches(keyed, _scan, SCAN)
-    scan = stored(scan.withColumn("row", F.monotonically_increasing_id()), "spans")
-    texts = scan.where("term is null")
-    total = texts.count() - (repeated.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
-    terms = disclosing_terms(scan, total, generalise, remove)
-    near = texts.where(F.size("context") > 0).select("row", F.explode("context").alias("c")).select("row", "c.*")
-    hits = near.join(terms, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max(F.struct("bounded", "disclosure", "action")).alias("d"))
-    found = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "d.disclosure", "d.action"))).alias("terms"))
-    joined = texts.join(found, "row", "left")
+    texts = keyed_texts(docs, id_col, text_col)
+    scan = stored(map_batches(with_copies(texts), _scan, SCAN), "terms")
+    terms = stored(disclosing_terms(scan, generalise, remove), "disclosing")
+    words, power = term_bitmap(terms)
+    marked = map_batches(texts, _marker(docs.sparkSession.sparkContext.broadcast(words), power), MARKED)
+    marked = stored(marked.withColumn("row", F.monotonically_increasing_id()), "spans")
+    hits = marked.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").join(terms, "term")
+    found = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "action"))).alias("terms"))
+    joined = marked.join(found, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,disclosure:double,action:string>>)")
     return joined.select("doc_id", "th", "spans", F.coalesce("terms", none).alias("terms"))
 

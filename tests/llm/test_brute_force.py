@@ -254,6 +254,20 @@ def test_terms_keep_off_every_span_of_a_text(spark):
     assert clean[0] == " ".join(["é[email]"] * 1200)
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    """A term that stands far from the entity, and is marked in texts that do not show the entity too."""
+    rng = random.Random(36)
+    rows = [(i, f"Éva-Quendolin {prose(rng, 300)} writes to jo@x.org about {prose(rng, 20)}", "en", "s") for i in range(12)]
+    rows += [(12, f"{prose(rng, 9)} quendolin, {prose(rng, 9)} QUENDOLIN", "en", "s")]
+    rows += [(i, f"{prose(rng, 20)} writes to k{i}@x.org about {prose(rng, 20)}", "en", "s") for i in range(13, 150)]
+    found = {r.doc_id: r for r in pii.find_personal_data(documents(spark, rows)).collect()}
+    names = {i: [text[t["start"] : t["end"]] for t in found[i].terms] for i, text, _, _ in rows}
+    assert names == {i: ["Éva", "Quendolin"] if i < 12 else ["quendolin", "QUENDOLIN"] if i == 12 else [] for i in range(150)}
+    assert found[12].terms[0]["disclosure"] == pytest.approx(1 + np.log2(12 / 13) / np.log2(150 / 12))
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(spark, rows)).collect()}
+    assert not any("quendolin" in clean[i].lower() for i in range(150))
+
+
 # tokens
 
 
