@@ -81,11 +81,11 @@ class _Members:
         self.raw = self.inflater.unused_data if self.inflater.eof else self.inflater.unconsumed_tail
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
+    def until(self, mark: bytes) -> bytes:
         at = self.plain.find(mark)
         while at < 0:
             start = max(0, len(self.plain) - len(mark))
-            if len(self.plain) > most or not self._inflate():
+            if not self._inflate():
                 raise ValueError("record head does not end")
             at = self.plain.find(mark, start)
         out = bytes(self.plain[:at])
@@ -111,11 +111,22 @@ class _Members:
             raise ValueError("member does not end with its record")
         return bytes(self.plain)
 
+    def skip(self) -> bool:
+        """Inflate to the end of the member without keeping it; whether it has one."""
+        self.plain.clear()
+        try:
+            while self._inflate():
+                self.plain.clear()
+        except zlib.error:
+            return False
+        return self.inflater.eof
+
 
 def read_records(chunks: Iterator[bytes], with_payload: bool = False) -> Iterator[dict]:
     """Records in order. Length, block digest and payload digest are checked; ``problem`` says what failed.
 
-    A damaged gzip stream ends the archive with a last record that carries the problem.
+    After a bad head, length or block the next member is read; only a damaged gzip stream ends the archive, with a
+    last record that carries the problem.
     """
     members = _Members(chunks)
     while members.open():
@@ -124,6 +135,8 @@ def read_records(chunks: Iterator[bytes], with_payload: bool = False) -> Iterato
             lines = members.until(b"\r\n\r\n").decode("utf-8", "replace").split("\r\n")
             record["fields"] = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
             length = int(record["fields"]["content-length"])
+            if length < 0:
+                raise ValueError("length below zero")
             block, payload = hashlib.sha256(), hashlib.sha256()
             head, size, parts = bytearray(), 0, []
             in_head = "http" in record["fields"].get("content-type", "")
@@ -152,7 +165,9 @@ def read_records(chunks: Iterator[bytes], with_payload: bool = False) -> Iterato
         except (ValueError, KeyError, zlib.error) as error:
             record["problem"] = f"{type(error).__name__}: {error}"
             yield record
-            return
+            if isinstance(error, zlib.error) or not members.skip():
+                return
+            continue
         yield record
 
 

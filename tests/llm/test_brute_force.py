@@ -484,3 +484,16 @@ def test_without_labels_everything_scores_zero(spark):
     docs = documents(spark, [(1, "some text", "en", "s")])
     labels = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     assert toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).first().score == 0.0
+
+
+def test_long_heads_and_bad_members_lose_no_other_record():
+    digest = hashlib.sha256(b"x").hexdigest()
+    good = [warc.write_record(i, "u" * n, b"x", digest, None, "d") for i, n in ((1, 3), (2, 3 << 20), (3, 5))]
+    packed = lambda data: (lambda z: z.compress(data) + z.flush())(zlib.compressobj(6, zlib.DEFLATED, 31))
+    plain = zlib.decompress(good[0], 31)
+    bad = [packed(b"no head at all" * 100_000), packed(re.sub(rb"(\nContent-Length: )\d+(\r\n\r\nHTTP)", rb"\1many\2", plain)), packed(re.sub(rb"(\nContent-Length: )\d+(\r\n\r\nHTTP)", rb"\g<1>99999\2", plain))]
+    data = b"".join([good[0], bad[0], good[1], bad[1], bad[2], good[2]])
+    for step in (1000, 1 << 16):
+        records = list(warc.read_records(data[i : i + step] for i in range(0, len(data), step)))
+        assert [r["problem"] is None for r in records] == [True, False, True, False, False, True]
+        assert [len(r["fields"]["warc-target-uri"]) for r in records if r["problem"] is None] == [3, 3 << 20, 5]
