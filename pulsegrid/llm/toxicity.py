@@ -1,6 +1,6 @@
 """Toxicity by weak supervision.
 
-1. *Voters.* From a bounded sample of labelled rows come words and word beginnings that toxic texts use far
+1. *Voters.* From all labelled rows come words and word beginnings that toxic texts use far
    more often than others. They are dealt out to many lexicon voters; pattern voters look at how many
    such terms a text has, how dense and how varied they are, and at shouting. A voter fires or not.
 2. *Label model.* Every text of the corpus is reduced to its set of firing voters. An EM over the counts of
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.frames import map_batches, stored
 from pulsegrid.llm.words import text_slices
 
-#: Labelled rows that the lexicon and the classifier are fitted on, at most (in expectation, by hash).
+#: Labelled rows that the classifier is fitted on and whose labels the label model sees, at most (in expectation, by hash).
 FIT_ROWS = 20_000
-LEXICON_SIZE = 2_000
+MIN_TEXTS = 3
 MIN_LOG_ODDS = 3.5
 #: Log likelihood ratio against "the term says nothing"; chance alone reaches it in about one of 10**7 terms.
 MIN_EVIDENCE = 14.0
@@ -112,31 +112,38 @@ class ToxicityModel:
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per slice: texts of either label that have a term; a last row without a term counts the texts."""
     for part in text_slices(batches, "text"):
-        texts, labels = part.column("text").to_pylist(), part.column("toxic").to_pylist()
-        counts = (Counter(), Counter())
-        for text, label in zip(texts, labels):
-            counts[label].update(terms_of(set(WORD.findall(text.lower()))))
+        columns = [part.column(c).to_pylist() for c in ("text", "toxic", "copies")]
+        counts, texts = (Counter(), Counter()), [0.0, 0.0]
+        for text, label, copies in zip(*columns):
+            terms = terms_of(set(WORD.findall(text.lower())))
+            if copies == 1:
+                counts[label].update(terms)
+            else:
+                for t in terms:
+                    counts[label][t] += 1 / copies
+            texts[label] += 1 / copies
         terms = list(counts[0].keys() | counts[1].keys())
-        sums = [[c[t] for t in terms] + [labels.count(k)] for k, c in enumerate(counts)]
-        yield pa.RecordBatch.from_arrays([pa.array([*terms, None], pa.string()), *[pa.array(s, pa.int64()) for s in sums]], names=["term", "clean", "toxic"])
+        sums = [[float(c[t]) for t in terms] + [n] for c, n in zip(counts, texts)]
+        yield pa.RecordBatch.from_arrays([pa.array([*terms, None], pa.string()), *[pa.array(s, pa.float64()) for s in sums]], names=["term", "clean", "toxic"])
 
 
-def build_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> list[str]:
-    """The ``size`` terms with the most evidence for toxic among those with high odds; a term must be in a hundredth of the
-    toxic texts, in three at least."""
-    counts = map_batches(sample, _term_counts, "term string, clean long, toxic long")
-    counts = stored(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+def build_lexicon(labelled: DataFrame) -> list[str]:
+    """All terms with high odds and enough evidence for toxic, most evidence first; a term must be in ``MIN_TEXTS`` toxic
+    texts. Rows of ``text, toxic, copies``; a row counts as one of its copies."""
+    counts = map_batches(labelled, _term_counts, "term string, clean double, toxic double")
+    counts = counts.groupBy("term").agg(F.round(F.sum("clean")).alias("clean"), F.round(F.sum("toxic")).alias("toxic"))
+    # terms in too few toxic texts need not be kept
+    counts = stored(counts.where(F.col("term").isNull() | (F.col("toxic") >= MIN_TEXTS)), "terms")
     texts = counts.where("term is null").first()
     if texts is None or not texts["toxic"] or not texts["clean"]:
         return []
     odds = F.log((F.col("toxic") + 0.5) / (texts["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / (texts["clean"] + 1.0))
-    chosen = counts.where((F.col("toxic") >= max(3, math.ceil(0.01 * texts["toxic"]))) & F.col("term").isNotNull())
+    chosen = counts.where("term is not null")
     both, rate = F.col("toxic") + F.col("clean"), texts["toxic"] / (texts["toxic"] + texts["clean"])
     part = lambda n, share: F.when(n > 0, n * F.log(n / (both * share))).otherwise(0.0)
     evidence = part(F.col("toxic"), rate) + part(F.col("clean"), 1 - rate)
     chosen = chosen.withColumn("evidence", evidence).where((odds >= MIN_LOG_ODDS) & (F.col("evidence") >= MIN_EVIDENCE))
-    chosen = chosen.orderBy(F.desc("evidence"), "term").limit(size)
-    return [r["term"] for r in chosen.collect()]  # at most ``size`` rows
+    return [r["term"] for r in chosen.orderBy(F.desc("evidence"), "term").collect()]
 
 
 def _voter(shared):
@@ -250,20 +257,25 @@ def fit_linear(rows: list[tuple[list[int], list[float]]], targets: np.ndarray, t
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS
 ) -> ToxicityModel:
-    """Fit on ``labels`` (learning rows only). ``fit_rows`` bounds the labelled rows that shape lexicon and classifier;
-    the label model is estimated on every text. Null labels and ids are left out; without both labels the model scores 0.
+    """Fit on ``labels`` (learning rows only). All of them shape the lexicon; ``fit_rows`` bounds those that shape the
+    classifier and anchor the label model, which is estimated on every text. Null labels and ids are left out; without both labels the model scores 0.
     A label other than 0 counts as 1; if an id is labelled twice the higher label holds."""
     labels = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     labels = labels.groupBy(F.col(id_col).cast("long").alias("label_id")).agg((F.max(label_col) != 0).cast("int").alias("toxic"))
     labels = stored(labels, "labels")
-    total = labels.count()
-    share = min(1.0, fit_rows / max(1, total))
+    share = min(1.0, fit_rows / max(1, labels.count()))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), "label_id"), 11) / F.lit(float(1 << 53))
     chosen = F.broadcast(labels.where(place < share))  # about ``fit_rows`` rows of 12 bytes
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # copies of one text are no more evidence: one id of each text counts, found on hashes alone
+    keys = texts.select("doc_id", F.xxhash64("text").alias("th")).join(labels, F.col("doc_id") == F.col("label_id"))
+    keys = keys.groupBy("th", "label_id").agg(F.max("toxic").alias("toxic"), F.count("*").alias("copies"))
+    keys = keys.groupBy("th").agg(F.min(F.struct("label_id", "toxic", "copies")).alias("k")).select("th", "k.*")
+    keys = stored(keys, "texts")
+    labelled = texts.join(keys, (F.col("doc_id") == F.col("label_id")) & (F.xxhash64("text") == F.col("th")))
+    lexicon = build_lexicon(labelled.select("text", "toxic", "copies"))
     sample = texts.join(chosen, F.col("doc_id") == F.col("label_id"))
-    sample = stored(sample.select("text", "toxic").dropDuplicates(["text"]), "sample")  # copies of one text are no more evidence
-    lexicon = build_lexicon(sample)
+    sample = stored(sample.select("text", "toxic").dropDuplicates(["text"]), "sample")
     model = ToxicityModel({t: i for i, t in enumerate(lexicon)})
     if not lexicon:
         return model

@@ -486,6 +486,20 @@ def test_without_labels_everything_scores_zero(spark):
     assert toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).first().score == 0.0
 
 
+def test_toxic_terms_of_a_small_language(spark):
+    """Terms in less than a hundredth of the toxic texts, and more labels than the classifier is fitted on."""
+    rng = random.Random(46)
+    docs, labels = [], []
+    for i in range(6000):
+        toxic = i % 4 == 0
+        word = ("rarevil" if i % 480 == 0 else "commonfoe") if toxic else "calm"
+        docs.append((i, f"{prose(rng, 30)} {word}", "en", "s"))
+        labels.append((i, int(toxic)))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(documents(spark, docs), table, fit_rows=500)
+    assert {"rarevil", "commonfoe"} <= set(model.lexicon)
+
+
 def test_long_heads_and_bad_members_lose_no_other_record():
     digest = hashlib.sha256(b"x").hexdigest()
     good = [warc.write_record(i, "u" * n, b"x", digest, None, "d") for i, n in ((1, 3), (2, 3 << 20), (3, 5))]
