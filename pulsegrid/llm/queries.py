@@ -14,6 +14,7 @@ from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
 from pulsegrid.llm.pii import KINDS, TERM, find_personal_data
 from pulsegrid.llm.quality import judge_quality, quality_sql
+from pulsegrid.llm.resampling import resample
 from pulsegrid.llm.substring_dedup import drop_repeats
 from pulsegrid.llm.toxicity import fit_toxicity, score_toxicity
 from pulsegrid.llm.warc import read_archives, write_archives
@@ -159,3 +160,34 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
     model = fit_languages(docs, ~held_out)
     return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@_query("""
+WITH step AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+g AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+f AS (SELECT rid, unnest(w) AS w FROM d),
+x AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT unnest(w) FROM g) u),
+b AS (
+  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(h), 2),
+         lambda i: 16 * (strpos('123456789ABCDEF', h[i + 1])) + strpos('123456789ABCDEF', h[i + 2]))),
+         lambda c, v: xor(tab[(xor(c, v) & 255) + 1], c >> 8))) % 10000 AS bucket FROM x, step),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN b USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS n FROM (SELECT unnest(w) AS w FROM g) u JOIN b USING (w) GROUP BY 1),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+         / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+v AS (SELECT rid, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM f JOIN b USING (w) JOIN gain USING (bucket) GROUP BY 1),
+r AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN v USING (rid)),
+z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS k,
+             count(*) OVER (PARTITION BY n_features >= 20) AS n FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM o""")
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
