@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.bpe import encode_texts, share_vocabulary
 from pulsegrid.llm.exact_dedup import exact_groups
 from pulsegrid.llm.language import fit_languages, predict_languages
+from pulsegrid.llm.manifest import COLUMNS, build_manifest, fold, leaf_digest
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
 from pulsegrid.llm.pii import KINDS, TERM, find_personal_data
@@ -162,10 +163,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
-@_query("""
-WITH step AS (
+#: The change of a CRC-32 by each byte, as a list ``tab`` in SQL.
+CRC_STEPS = """step AS (
   SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
-         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab)"""
+
+
+def crc_sql(h: str) -> str:
+    """CRC-32 of the bytes whose upper-case hex text is ``h``, beside the list ``tab``."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len({h}), 2),
+         lambda i: 16 * strpos('123456789ABCDEF', {h}[i + 1]) + strpos('123456789ABCDEF', {h}[i + 2]))),
+         lambda c, v: xor(tab[(xor(c, v) & 255) + 1], c >> 8)))"""
+
+
+@_query(f"""
+WITH {CRC_STEPS},
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 g AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -173,9 +185,7 @@ g AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 f AS (SELECT rid, unnest(w) AS w FROM d),
 x AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT unnest(w) FROM g) u),
 b AS (
-  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(h), 2),
-         lambda i: 16 * (strpos('123456789ABCDEF', h[i + 1])) + strpos('123456789ABCDEF', h[i + 2]))),
-         lambda c, v: xor(tab[(xor(c, v) & 255) + 1], c >> 8))) % 10000 AS bucket FROM x, step),
+  SELECT w, {crc_sql('h')} % 10000 AS bucket FROM x, step),
 s AS (SELECT bucket, count(*) AS n FROM f JOIN b USING (w) GROUP BY 1),
 t AS (SELECT bucket, count(*) AS n FROM (SELECT unnest(w) AS w FROM g) u JOIN b USING (w) GROUP BY 1),
 gain AS (
@@ -191,3 +201,54 @@ o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM o""")
 def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _sql_leaf(n_chars: str) -> str:
+    parts = [f"coalesce(strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR, '-')" for v in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _sql_parents(h: str) -> str:
+    return f"list_transform(range(1, len({h}) + 1, 2), lambda i: sha256({h}[i] || coalesce({h}[i + 1], '')))"
+
+
+def _sql_path(levels: str, place: str) -> str:
+    """Side and sibling of a place at every level below the root, as strings ``l``, ``r`` or ``-`` and the digest."""
+    at = f"({place} // (2 ** (k - 1))::BIGINT)"
+    return f"""list_transform(range(1, len({levels})), lambda k: CASE WHEN {at} % 2 = 1 THEN 'l' || {levels}[k][{at}]
+           WHEN {at} + 2 > len({levels}[k]) THEN '-' ELSE 'r' || {levels}[k][{at} + 2] END)"""
+
+
+@_query(f"""
+WITH RECURSIVE {CRC_STEPS},
+leaves AS (
+  SELECT doc_id, lang, {_sql_leaf("n_chars")} AS leaf, {_sql_leaf("(n_chars::HUGEINT + 1)")} AS bad,
+         coalesce({crc_sql("hex(encode(doc_id::VARCHAR))")} % 7 = 0, false) AS hit FROM documents, step),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos FROM leaves),
+up AS (
+  SELECT lang, [list(leaf ORDER BY pos)] AS lv FROM placed GROUP BY lang
+  UNION ALL SELECT lang, list_append(lv, {_sql_parents("lv[-1]")}) FROM up WHERE len(lv[-1]) > 1),
+sub AS (SELECT lang, lv, lv[-1][1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM up WHERE len(lv[-1]) = 1),
+top AS (
+  SELECT [list(subroot ORDER BY pos)] AS lv FROM sub
+  UNION ALL SELECT list_append(lv, {_sql_parents("lv[-1]")}) FROM top WHERE len(lv[-1]) > 1),
+paths AS (
+  SELECT doc_id, leaf, bad, hit, subroot, top.lv[-1][1] AS root,
+         {_sql_path("sub.lv", "p.pos")} || {_sql_path("top.lv", "sub.pos")} AS path
+  FROM placed p JOIN sub ON p.lang IS NOT DISTINCT FROM sub.lang, top WHERE len(top.lv[-1]) = 1),
+folded AS (
+  SELECT *, list_reduce(list_prepend(CASE WHEN hit THEN bad ELSE leaf END, path), lambda a, x:
+         sha256(CASE x[1] WHEN 'l' THEN x[2:] || a WHEN 'r' THEN a || x[2:] ELSE a END)) AS folded_root FROM paths)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(path, lambda x: x[2:]), 'string_agg', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    values = {c: F.col(c) for c in COLUMNS}
+    values["n_chars"] = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    changed = F.when(_remainder(7) == 0, leaf_digest(list(values.values())))
+    rows = build_manifest(docs, seen=changed)
+    rows = rows.withColumn("folded_root", fold(F.coalesce("seen", "leaf"), F.col("proof"), F.col("sides")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
