@@ -13,6 +13,7 @@ from pulsegrid.llm.language import fit_languages, predict_languages
 from pulsegrid.llm.manifest import COLUMNS, build_manifest, fold, leaf_digest
 from pulsegrid.llm.mixing import mix_sources
 from pulsegrid.llm.near_dedup import near_groups
+from pulsegrid.llm.packing import pack_documents
 from pulsegrid.llm.pii import KINDS, TERM, find_personal_data
 from pulsegrid.llm.quality import judge_quality, quality_sql
 from pulsegrid.llm.resampling import resample
@@ -252,3 +253,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+def word_vocabulary() -> str:
+    """Place of the lower-case vocabulary of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query()
+def op13_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), share_vocabulary(spark, word_vocabulary()))
