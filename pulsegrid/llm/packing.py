@@ -14,7 +14,6 @@ text is the sequence of its words, and a worker asks the library once per word t
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +31,11 @@ END_ID = 1
 SHARD_PIECES = 16_384
 KNOWN_WORDS = 300_000
 LONG_WORD = 64
-#: ASCII letters, then ASCII marks without the apostrophe: the vocabulary's pattern cuts between them.
-WORD_AND_MARKS = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+ASKED_AT_ONCE = 10_000
+#: The vocabulary's pattern cuts between a letter and these marks, none of which is part of a special token.
+BEFORE_MARKS = r'([A-Za-z])([.,;:!?")]+)'
+#: Special tokens begin so; the upper-case form of one is ordinary text.
+SPECIAL = "<|"
 
 
 class WordEncoder:
@@ -55,33 +57,35 @@ class WordEncoder:
             self.known[word] = ids
         return ids
 
-    def _ask(self, words: list[str]) -> dict[str, bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(c.ids, np.uint32).tobytes() for w, c in zip(words, coded)}
-
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as bytes of unsigned 32-bit numbers."""
         if len(self.known) > KNOWN_WORDS:
             self.known, self.older = {}, self.known
-        found = [self._recall(w) for w in words]
+        known = self.known
+        found = [known.get(w) for w in words]
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = self._recall(words[i])
         open_ = [i for i, ids in enumerate(found) if ids is None]
-        parts = {}
-        for i in open_:
-            match = WORD_AND_MARKS.fullmatch(words[i])
-            parts[i] = (match[1].lower(), match[2]) if match else (words[i],)
-        new = list({p for each in parts.values() for p in each if self._recall(p) is None})
-        asked = self._ask(new)
-        self.known.update((w, ids) for w, ids in asked.items() if len(w) <= LONG_WORD)
-        for i in open_:
-            found[i] = b"".join(asked[p] if p in asked else self._recall(p) for p in parts[i])
-            if len(words[i]) <= LONG_WORD:
-                self.known[words[i]] = found[i]
+        for at in range(0, len(open_), ASKED_AT_ONCE):
+            part = open_[at : at + ASKED_AT_ONCE]
+            coded = self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)
+            for i, c in zip(part, coded):
+                found[i] = np.array(c.ids, np.uint32).tobytes()
+                if len(words[i]) <= LONG_WORD:
+                    known[words[i]] = found[i]
         return found
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in order, and where each text's ids begin (one more at the end)."""
-        split = pc.ascii_split_whitespace(column.fill_null("").cast(pa.large_string()))
-        coded = split.flatten().dictionary_encode()
+        """Ids of all texts in order, and where each text's ids begin (one more at the end).
+
+        Marks behind a word become words of their own and ASCII words lower case, as the tokenizer would
+        make them, so that a word is asked for once in all its forms.
+        """
+        texts = pc.replace_substring_regex(column.fill_null("").cast(pa.large_string()), BEFORE_MARKS, r"\1 \2")
+        split = pc.ascii_split_whitespace(texts)
+        flat = split.flatten()
+        plain = pc.and_(pc.string_is_ascii(flat), pc.invert(pc.match_substring(flat, SPECIAL)))
+        coded = pc.if_else(plain, pc.ascii_lower(flat), flat).dictionary_encode()
         ids = self.words(coded.dictionary.to_pylist())
         ends = np.cumsum([0, *[len(b) // 4 for b in ids]])
         per_word = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(ids), np.uint32)))
