@@ -4,7 +4,7 @@ import pytest
 from tables import SCHEMA, documents, odd_rows
 
 import corpus_pipeline
-from pulsegrid.llm import bpe, exact_dedup, language, mixing, near_dedup, pii, quality, queries, substring_dedup, toxicity, warc
+from pulsegrid.llm import bpe, exact_dedup, language, manifest, mixing, near_dedup, packing, pii, quality, queries, resampling, substring_dedup, toxicity, warc
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,11 @@ def _warc(docs):
     return warc.read_archives(warc.write_archives(docs, "doc_id", "source", "text")).withColumnRenamed("page_id", "doc_id")
 
 
+def _pack(docs):
+    packed = packing.pack_documents(docs, bpe.share_vocabulary(docs.sparkSession, queries.word_vocabulary()))
+    return packed.where("piece = 0")
+
+
 OPERATORS = {
     "toxicity": _toxicity,
     "warc": _warc,
@@ -37,6 +42,9 @@ OPERATORS = {
     "substring": substring_dedup.drop_repeats,
     "pii": pii.find_personal_data,
     "exact": exact_dedup.exact_groups,
+    "resampling": lambda docs: resampling.resample(docs, docs),
+    "manifest": lambda docs: manifest.build_manifest(docs, columns=("doc_id", "text", "lang")),
+    "packing": _pack,
 }
 
 
