@@ -16,7 +16,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions import minute_of_day, relative_error_pct
+from pulsegrid.functions import minute_of_day, relative_error_pct, threshold_label
 from pulsegrid.operators.aggregates import hard_label_metrics, regression_metrics
 from pulsegrid.operators.power import minute_profile
 
@@ -85,10 +85,12 @@ def log_label_metrics(scored: DataFrame, label: str = "label", prediction: str =
 
 def minute_predictions(train: DataFrame, test: DataFrame, value: str) -> DataFrame:
     """Predict a measure by its mean at the same minute of the day; the profile has at most 1440 rows.
-    A minute not seen in training predicts null."""
+    A minute not seen in training predicts the mean of all training rows."""
     profile = minute_profile(train, value).select("minute", F.col("mean").alias("prediction"))
+    overall = train.agg(F.sum(value) / F.count("*")).first()[0]
     keyed = test.withColumn("minute", minute_of_day("ts"))
-    return keyed.join(F.broadcast(profile), "minute", "left").withColumn("label", F.col(value))
+    joined = keyed.join(F.broadcast(profile), "minute", "left").withColumn("label", F.col(value))
+    return joined.withColumn("prediction", F.coalesce("prediction", F.lit(overall).cast("double")))
 
 
 def with_error(predicted: DataFrame, prediction: str = "prediction", actual: str = "actual") -> DataFrame:
@@ -99,3 +101,9 @@ def predict_at(features_model, fitted, requests: DataFrame) -> DataFrame:
     """Model answer and error for requested times that already carry ``actual`` and ``outcome``."""
     scored = fitted.transform(features_model.transform(requests))
     return with_error(scored)
+
+
+def classify_at(features_model, fitted, requests: DataFrame, threshold: float) -> DataFrame:
+    """Class that a model gives requested times which carry ``actual``, beside the class of the actual reading."""
+    scored = fitted.transform(features_model.transform(requests))
+    return scored.withColumn("actual_label", threshold_label("actual", threshold))

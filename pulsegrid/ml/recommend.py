@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import cosine_similarity
+from pulsegrid.ml.search import best_items
 
 
 def train_als(ratings: DataFrame, rank: int = 50, iterations: int = 10, reg: float = 0.01, seed: int = 1) -> ALSModel:
@@ -27,8 +28,8 @@ def recommend(model: ALSModel, users: DataFrame, k: int, titles: DataFrame | Non
 
 
 def recommend_all(model: ALSModel, k: int) -> DataFrame:
-    """Top ``k`` products of every user as (user, rank, product, score): Spark's blocked recommendation."""
-    return _flat(model.recommendForAllUsers(k))
+    """Top ``k`` products of every user as (user, rank, product, score): exact search that leaves out products too short to count."""
+    return best_items(model.userFactors, model.itemFactors, k)
 
 
 def _flat(recs: DataFrame) -> DataFrame:

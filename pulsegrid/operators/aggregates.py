@@ -116,10 +116,10 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.corr(x, y).alias("correlation"))
 
 
-def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Counts of the four outcomes of a 0/1 prediction."""
+def confusion(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
+    """Counts of the four outcomes of a 0/1 prediction, for all rows or per key."""
     positive, said = F.col(label) == 1, F.col(prediction) == 1
-    return df.agg(
+    return df.groupBy(*(keys or [])).agg(
         F.count_if(positive & said).alias("tp"),
         F.count_if(~positive & said).alias("fp"),
         F.count_if(~positive & ~said).alias("tn"),
@@ -131,17 +131,18 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b).otherwise(F.lit(0.0))
 
 
-def hard_label_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def hard_label_metrics(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
     """Accuracy and the areas under the ROC and precision-recall curves of a hard 0/1 prediction.
 
     A hard prediction gives a curve with one inner point, so both areas have a closed form.
     """
-    c = confusion(df, label, prediction)
+    c = confusion(df, label, prediction, keys)
     tp, fp, tn, fn = (F.col(x).cast("double") for x in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
     tpr, fpr = _ratio(tp, tp + fn), _ratio(fp, fp + tn)
     precision, base = _ratio(tp, tp + fp), _ratio(tp + fn, n)
     return c.select(
+        *(keys or []),
         "tp",
         "fp",
         "tn",
