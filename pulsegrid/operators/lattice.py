@@ -32,29 +32,43 @@ def subset_label(conditions: Conditions, subset: Column) -> Column:
     return F.when(subset == 0, F.lit("all")).otherwise(text)
 
 
-def expand_subsets(df: DataFrame, conditions: Conditions, mask: str = "mask") -> DataFrame:
-    """A row for each subset of the conditions that the mask meets; only the bits that are set double the rows."""
-    last = len(_pairs(conditions)) - 1
-    if last < 0:
-        return df.withColumn("subset", F.lit(0).cast("long"))
+#: Conditions whose subsets are formed before rows are added up again.
+CHUNK = 5
+
+
+def expand_subsets(df: DataFrame, bits: range, mask: str = "mask") -> DataFrame:
+    """``subset``: the mask with any of its bits in a range cleared; a row for each, so only the bits that are set double the rows."""
+    if not len(bits):
+        return df.withColumn("subset", F.col(mask))
+    rest = ~sum(1 << i for i in bits)
     subsets = F.expr(
-        f"aggregate(sequence(0, {last}), array(0L), (found, i) -> "
+        f"aggregate(sequence({bits[0]}, {bits[-1]}), array(`{mask}` & {rest}L), (found, i) -> "
         f"if(shiftright(`{mask}`, i) & 1L = 1L, concat(found, transform(found, s -> s | shiftleft(1L, i))), found))"
     )
     return df.withColumn("subset", F.explode(subsets))
 
 
+def superset_sums(summed: DataFrame, conditions: Conditions, keys: list[str], measures: list[str]) -> DataFrame:
+    """Sums per ``mask`` and keys become sums per ``subset`` and keys: of all masks that hold the subset.
+
+    A few bits at a time are cleared and the rows added up, so that there are never more rows than
+    subsets that occur times what a few bits multiply, however many conditions there are.
+    """
+    n = len(_pairs(conditions))
+    out = summed
+    for low in range(0, max(n, 1), CHUNK):
+        spread = expand_subsets(out, range(low, min(low + CHUNK, n)))
+        out = spread.groupBy(F.col("subset").alias("mask"), *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return out.withColumnRenamed("mask", "subset")
+
+
 def lattice_totals(df: DataFrame, conditions: Conditions, amount: str, payload: str = "payload") -> DataFrame:
     """Count, bytes and amount of every subset."""
     masked = df.groupBy(condition_mask(conditions).alias("mask")).agg(
         F.count("*").alias("n"), F.sum(byte_length(payload)).alias("bytes"), F.sum(amount).alias("amount")
     )
-    return (
-        expand_subsets(masked, conditions)
-        .groupBy("subset")
-        .agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.sum("amount").alias("amount"))
-        .withColumn("label", subset_label(conditions, F.col("subset")))
-    )
+    found = superset_sums(masked, conditions, [], ["n", "bytes", "amount"])
+    return found.withColumn("label", subset_label(conditions, F.col("subset")))
 
 
 def lattice_rankings(df: DataFrame, conditions: Conditions, dims: list[str], amount: str) -> DataFrame:
@@ -65,12 +79,8 @@ def lattice_rankings(df: DataFrame, conditions: Conditions, dims: list[str], amo
         F.col(amount).alias("amount"),
     )
     summed = masked.groupBy("mask", "d.dim", "d.value").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
-    return (
-        expand_subsets(summed, conditions)
-        .groupBy("subset", "dim", "value")
-        .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
-        .withColumn("label", subset_label(conditions, F.col("subset")))
-    )
+    found = superset_sums(summed, conditions, ["dim", "value"], ["n", "amount"])
+    return found.withColumn("label", subset_label(conditions, F.col("subset")))
 
 
 def top_of_lattice(rankings: DataFrame, measure: str, k: int) -> DataFrame:

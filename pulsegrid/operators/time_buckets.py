@@ -42,11 +42,11 @@ def time_distribution(
     first, last, width = bucket_bounds(start_ms, end_ms, nodes, anchor)
     inside = df.filter(time_range(df, time_col, first, last))
     total = F.count("*") if measure is None else F.sum(measure)
-    counted = inside.groupBy(_position(df, time_col, first, width).alias("pos")).agg(total.alias("amount"))
+    counted = inside.groupBy(bucket_position(df, time_col, first, width).alias("pos")).agg(total.alias("amount"))
     return fill_buckets(counted, first, width, nodes)
 
 
-def _position(df: DataFrame, time_col: str, first: int, width: int) -> Column:
+def bucket_position(df: DataFrame, time_col: str, first: int, width: int) -> Column:
     """1-based bucket of a time."""
     if isinstance(df.schema[time_col].dataType, (T.TimestampType, T.TimestampNTZType)):
         at = epoch_millis(time_col)
@@ -75,7 +75,7 @@ def distribution_report(
     key, name = condition_key(conditions), "count" if measure is None else "amount"
     found = condition_filter(df, conditions).filter(time_range(df, time_col, start_ms, end_ms))
     total = F.count("*") if measure is None else F.sum(measure)
-    per_bucket = found.groupBy(_position(df, time_col, first, width).alias("pos")).agg(
+    per_bucket = found.groupBy(bucket_position(df, time_col, first, width).alias("pos")).agg(
         total.alias("amount"), F.sum(byte_length(payload)).alias("bytes")
     )
     summed = per_bucket.agg(

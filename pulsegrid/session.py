@@ -104,3 +104,27 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so later jobs see fixed partitions and rows."""
     work_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file under its final name at once: readers see all of it or none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    fs = where.getFileSystem(conf)
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(where, False)
+    if not fs.rename(draft, where):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file of any store that Spark reaches."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    source = where.getFileSystem(conf).open(where)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

@@ -12,7 +12,7 @@ from pulsegrid.schema import MESSAGE
 from pulsegrid.sinks.archive import archive_stream
 from pulsegrid.sources.messages import split_batches
 from pulsegrid.streaming.runs import latest_rows, start_into_table
-from pulsegrid.streaming.totals import lattice_stream, running_totals
+from pulsegrid.streaming.totals import lattice_stream, lattice_subsets, running_totals
 from pulsegrid.streaming.windows import event_time, pane_totals, value_counts, window_median, windows_of_panes
 
 __all__ = ["StreamReports"]
@@ -42,7 +42,7 @@ class StreamReports:
         self.spark, self.base, self.conditions, self.dims = spark, base, conditions, dims
         self.amount, self.schema, self.delay, self.total_key = amount, schema, delay, total_key
         self.keys = {
-            "totals": [total_key], "subsets": ["subset"], "ranks": ["subset", "dim", "value"], "panes": ["pane"], "values": ["pane", amount],
+            "totals": [total_key], "subsets": ["mask"], "ranks": ["mask", "dim", "value"], "panes": ["pane"], "values": ["pane", amount],
         }
 
     def start(self, batches: DataFrame, every: str | None = None) -> dict[str, StreamingQuery]:
@@ -74,10 +74,10 @@ class StreamReports:
         return self._latest("totals")
 
     def subsets(self) -> DataFrame:
-        return self._latest("subsets")
+        return lattice_subsets(self._latest("subsets"), self.conditions)
 
     def ranks(self) -> DataFrame:
-        return self._latest("ranks")
+        return lattice_subsets(self._latest("ranks"), self.conditions)
 
     def windows(self) -> DataFrame:
         return windows_of_panes(self._latest("panes"), WINDOW_SECONDS, SLIDE_SECONDS)

@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pulsegrid.session import drop_folder, folder_names, work_path
+from pulsegrid.streaming.ledger import OffsetLedger
 
 __all__ = ["append_table", "latest_rows", "run_available", "start_into_table", "state_partitions", "store_batch", "stored_batches"]
 
@@ -43,17 +44,23 @@ def start_into_table(
     per_batch: Callable[[DataFrame, int], DataFrame] | None = None,
     keys: list[str] | None = None,
     compact_every: int = COMPACT_EVERY,
+    ledger: OffsetLedger | None = None,
 ) -> StreamingQuery:
     """Start a query whose batch ``n`` replaces the folder ``batch_id=n`` of a Parquet table.
 
     A batch repeated after a failure overwrites its own rows. ``every`` is a trigger interval;
     without it the query handles what is available and stops. With ``keys`` (of an update-mode table)
-    every ``compact_every`` batches are merged into a snapshot, and folders that no reader needs go.
+    every ``compact_every`` batches are merged into a snapshot, and folders that no reader needs go. A
+    ``ledger`` keeps the offsets of every batch and the rows that it handed on.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation() if ledger else None
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("rows")) if ledger else batch
         rows = per_batch(batch, batch_id) if per_batch else batch
         store_batch(rows, path, batch_id, keys, compact_every)
+        if ledger:
+            ledger.record(checkpoint, batch_id, seen.get["rows"])
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -106,10 +113,15 @@ def run_available(
     mode: str = "update",
     per_batch: Callable[[DataFrame, int], DataFrame] | None = None,
     path: str | None = None,
+    keys: list[str] | None = None,
+    compact_every: int = COMPACT_EVERY,
+    ledger: OffsetLedger | None = None,
 ) -> str:
     """Run over everything available, wait, and return the path of the table of batches."""
     base = path or work_path(stream.sparkSession, name)
-    query = start_into_table(stream, f"{base}/rows", f"{base}/checkpoint", mode, per_batch=per_batch)
+    query = start_into_table(
+        stream, f"{base}/rows", f"{base}/checkpoint", mode, per_batch=per_batch, keys=keys, compact_every=compact_every, ledger=ledger
+    )
     query.awaitTermination()
     return f"{base}/rows"
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import byte_length
 from pulsegrid.operators.filters import Conditions
-from pulsegrid.operators.lattice import condition_mask, expand_subsets
+from pulsegrid.operators.lattice import condition_mask, superset_sums
 
 __all__ = [
     "dim_totals",
     "global_totals",
     "lattice_stream",
+    "lattice_subsets",
     "merge_totals",
     "running_totals",
     "sum_and_count_by_value",
@@ -58,19 +59,26 @@ def dim_totals(stream: DataFrame, dims: list[str], amount: str) -> DataFrame:
 
 
 def lattice_stream(stream: DataFrame, conditions: Conditions, amount: str, payload: str, dims: list[str] | None = None) -> DataFrame:
-    """Running totals of every subset of the conditions; with ``dims`` also per dimension value."""
+    """Running totals per ``mask`` of the conditions that a row meets; with ``dims`` also per dimension value.
+
+    State has a row for each mask that occurs (and value), whatever the number of conditions;
+    :func:`lattice_subsets` makes the subsets of it where it is read.
+    """
     masked = stream.withColumn("mask", condition_mask(conditions))
     if not dims:
-        return expand_subsets(masked, conditions).groupBy("subset").agg(
+        return masked.groupBy("mask").agg(
             F.count("*").alias("n"), F.sum(byte_length(payload)).alias("bytes"), F.sum(amount).alias("amount")
         )
     cells = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("value")) for d in dims])
     flat = masked.select("mask", F.explode(cells).alias("d"), F.col(amount).alias("amount"))
-    return (
-        expand_subsets(flat, conditions)
-        .groupBy("subset", "d.dim", "d.value")
-        .agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
-    )
+    return flat.groupBy("mask", "d.dim", "d.value").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+
+
+def lattice_subsets(totals: DataFrame, conditions: Conditions) -> DataFrame:
+    """Totals of every subset of the conditions from the totals per mask."""
+    measures = [c for c in ("n", "bytes", "amount") if c in totals.columns]
+    keys = [c for c in ("dim", "value") if c in totals.columns]
+    return superset_sums(totals, conditions, keys, measures)
 
 
 def user_purchases(stream: DataFrame, user: str, price: str) -> DataFrame:

@@ -76,12 +76,14 @@ def test_fifty_batches_are_read_from_a_snapshot_and_the_later_folders(spark, fol
 
 
 def test_lattice_stream_equals_batch(spark, stream, batch, folder):
-    totals = stored(spark, st.lattice_stream(stream, RULES, "price", "payload"), folder + "/a", ["subset"])
+    totals = stored(spark, st.lattice_stream(stream, RULES, "price", "payload"), folder + "/a", ["mask"])
+    totals = st.lattice_subsets(totals, RULES)
     want = lattice_totals(batch, RULES, "price").select("subset", "n", "bytes", "amount")
     assert rows(totals, "subset", "n", "bytes", "amount") == rows(want)
     ranks = stored(
-        spark, st.lattice_stream(stream, RULES, "price", "payload", ["sid"]), folder + "/b", ["subset", "dim", "value"]
+        spark, st.lattice_stream(stream, RULES, "price", "payload", ["sid"]), folder + "/b", ["mask", "dim", "value"]
     )
+    ranks = st.lattice_subsets(ranks, RULES)
     columns = ("subset", "dim", "value", "n", "amount")
     assert rows(ranks, *columns) == rows(lattice_rankings(batch, RULES, ["sid"], "price"), *columns)
 
