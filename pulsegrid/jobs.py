@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions import half_up
+from pulsegrid.functions import half_up, series_text
 from pulsegrid.operators import aggregates as agg
 from pulsegrid.operators import power, ranking
 from pulsegrid.operators.filters import Conditions, condition_key
@@ -136,8 +136,9 @@ def power_report(readings: DataFrame, store: MetricTable, run: int, start: str,
 
 
 def appliance_report(readings: DataFrame, store: MetricTable, run: int, start: str, end: str, channel: str = "appliance") -> DataFrame:
-    """Usage per room between two times: published, and kept once per period."""
-    usage = power.appliance_usage(power.between_times(readings, start, end))
+    """Usage per room between two times, and its energy by month: published, and kept once per period."""
+    inside = power.between_times(readings, start, end)
+    usage = power.appliance_usage(inside)
     figures = F.array(
         F.struct(F.lit("hours").alias("name"), F.col("hours").cast("string").alias("value")),
         F.struct(F.lit("hours_per_day").alias("name"), _text("hours_per_day", 2).alias("value")),
@@ -148,7 +149,18 @@ def appliance_report(readings: DataFrame, store: MetricTable, run: int, start: s
     rows = metric_rows(
         flat, F.lit(f"appliance_{start}_{end}"), field=F.concat_ws("_", "room", "name"), value=F.col("value")
     )
-    return _publish_and_keep(rows, store, run, channel, f"appliance_{start}_{end}")
+    return _publish_and_keep(rows.unionByName(_room_series(inside, start, end)), store, run, channel, f"appliance_{start}_{end}")
+
+
+def _room_series(inside: DataFrame, start: str, end: str) -> DataFrame:
+    """Months and energy of each room as two texts."""
+    monthly = power.appliance_by(inside, "month")
+    texts = monthly.groupBy("room").agg(
+        series_text("month", "month").alias("months"), series_text("month", F.round("kwh", 3)).alias("month_kwh")
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("months", "month_kwh")])
+    flat = texts.select("room", F.inline(cells))
+    return metric_rows(flat, F.lit(f"appliance_{start}_{end}"), field=F.concat_ws("_", "room", "name"), value=F.col("value"))
 
 
 def model_report(metrics: DataFrame, store: MetricTable, run: int, key: str, channel: str = "models") -> DataFrame:

@@ -22,9 +22,19 @@ def between_times(readings: DataFrame, start: str, end: str) -> DataFrame:
 
 def power_by_month(readings: DataFrame) -> DataFrame:
     """kWh per month: a minute at 1 kW is 1/60 kWh."""
-    return readings.groupBy(month_label("ts").alias("month")).agg(
+    by_month = readings.groupBy(_month_number().alias("_m")).agg(
         (F.sum("active_kw") / 60).alias("active_kwh"), (F.sum("reactive_kw") / 60).alias("reactive_kwh")
     )
+    return by_month.select(_label_of("_m").alias("month"), "active_kwh", "reactive_kwh")
+
+
+def _month_number():
+    """Months since year 0, a number to group by; the label is made of it once per month."""
+    return F.year("ts") * 12 + F.month("ts") - 1
+
+
+def _label_of(number: str):
+    return month_label(F.make_date(F.floor(F.col(number) / 12).cast("int"), F.pmod(F.col(number), F.lit(12)) + 1, F.lit(1)))
 
 
 def power_by_day(readings: DataFrame, year: int, month: int) -> DataFrame:
@@ -79,9 +89,10 @@ def appliance_usage(readings: DataFrame) -> DataFrame:
 
 def appliance_by(readings: DataFrame, period: str) -> DataFrame:
     """Energy per room and ``month`` (label) or ``day`` (day of month): summed wide, then unpivoted."""
-    key = month_label("ts") if period == "month" else F.dayofmonth("ts")
-    wide = readings.groupBy(key.alias(period)).agg(*[(F.sum(r) / 1000).alias(r) for r in ROOMS])
-    return wide.unpivot([period], ROOMS, "room", "kwh")
+    key = _month_number() if period == "month" else F.dayofmonth("ts")
+    wide = readings.groupBy(key.alias("_m")).agg(*[(F.sum(r) / 1000).alias(r) for r in ROOMS])
+    label = _label_of("_m") if period == "month" else F.col("_m")
+    return wide.select(label.alias(period), *ROOMS).unpivot([period], ROOMS, "room", "kwh")
 
 
 def minute_profile(readings: DataFrame, value: str) -> DataFrame:

@@ -235,17 +235,47 @@ def _attach(left: DataFrame, right: DataFrame, groups: list[str]) -> DataFrame:
     return left.join(right, same).drop(*keys.values())
 
 
+#: Rows of counts that the driver reads at once to find a rank in them.
+FOLD = 4096
+
+
+def _holder(counts: DataFrame, rank: int) -> tuple[object, int] | None:
+    """The value of ``(x, c)`` counts that holds a rank, and the rank among its copies.
+
+    Counts are folded into at most ``FOLD`` steps between the extremes, of which the one that holds the
+    rank is folded again, until few values are left.
+    """
+    while True:
+        low, high, values = counts.agg(F.min("x"), F.max("x"), F.count("*")).first()
+        if values == 0:
+            return None
+        if values <= FOLD:
+            rows = sorted(counts.select("x", "c").collect())
+        else:
+            step = F.floor((F.col("x") - F.lit(low)).cast("double") / (float(high) - float(low)) * (FOLD - 1))
+            rows = sorted(counts.groupBy(step.alias("x")).agg(F.sum("c").alias("c")).collect())
+        upto = 0
+        for x, c in rows:
+            if rank <= upto + c:
+                break
+            upto += c
+        else:
+            return None
+        rank -= upto
+        if values <= FOLD:
+            return x, rank
+        counts = counts.filter(step == x)
+
+
 def bucketed_median(df: DataFrame, column: str, width: float, q: float = 0.5) -> DataFrame:
-    """Global order statistic through a histogram of fixed bucket width: running totals over the buckets,
-    then over the values of the one bucket that holds the rank, both in range partitions."""
+    """Global order statistic through a histogram of fixed bucket width, then the values of the one bucket that holds the rank."""
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     bucket = F.floor(F.col("v") / F.lit(width))
-    histogram = values.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("c"))
-    rank = quantile_rank(values.count(), q)
-    reached = running_total(histogram, ["bucket"], "c")
-    held = (F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank)
-    found = reached.filter(held).select("bucket", (rank - F.col("upto") + F.col("c")).alias("need")).first()
+    histogram = written(values.groupBy(bucket.alias("x")).agg(F.count("*").alias("c")), "histogram")
+    n = histogram.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    found = _holder(histogram, quantile_rank(n, q)) if n else None
     if found is None:
         return values.agg(F.min("v").alias("value"))
-    inside = values.filter(bucket == found.bucket).groupBy("v").agg(F.count("*").alias("c"))
-    return running_total(inside, ["v"], "c").filter(F.col("upto") >= found.need).agg(F.min("v").alias("value"))
+    inside = written(values.filter(bucket == found[0]).groupBy(F.col("v").alias("x")).agg(F.count("*").alias("c")), "bucket")
+    held = _holder(inside, found[1])
+    return inside.filter(F.col("x") == F.lit(held[0])).select(F.col("x").alias("value"))

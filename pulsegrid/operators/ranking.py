@@ -49,9 +49,18 @@ def top_words(df: DataFrame, text: str, k: int, pattern: str = r"\s+") -> DataFr
     return rank_by_count(words, "word", k)
 
 
-def top_per_group(df: DataFrame, groups: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:
+#: Spark limits a group before the shuffle up to this rank only.
+GROUP_LIMIT = 1000
+
+
+def top_per_group(df: DataFrame, groups: list[str], order: list[Column], k: int, name: str = "rank", salts: int = 64) -> DataFrame:
     """First ``k`` rows of each group. Spark limits each group to ``k`` rows before the shuffle, so a
-    hot group never meets in one task."""
+    hot group never meets in one task. Beyond Spark's limit a group is ranked in ``salts`` parts first,
+    and only the first ``k`` rows of each part meet."""
+    if k > GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id()), F.lit(salts)))
+        part = F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order))
+        df = salted.withColumn("_part", part).filter(F.col("_part") <= k).drop("_salt", "_part")
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
     return ranked.filter(F.col(name) <= k)
 

@@ -151,13 +151,14 @@ def classifier_report(spark, sf):
 def classifier_holdout(spark, sf):
     """Trained on four years, tested on three others."""
     train, test = _held_out(spark, sf, "years")
-    return models.evaluate_all("classify", train, test, {k: _CLASSIFIERS[k] for k in ("logistic", "bayes", "tree")})
+    return models.evaluate_all("classify", train, test, _CLASSIFIERS)
 
 
 _MINUTES = """e AS (SELECT event_id, event_type, value, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS minute,
     ('0x' || substr(md5('123:' || event_id), 1, 8))::BIGINT % 10000 < 6000 AS train FROM events),
   p AS (SELECT minute, CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) AS prediction FROM e WHERE train GROUP BY 1),
-  s AS (SELECT floor(value * 100 + 0.5) AS label, prediction FROM e JOIN p USING (minute) WHERE NOT train)"""
+  a AS (SELECT CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS DOUBLE) / count(*) AS overall FROM e WHERE train),
+  s AS (SELECT floor(value * 100 + 0.5) AS label, coalesce(prediction, overall) AS prediction FROM e LEFT JOIN p USING (minute), a WHERE NOT train)"""
 
 
 @query("classifier_holdout_share")
@@ -203,26 +204,32 @@ def forest_sweep(spark, sf):
 
 @query("model_report_job")
 def model_report_job(spark, sf):
-    """Figures of every classifier, published and kept once."""
+    """Figures of every classifier on the later years, published and kept once."""
     from pulsegrid import jobs
     from pulsegrid.sinks import MetricTable
 
-    _, rows = _prepared(spark, sf)
-    metrics = models.evaluate_all("classify", rows, rows, {k: _CLASSIFIERS[k] for k in ("bayes", "tree")})
-    return jobs.model_report(metrics, MetricTable(spark, work_path(spark, "model_report")), 0, "classify_all_rows")
+    train, test = _held_out(spark, sf, "years")
+    metrics = models.evaluate_all("classify", train, test, _CLASSIFIERS)
+    return jobs.model_report(metrics, MetricTable(spark, work_path(spark, "model_report")), 0, "classify_by_years")
 
 
 @query(
     "minute_profile_job",
     f"""WITH {_MINUTES}
-        SELECT 'minute_profile' AS result_key, 'profile_rows' AS field, CAST(CAST(count(*) AS DECIMAL(38, 6)) AS VARCHAR) AS value FROM s""",
+        SELECT 'minute_profile' AS result_key, 'profile_' || name AS field, CAST(CAST(round(v, 3) AS DECIMAL(38, 6)) AS VARCHAR) AS value FROM (
+          SELECT 'rows' AS name, count(*)::DOUBLE AS v FROM s UNION ALL SELECT 'mse', avg((prediction - label) * (prediction - label)) FROM s
+          UNION ALL SELECT 'mae', avg(abs(prediction - label)) FROM s) t""",
 )
 def minute_profile_job(spark, sf):
     """The minute profile's held-out rows as a published and kept report."""
     from pulsegrid import jobs
     from pulsegrid.sinks import MetricTable
 
-    judged = _minute_scored(spark, sf).agg(F.lit("profile").alias("model"), F.count("*").alias("rows"))
+    error = F.col("prediction") - F.col("label")
+    judged = _minute_scored(spark, sf).agg(
+        F.lit("profile").alias("model"), F.count("*").cast("double").alias("rows"),
+        F.round(F.avg(error * error), 3).alias("mse"), F.round(F.avg(F.abs(error)), 3).alias("mae"),
+    )
     return jobs.model_report(judged, MetricTable(spark, work_path(spark, "minute_report")), 0, "minute_profile")
 
 
@@ -281,8 +288,7 @@ def _minute_scored(spark, sf):
     from pulsegrid.plans.tables import event_readings
 
     split = filters.hash_split(event_readings(spark, sf), "event_id", [0.6, 0.4], 123)
-    scored = models.minute_predictions(split.filter("part = 0"), split.filter("part = 1"), "active_kw")
-    return scored.filter(F.col("prediction").isNotNull())
+    return models.minute_predictions(split.filter("part = 0"), split.filter("part = 1"), "active_kw")
 
 
 @query(
@@ -433,24 +439,6 @@ def labelled_cluster_members(spark, sf):
     return near.select("cluster", "vec_id", "rank")
 
 
-@query("principal_components")
-def principal_components(spark, sf):
-    model, _ = reduce.pca_projection(table(spark, sf, "embeddings", "vec_id", "embedding"), 8)
-    return reduce.component_rows(model, spark).select("component", "share")
-
-
-@query("pca_projection")
-def pca_projection(spark, sf):
-    """Each vector on the first eight axes."""
-    _, projected = reduce.pca_projection(table(spark, sf, "embeddings", "vec_id", "embedding"), 8)
-    return projected.select("vec_id", F.size("projection").alias("width"), F.col("projection")[0].alias("first_axis"))
-
-
-@query("singular_values")
-def singular_values(spark, sf):
-    return reduce.singular_values(table(spark, sf, "embeddings", "vec_id", "embedding"), 8)
-
-
 _SPREAD = """x AS (SELECT generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
   s AS (SELECT sum(m) AS spread FROM (SELECT pos, var_samp(v) * (count(*) - 1) AS m FROM x GROUP BY 1) t)"""
 

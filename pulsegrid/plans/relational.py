@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import (
@@ -165,12 +166,30 @@ def slice_totals(spark, sf):
     return partitions.slice_totals(table(spark, sf, "lineitem", "l_suppkey", "l_quantity"), "l_suppkey", 8, "l_quantity")
 
 
-@query("tagged_partitions", "SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS total FROM lineitem")
+@query("tagged_partitions", "SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS total, true AS ordered FROM lineitem")
 def tagged_partitions(spark, sf):
-    """Partition-wise sums of the scan, then their total."""
-    tagged = table(spark, sf, "lineitem", "l_quantity").withColumn("partition", F.spark_partition_id())
-    parts = tagged.groupBy("partition").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
-    return parts.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    """Sums of the range partitions of the keys, their total, and whether each partition ends before the next begins."""
+    tagged = partitions.tagged_partitions(table(spark, sf, "lineitem", "l_orderkey", "l_quantity"), "l_orderkey", 8)
+    parts = tagged.groupBy("partition").agg(
+        F.count("*").alias("n"), F.sum("l_quantity").alias("total"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")
+    )
+    before = F.max("high").over(Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1))  # eight rows
+    parts = parts.withColumn("ordered", F.coalesce(before <= F.col("low"), F.lit(True)))
+    return parts.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.every("ordered").alias("ordered"))
+
+
+@query("batch_map", "SELECT l_returnflag AS flag, CAST(sum(l_quantity * l_linenumber) AS DOUBLE) AS total FROM lineitem GROUP BY 1")
+def batch_map(spark, sf):
+    """User logic over whole batches of a partition, which hands on one row per batch and flag."""
+
+    def reduce_batch(batches):
+        for batch in batches:
+            weighted = batch.assign(total=batch.l_quantity * batch.l_linenumber)
+            yield weighted.groupby("l_returnflag", as_index=False).total.sum().rename(columns={"l_returnflag": "flag"})
+
+    lines = table(spark, sf, "lineitem", "l_returnflag", "l_quantity", "l_linenumber")
+    partial = partitions.map_batches(lines, reduce_batch, "flag string, total double")
+    return partial.groupBy("flag").agg(F.sum("total").alias("total"))
 
 
 @query(

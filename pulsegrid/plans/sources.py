@@ -357,7 +357,7 @@ def keyed_increments(spark, sf):
     store = sinks.MetricTable(spark, work_path(spark, "increments"))
     for batch_id, late in ((0, False), (1, True), (1, True)):
         part = sums.filter(F.col("late") == late)
-        store.put(sinks.metric_rows(part, F.lit("totals"), field=F.col("brand"), value=F.col("total")), "total", batch_id)
+        store.put(sinks.metric_rows(part, F.lit("totals"), field=F.col("brand"), value=F.col("total")), "total", batch_id, additive=True)
     return store.increments("total")
 
 

@@ -60,7 +60,7 @@ def stream_batch_words(spark, sf):
 @query("stream_running_counts", f"WITH {EVENTS} SELECT sid, count(*) AS n, CAST(sum(price) AS BIGINT) AS amount FROM ev GROUP BY 1")
 def stream_running_counts(spark, sf):
     totals = st.running_totals(event_stream(spark, sf), ["sid"], "price")
-    return st.latest_rows(spark, st.run_available(totals, "running"), ["sid"])
+    return st.latest_rows(spark, st.run_available(totals, "running", keys=["sid"]), ["sid"])
 
 
 @query(
@@ -111,7 +111,7 @@ def stream_batch_sizes(spark, sf):
 )
 def stream_dimension_ranks(spark, sf):
     totals = st.dim_totals(sale_stream(spark, sf), ["brand", "city"], "price")
-    return st.latest_rows(spark, st.run_available(totals, "dims"), ["dim", "value"])
+    return st.latest_rows(spark, st.run_available(totals, "dims", keys=["dim", "value"]), ["dim", "value"])
 
 
 @query(
@@ -123,7 +123,8 @@ def stream_dimension_ranks(spark, sf):
 def stream_filter_lattice(spark, sf):
     """All subsets of three conditions with their rankings as one stateful query."""
     totals = st.lattice_stream(sale_stream(spark, sf), SALE_RULES, "price", "payload", ["SID", "brand"])
-    return st.latest_rows(spark, st.run_available(totals, "lattice"), ["subset", "dim", "value"])
+    keys = ["mask", "dim", "value"]
+    return st.lattice_subsets(st.latest_rows(spark, st.run_available(totals, "lattice", keys=keys), keys), SALE_RULES)
 
 
 @query(
@@ -148,7 +149,7 @@ def _windows_sql(size, slide, key="", value=None, source=EVENTS):
 def stream_sliding_totals(spark, sf):
     """Sliding windows of 50 minutes by 5 from stored panes of 5 minutes."""
     panes = st.pane_totals(event_stream(spark, sf, "1 hour"), "ts", 300, amount="price")
-    stored = st.latest_rows(spark, st.run_available(panes, "panes"), ["pane"])
+    stored = st.latest_rows(spark, st.run_available(panes, "panes", keys=["pane"]), ["pane"])
     return st.windows_of_panes(stored, 3000, 300)
 
 
@@ -160,25 +161,25 @@ def stream_sliding_totals(spark, sf):
 def stream_sliding_bytes(spark, sf):
     """Number and bytes of the messages in sliding windows."""
     panes = st.pane_totals(event_stream(spark, sf, "1 hour"), "ts", 300, payload="payload")
-    return st.windows_of_panes(st.latest_rows(spark, st.run_available(panes, "pane_bytes"), ["pane"]), 3000, 300)
+    return st.windows_of_panes(st.latest_rows(spark, st.run_available(panes, "pane_bytes", keys=["pane"]), ["pane"]), 3000, 300)
 
 
 @query("stream_sliding_by_key", _windows_sql(7200, 3600, key="brand", value="price"))
 def stream_sliding_by_key(spark, sf):
     windows = st.finished_windows(event_stream(spark, sf, "1 day"), "ts", "2 hours", "1 hour", ["brand"], "price")
-    return st.latest_rows(spark, st.run_available(windows, "by_key"), ["window_start", "brand"])
+    return st.latest_rows(spark, st.run_available(windows, "by_key", keys=["window_start", "brand"]), ["window_start", "brand"])
 
 
 @query("stream_count_by_value_window", _windows_sql(7200, 3600, key="ram"))
 def stream_count_by_value_window(spark, sf):
     counts = st.sliding_counts(event_stream(spark, sf, "1 day"), "ts", "2 hours", "1 hour", "ram")
-    return st.latest_rows(spark, st.run_available(counts, "by_value"), ["window_start", "ram"])
+    return st.latest_rows(spark, st.run_available(counts, "by_value", keys=["window_start", "ram"]), ["window_start", "ram"])
 
 
 @query("stream_tumbling_records", _windows_sql(3600, 3600))
 def stream_tumbling_records(spark, sf):
     windows = st.finished_windows(event_stream(spark, sf, "1 day"), "ts", "1 hour")
-    return st.latest_rows(spark, st.run_available(windows, "tumbling"), ["window_start"])
+    return st.latest_rows(spark, st.run_available(windows, "tumbling", keys=["window_start"]), ["window_start"])
 
 
 @query(
@@ -190,7 +191,7 @@ def stream_tumbling_records(spark, sf):
 def stream_window_median(spark, sf):
     """Exact median of daily windows sliding by six hours, from counts per pane and price."""
     counts = st.value_counts(event_stream(spark, sf, "1 day"), "ts", 21600, "price")
-    stored = st.latest_rows(spark, st.run_available(counts, "price_counts"), ["pane", "price"])
+    stored = st.latest_rows(spark, st.run_available(counts, "price_counts", keys=["pane", "price"]), ["pane", "price"])
     return st.window_median(stored, 86400, 21600, "price")
 
 
@@ -232,7 +233,7 @@ def stream_transform(spark, sf):
 )
 def stream_user_purchases(spark, sf):
     bought = event_stream(spark, sf).filter(F.col("brand") == "purchase")
-    return st.latest_rows(spark, st.run_available(st.user_purchases(bought, "sid", "price"), "purchases"), ["user"])
+    return st.latest_rows(spark, st.run_available(st.user_purchases(bought, "sid", "price"), "purchases", keys=["user"]), ["user"])
 
 
 @query(
@@ -244,7 +245,7 @@ def stream_union_groups(spark, sf):
         table_stream(spark, sf, "events").select(F.col("user_id").alias("k")),
         table_stream(spark, sf, "orders").select(F.col("o_custkey").alias("k")),
     )
-    return st.latest_rows(spark, st.run_available(st.running_totals(both, ["k"]), "union"), ["k"])
+    return st.latest_rows(spark, st.run_available(st.running_totals(both, ["k"]), "union", keys=["k"]), ["k"])
 
 
 @query(
@@ -253,7 +254,7 @@ def stream_union_groups(spark, sf):
 )
 def stream_sum_by_value(spark, sf):
     totals = st.sum_and_count_by_value(table_stream(spark, sf, "lineitem"), "l_quantity")
-    return st.latest_rows(spark, st.run_available(totals, "by_quantity"), ["value"])
+    return st.latest_rows(spark, st.run_available(totals, "by_quantity", keys=["value"]), ["value"])
 
 
 @query(
@@ -321,7 +322,7 @@ def incremental_kpis(spark, sf):
     arriving = open_stream(spark, "parquet", path, spark.read.parquet(path).schema)
     messages = arriving.select(F.col("qualifier").alias("sid"), F.col("value").cast("long").alias("price"))
     totals = st.running_totals(messages, ["sid"], "price")
-    current = st.latest_rows(spark, st.run_available(totals, "kpis"), ["sid"])
+    current = st.latest_rows(spark, st.run_available(totals, "kpis", keys=["sid"]), ["sid"])
     return current.orderBy(F.desc("n"), "sid").limit(10)
 
 

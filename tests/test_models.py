@@ -64,7 +64,7 @@ def test_minute_model_predicts_the_mean(spark):
     df = spark.createDataFrame(data, "t string, v double").withColumn("ts", F.to_timestamp("t"))
     asked = spark.createDataFrame([("2024-02-01 00:05:59", 6.0), ("2024-02-01 03:00:00", 1.0)], "t string, v double")
     found = models.minute_predictions(df, asked.withColumn("ts", F.to_timestamp("t")), "v")
-    assert rows(found, "minute", "prediction") == [(180, None), (5, 3.0)]
+    assert rows(found, "minute", "prediction") == [(180, 5.0), (5, 3.0)]
     assert models.with_error(found.withColumn("actual", F.col("v"))).filter("minute = 5").first().error_pct == 50.0
 
 
