@@ -8,8 +8,8 @@
    as one more, fallible voter. A voter that does not fire abstains: a lexicon of one language says nothing
    about a text in another. Correlated voters would count the same evidence twice, so each voter's
    evidence is divided by the excess of its correlations within the classes.
-3. *Classifier.* A logistic regression on term and pattern features is trained on the posterior labels of the
-   sample. It scores whole texts; labels, language, source and id are no features.
+3. *Classifier.* A logistic regression on term and pattern features is trained on the posterior labels of a
+   sample of all texts, labelled or not. It scores whole texts; labels, language, source and id are no features.
 """
 
 from __future__ import annotations
@@ -26,21 +26,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import map_batches, stored
-from pulsegrid.llm.words import text_slices
+from pulsegrid.llm.pii import term_bitmap
+from pulsegrid.llm.words import LOWER, find_words, hash_windows, hash_words, text_bytes, text_slices
 
-#: Labelled rows that the classifier is fitted on and whose labels the label model sees, at most (in expectation, by hash).
+#: Labelled rows, and again rows of all texts, that the classifier is fitted on, at most (in expectation, by hash); the labels
+#: of the first are those that the label model sees.
 FIT_ROWS = 20_000
+#: What all texts without a label count beside all labelled ones, in the label model and in the classifier: there are many
+#: more of them, and left to themselves they make "any hit at all" the class.
+UNLABELLED = 0.1
 MIN_TEXTS = 3
 MIN_LOG_ODDS = 3.5
 #: Log likelihood ratio against "the term says nothing"; chance alone reaches it in about one of 10**7 terms.
 MIN_EVIDENCE = 14.0
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEXICON_GROUPS = 3
+#: Words of the runs by which near copies of a text are told to be one family.
+FAMILY_WORDS = 3
 ROUNDS = 8
 WORD = re.compile(r"[^\W\d_]+")
-SHOUT = re.compile(r"!!|\b[A-Z]{4,}\b")
+CAPITALS = re.compile("[A-Z]{4,}")
 #: Names of the pattern voters.
-PATTERNS = ("two_hits", "four_hits", "dense", "varied", "shouting", "clean")
+PATTERNS = ("two_hits", "four_hits", "dense", "varied", "shouting", "clean", "single")
 KINDS = 1 + len(BEGINNINGS)
 VOTERS = KINDS * LEXICON_GROUPS + len(PATTERNS)
 
@@ -53,6 +60,16 @@ def terms_of(words: set[str]) -> set[str]:
     return terms
 
 
+def count_shouts(text: str) -> int:
+    """Doubled exclamation marks, and words of four or more capitals A-Z, in the whole text."""
+    part_of_word = lambda c: c.isalnum() or c == "_"
+    found = text.count("!!")
+    for m in CAPITALS.finditer(text):
+        before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+        found += not (part_of_word(before) or part_of_word(after))
+    return found
+
+
 def _kind(term: str) -> int:
     return BEGINNINGS.index(len(term) - 1) + 1 if term.endswith("*") else 0
 
@@ -84,12 +101,12 @@ class ToxicityModel:
                 found[word] = ranks
         hits = sum(counts[w] for w in found)
         share = hits / max(1, len(words))
-        shouts = len(SHOUT.findall(text)) if "!!" in text or text.upper() == text else 0
+        shouts = count_shouts(text)
         mask = 0
         for ranks in found.values():
             for rank in ranks:
-                mask |= 1 << (self.kinds[rank] * LEXICON_GROUPS + rank % LEXICON_GROUPS)
-        fired = (hits >= 2, hits >= 4, hits >= 2 and share >= 0.01, len(found) >= 2, shouts > 10, hits == 0)
+                mask |= 1 << (self.kinds[rank] * LEXICON_GROUPS + rank * LEXICON_GROUPS // len(lexicon))
+        fired = (hits >= 2, hits >= 4, hits >= 2 and share >= 0.01, len(found) >= 2, shouts > 10, hits == 0, hits == 1)
         for i, yes in enumerate(fired):
             mask |= yes << (KINDS * LEXICON_GROUPS + i)
         dense = [math.log1p(hits), math.log1p(len(found)), min(1.0, 10 * share), float(shouts > 10)]
@@ -172,10 +189,15 @@ def _posterior(bits: np.ndarray, label: np.ndarray, model: dict[str, np.ndarray]
     return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def _moments(votes: DataFrame, model: dict[str, np.ndarray] | None) -> np.ndarray:
+def _share_of_unlabelled(labelled: float, others: float) -> float:
+    """What one text without a label counts."""
+    return min(1.0, UNLABELLED * labelled / others) if others else 1.0
+
+
+def _moments(votes: DataFrame, model: dict[str, np.ndarray] | None, unlabelled: float = 0.0) -> np.ndarray:
     """Weighted joint firing counts per class, over all votes: voters, label 1, labelled, and one by each other.
 
-    Without a model the labels are the classes. The tables of the tasks are summed cell by cell.
+    Without a model the labels are the classes. A text without a label counts ``unlabelled``. The tables of the tasks are summed cell by cell.
     """
     side = VOTERS + 3
 
@@ -185,7 +207,7 @@ def _moments(votes: DataFrame, model: dict[str, np.ndarray] | None) -> np.ndarra
             mask, label, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "label", "n"))
             bits = _bits(mask)
             p = label.clip(0).astype(float) if model is None else _posterior(bits, label, model)
-            n = n * (label >= 0) if model is None else n
+            n = n * np.where(label >= 0, 1.0, unlabelled)
             x = np.column_stack((bits, label == 1, label >= 0, np.ones(len(n)))).astype(float)
             total += [(x * (n * w)[:, None]).T @ x for w in (p, 1 - p)]
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
@@ -226,14 +248,20 @@ def fit_label_model(votes: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndar
     Each round is one aggregation to a table of fixed size, whatever the number of texts.
     """
     model = _shares(_moments(votes, None)) | {"trust": np.ones(VOTERS), "gold": np.array([0.95, 0.02])}
-    model["trust"], model["correlation"] = _trust(_moments(votes, model))
+    labelled, others = votes.agg(F.sum(F.when(F.col("label") >= 0, F.col("n"))), F.sum(F.when(F.col("label") < 0, F.col("n")))).first()
+    share = _share_of_unlabelled(labelled or 0, others or 0)
     for _ in range(rounds):
-        model |= _shares(_moments(votes, model))
+        moments = _moments(votes, model, share)
+        model["trust"], model["correlation"] = _trust(moments)
+        model |= _shares(moments)
     return model
 
 
-def fit_linear(rows: list[tuple[list[int], list[float]]], targets: np.ndarray, terms: int, l2: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft targets by accelerated gradient steps over sparse rows."""
+def fit_linear(
+    rows: list[tuple[list[int], list[float]]], targets: np.ndarray, terms: int, l2: float = 1.0, steps: int = 300, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft targets by accelerated gradient steps over sparse rows; a row counts as much as ``counts`` says."""
+    counts = np.ones(len(rows)) if counts is None else counts
     dense = np.array([d for _, d in rows])
     owner = np.repeat(np.arange(len(rows)), [len(r) for r, _ in rows])
     column = np.array([c for r, _ in rows for c in r], np.int64)
@@ -245,7 +273,7 @@ def fit_linear(rows: list[tuple[list[int], list[float]]], targets: np.ndarray, t
     rate = 1 / (0.25 * length.mean() * len(rows) + l2)
     for _ in range(steps):
         logit = ahead_bias + np.bincount(owner, ahead[column], minlength=len(rows)) + dense @ ahead[terms:]
-        miss = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - targets
+        miss = counts * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - targets)
         grad = np.concatenate((np.bincount(column, miss[owner], minlength=terms), dense.T @ miss)) + l2 * ahead
         after, after_bias = ahead - rate * grad, ahead_bias - rate * miss.sum()
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
@@ -254,28 +282,67 @@ def fit_linear(rows: list[tuple[list[int], list[float]]], targets: np.ndarray, t
     return w, bias
 
 
+def with_known_ids(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose ``doc_id`` may be among the known ones, by a bitmap of bounded size: no known id is lost, few others stay."""
+    hashed = known.select(F.xxhash64("doc_id").alias("term")).distinct()
+    bits, power = term_bitmap(hashed)
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("id_hash").to_numpy().view(np.uint64) >> np.uint64(64 - power)
+            hit = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+            yield batch.filter(pa.array(hit)).select(["doc_id", "text"])
+
+    return map_batches(texts.select("doc_id", "text", F.xxhash64("doc_id").alias("id_hash")), run, "doc_id long, text string")
+
+
+def text_families(texts: DataFrame) -> DataFrame:
+    """``doc_id``, ``th`` (hash of the text) and ``family``, the smallest hash of three following words: mostly the same for near copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            data, offsets = text_bytes(part.column("text"))
+            data = LOWER[data]
+            starts, ends, first = find_words(data, offsets)
+            hashes = hash_words(data, starts, ends)
+            least = np.zeros(part.num_rows, np.uint64)
+            for i, (a, b) in enumerate(zip(first, first[1:])):
+                if b > a:
+                    least[i] = (hash_windows(hashes[a:b], FAMILY_WORDS) if b - a >= FAMILY_WORDS else hashes[a:b]).min()
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(least.view(np.int64))], names=["doc_id", "th", "family"])
+
+    return map_batches(texts.select("doc_id", "text", F.xxhash64("text").alias("th")), run, "doc_id long, th long, family long")
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS
 ) -> ToxicityModel:
-    """Fit on ``labels`` (learning rows only). All of them shape the lexicon; ``fit_rows`` bounds those that shape the
-    classifier and anchor the label model, which is estimated on every text. Null labels and ids are left out; without both labels the model scores 0.
+    """Fit on ``labels`` (learning rows only). All of them shape the lexicon; ``fit_rows`` bounds those that anchor the
+    label model, which is estimated on every text, and the texts of the classifier: as many labelled ones, and as many of all. Null labels and ids are left out; without both labels the model scores 0.
     A label other than 0 counts as 1; if an id is labelled twice the higher label holds."""
-    labels = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    labels = labels.groupBy(F.col(id_col).cast("long").alias("label_id")).agg((F.max(label_col) != 0).cast("int").alias("toxic"))
+    labels = labels.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
+    labels = labels.groupBy(F.col(f"`{id_col}`").cast("long").alias("label_id")).agg((F.max(f"`{label_col}`") != 0).cast("int").alias("toxic"))
     labels = stored(labels, "labels")
     share = min(1.0, fit_rows / max(1, labels.count()))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), "label_id"), 11) / F.lit(float(1 << 53))
     chosen = F.broadcast(labels.where(place < share))  # about ``fit_rows`` rows of 12 bytes
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # copies of one text are no more evidence: one id of each text counts, found on hashes alone
-    keys = texts.select("doc_id", F.xxhash64("text").alias("th")).join(labels, F.col("doc_id") == F.col("label_id"))
-    keys = keys.groupBy("th", "label_id").agg(F.max("toxic").alias("toxic"), F.count("*").alias("copies"))
-    keys = keys.groupBy("th").agg(F.min(F.struct("label_id", "toxic", "copies")).alias("k")).select("th", "k.*")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    # texts without a label leave the scan, so that only labelled ones are shuffled, by the same plan at every size
+    maybe = with_known_ids(texts, labels.select(F.col("label_id").alias("doc_id")))
+    # copies of a text, near ones too, are no more evidence: one id of each family counts, found on hashes alone
+    keys = text_families(maybe).join(labels, F.col("doc_id") == F.col("label_id"))
+    keys = keys.groupBy("family", "th", "label_id").agg(F.max("toxic").alias("toxic"), F.count("*").alias("copies"))
+    keys = keys.groupBy("family").agg(F.min(F.struct("label_id", "th", "toxic", "copies")).alias("k")).select("k.*")
     keys = stored(keys, "texts")
-    labelled = texts.join(keys, (F.col("doc_id") == F.col("label_id")) & (F.xxhash64("text") == F.col("th")))
+    same = (F.col("doc_id") == F.col("label_id")) & (F.xxhash64("text") == F.col("th"))
+    labelled = maybe.join(keys.hint("merge"), same)
     lexicon = build_lexicon(labelled.select("text", "toxic", "copies"))
-    sample = texts.join(chosen, F.col("doc_id") == F.col("label_id"))
-    sample = stored(sample.select("text", "toxic").dropDuplicates(["text"]), "sample")
+    sample = texts.join(chosen, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
+    share = min(1.0, fit_rows / max(1, docs.count()))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(12), "text"), 11) / F.lit(float(1 << 53))  # copies go together
+    others = texts.where(place < share).groupBy("text").agg(F.lit(-1).alias("toxic"))
+    sample = stored(sample.unionByName(others).groupBy("text").agg(F.max("toxic").alias("toxic")), "sample")
     model = ToxicityModel({t: i for i, t in enumerate(lexicon)})
     if not lexicon:
         return model
@@ -294,8 +361,10 @@ def fit_toxicity(
 
     rows = map_batches(sample, look, "ranks array<int>, dense array<double>, mask long, toxic int")
     rows = sorted((r["ranks"], r["dense"], r["mask"], r["toxic"]) for r in rows.toLocalIterator())  # about ``fit_rows`` short rows
-    targets = _posterior(_bits(np.array([r[2] for r in rows])), np.array([r[3] for r in rows]), model.voters)
-    model.weights, model.bias = fit_linear([r[:2] for r in rows], targets, len(lexicon))
+    given = np.array([r[3] for r in rows])
+    targets = _posterior(_bits(np.array([r[2] for r in rows])), given, model.voters)
+    counts = np.where(given >= 0, 1.0, _share_of_unlabelled((given >= 0).sum(), (given < 0).sum()))
+    model.weights, model.bias = fit_linear([r[:2] for r in rows], targets, len(lexicon), counts=counts)
     return model
 
 
@@ -303,7 +372,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     """Per row: ``doc_id`` and ``score``, 0 to 1. A null text counts as empty. Each row is scored by itself, so
     repeated rows and null ids pass through; an empty table gives no rows; other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
