@@ -32,9 +32,28 @@ def parse_messages(lines: DataFrame, schema: T.StructType = MESSAGE, payload: st
     return parsed.select(*lines.columns, "_m.*")
 
 
+#: Where one array ends and the next begins, or what looks so inside a text value.
+GLUE = r"\]\s*\["
+
+
 def joined_arrays(payload: str) -> Column:
-    """Arrays glued as ``][`` made one array."""
-    return F.regexp_replace(F.col(payload), r"\]\s*\[", ",")
+    """Arrays glued as ``][`` made one array; the same characters inside a text value stay as they are.
+
+    Such a place is inside a value if the quotes before it, escaped ones left out, are odd in number.
+    """
+    text = F.col(payload)
+    pieces = F.split(text, GLUE)
+    glue = F.concat(F.array(F.lit(None).cast("string")), F.regexp_extract_all(text, F.lit(f"({GLUE})"), F.lit(1)))
+
+    def take(done: Column, part: Column) -> Column:
+        between = F.when(part["g"].isNull(), "").when(done["odd"] == 1, part["g"]).otherwise(",")
+        quotes = F.length(F.regexp_replace(F.regexp_replace(part["p"], r"\\.", ""), '[^"]', ""))
+        parts = F.concat(done["parts"], F.array(F.concat(between, part["p"])))
+        return F.struct(parts.alias("parts"), F.pmod(done["odd"] + quotes, F.lit(2)).alias("odd"))
+
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("odd"))
+    joined = F.aggregate(F.arrays_zip(pieces.alias("p"), glue.alias("g")), start, take, lambda done: F.array_join(done["parts"], ""))
+    return F.when(text.rlike(GLUE), joined).otherwise(text)
 
 
 def split_batches(

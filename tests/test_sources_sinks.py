@@ -1,3 +1,4 @@
+import json
 import os
 
 from conftest import rows
@@ -170,6 +171,18 @@ def test_report_json(spark):
     assert tuple(report.first()) == ("job_1", "report", '[{"a":"1"},{"b":"2"}]')
 
 
+def test_glue_inside_values_stays(spark):
+    texts = [
+        '[{"SID":"a][b","v":"x] ["}][{"SID":"c"}]',
+        r'[{"SID":"q\"][\""}] [{"SID":"d][", "v":"\\"}][{"SID":"][e"}]',
+        '[{"SID":"plain"}]',
+        "no array",
+    ]
+    want = ["a][b", "c", 'q"]["', "d][", "][e", "plain"]
+    assert [r.SID for r in sources.split_batches(lines(spark, *texts)).collect()] == want
+    assert sorted(json.loads(r.value)["SID"] for r in sinks.archive_cells(lines(spark, *texts), F.lit(1)).collect()) == sorted(want)
+
+
 def test_batch_log_is_replaced_on_retry(spark, folder):
     for _ in range(2):
         sinks.batch_log(spark.range(2), folder + "/log", 7)
