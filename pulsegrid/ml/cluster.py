@@ -32,6 +32,13 @@ def with_distance(df: DataFrame, centers: list[list[float]], vector: str, cluste
     return near.drop("_i", "_centre")
 
 
+def assign_to(df: DataFrame, centers: list[list[float]], vector: str = "embedding") -> DataFrame:
+    """Cluster and squared distance by given centres (k literals); ties to the first."""
+    distances = F.array(*[squared_distance(vector, F.array(*[F.lit(float(x)) for x in c])) for c in centers])
+    placed = df.withColumn("_d", distances).withColumn("distance", F.array_min("_d"))
+    return placed.withColumn("cluster", (F.array_position("_d", F.col("distance")) - 1).cast("int")).drop("_d")
+
+
 def distance_to_mean(df: DataFrame, cluster: str = "cluster", vector: str = "embedding") -> DataFrame:
     """Squared distance of each row to the mean vector of its given cluster."""
     means = df.groupBy(cluster).agg(Summarizer.mean(vector_of(vector)).alias("m"))

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import threshold_label
-from pulsegrid.ml import features, models, recommend, reduce, search
+from pulsegrid.ml import cluster, features, models, recommend, reduce, search
 from pulsegrid.operators import filters
 from pulsegrid.plans.linear import _axes_sql
 from pulsegrid.plans.registry import query
@@ -81,13 +81,16 @@ def _plogp(p, n):
     " UNION ALL ".join(
         f"""SELECT * FROM (WITH {_SPLIT}, {_stump_sql(impurity)},
       p AS (SELECT label = 1 AS y, CASE WHEN [quantity, line, discount][f + 1] <= cut THEN left_said ELSE right_said END AS p FROM rd, b WHERE NOT train), {_HARD}
-      SELECT '{impurity}' AS model, {_HARD_COLUMNS} FROM r)"""
-        for impurity in ("gini", "entropy")
+      SELECT '{name}' AS model, {_HARD_COLUMNS} FROM r)"""
+        for name, impurity in (("gini", "gini"), ("entropy", "entropy"), ("forest", "gini"))
     ),
 )
 def stump_holdout(spark, sf):
-    """Trees of one split by both impurities; 64 bins hold every value of the columns."""
-    return _judged(spark, sf, {i: {"model": "tree", "maxDepth": 1, "maxBins": 64, "impurity": i} for i in ("gini", "entropy")})
+    """Trees of one split by both impurities, and a forest of three that see all rows and columns; 64 bins hold every value."""
+    stump = {"maxDepth": 1, "maxBins": 64}
+    specs = {i: {"model": "tree", "impurity": i, **stump} for i in ("gini", "entropy")}
+    specs["forest"] = {"impurity": "gini", "numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all", **stump}
+    return _judged(spark, sf, specs)
 
 
 @query(
@@ -191,7 +194,23 @@ def classify_at_times(spark, sf):
     return answers.select("o_orderkey", "prediction", "actual_label", "outcome")
 
 
-# ---- components
+# ---- clusters and components
+
+
+@query(
+    "given_centres",
+    """WITH c AS (SELECT vec_id AS cluster, embedding::DOUBLE[] AS centre FROM embeddings WHERE vec_id < 5),
+      d AS (SELECT vec_id, cluster, pow(list_distance(embedding::DOUBLE[], centre), 2) AS d FROM embeddings, c),
+      n AS (SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM d GROUP BY 1)
+    SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, round(sum(d), 4) AS cost FROM n GROUP BY 1""",
+)
+def given_centres(spark, sf):
+    """Members and cost of clusters around given centres, the first five vectors."""
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
+    centres = [list(r.embedding) for r in vectors.filter("vec_id < 5").orderBy("vec_id").collect()]
+    placed = cluster.assign_to(vectors, centres)
+    return placed.groupBy("cluster").agg(F.count("*").alias("n"), F.round(F.sum("distance"), 4).alias("cost"))
+
 
 
 @query(
