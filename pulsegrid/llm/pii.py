@@ -10,6 +10,10 @@ by the disclosure with n(e, t) / n(t) replaced by the median of its confidence d
 (n(e, t) - 1/3) / (n(t) + 1/3): one text of one counts as a half, eight of eight as 0.92. Every pair is
 judged. Terms at ``remove`` or above are taken out, those at ``generalise`` or above are replaced by a class.
 
+IC grows with the corpus, and with it the disclosure of any rare term, so the share n(e, t) / n(t) itself, as
+bounded above, has floors that do not depend on N: ``WITHIN`` for marking the term in texts of the entity, and the
+stricter ``BEYOND`` for marking it in texts that do not show the entity.
+
 One pass over the texts counts every term of the corpus per batch and lists the terms of the texts with
 entities; what follows works on numbers only. A second pass marks the disclosing terms wherever they
 stand, in texts without the entity too: a bitmap of fixed size sorts out most other terms in the tasks, a
@@ -38,7 +42,11 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-MIN_TERM = 3
+#: Code points of the shortest term that is judged; single letters are not.
+MIN_TERM = 2
+#: Least bounded share of a term's texts that are the entity's, in texts of the entity and elsewhere: one text of one
+#: reaches the first, six of seven the second.
+WITHIN, BEYOND = 0.499, 0.75
 #: Bits of the bitmap for each disclosing term, and the largest size as a power of two (16 MB).
 BITMAP_BITS, BITMAP_POWER = 32, 27
 
@@ -197,8 +205,9 @@ def with_copies(texts: DataFrame) -> DataFrame:
     return texts.join(groups, "th", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-def disclosing_terms(scan: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """``term, disclosure, bounded, action`` of the terms whose bounded disclosure of some entity is at or above the thresholds.
+def disclosing_terms(scan: DataFrame, generalise: float, remove: float) -> tuple[DataFrame, DataFrame]:
+    """``term, disclosure, bounded, action, beyond`` of the terms whose bounded disclosure of some entity is at or above
+    the thresholds, and the pairs ``th, term`` of the texts that show such an entity.
 
     Entities of the same texts have the same counts with every term, so they are judged as one: a text with
     many entities of its own has no more pairs than terms. Terms too frequent for the entity, were they in all
@@ -211,14 +220,18 @@ def disclosing_terms(scan: DataFrame, generalise: float, remove: float) -> DataF
     counts = scan.where("term is not null").groupBy("term").agg(F.round(F.sum("n")).alias("n_t"))  # whole numbers but for rounding
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
     given = lambda share: F.when(information > 0, (information + F.log2(share)) / information)
-    judged = lambda n: given((n - 1 / 3) / (F.col("n_t") + 1 / 3))
+    bounded = lambda n: (n - 1 / 3) / (F.col("n_t") + 1 / 3)
     seen = scan.select("th", F.explode("terms").alias("term")).distinct().join(counts, "term")
-    pairs = seen.join(sets, "th").where(judged(F.col("n_e")) >= min(generalise, remove))
-    pairs = pairs.groupBy("texts", "n_e", "term", "n_t").agg(F.count("*").alias("n_et"))
-    pairs = pairs.select("term", judged(F.col("n_et")).alias("bounded"), given(F.col("n_et") / F.col("n_t")).alias("disclosure"))
+    likely = (given(bounded(F.col("n_e"))) >= min(generalise, remove)) & (bounded(F.col("n_e")) >= WITHIN)
+    held = stored(seen.join(sets, "th").where(likely).select("th", "texts", "n_e", "term", "n_t"), "pairs")
+    pairs = held.groupBy("texts", "n_e", "term", "n_t").agg(F.count("*").alias("n_et"))
+    share = bounded(F.col("n_et"))
+    pairs = pairs.select("texts", "term", share.alias("share"), given(share).alias("bounded"), given(F.col("n_et") / F.col("n_t")).alias("disclosure"))
     action = F.when(F.col("bounded") >= remove, "remove").when(F.col("bounded") >= generalise, "generalise")
-    pairs = pairs.withColumn("action", action).where("action is not null")
-    return pairs.groupBy("term").agg(F.max(F.struct("bounded", "disclosure", "action")).alias("d")).select("term", "d.*")
+    pairs = stored(pairs.withColumn("action", action).where((F.col("share") >= WITHIN) & F.col("action").isNotNull()), "judged")
+    most = F.max(F.struct("bounded", "disclosure", "action")).alias("d")
+    terms = pairs.groupBy("term").agg(most, F.max(F.col("share") >= BEYOND).alias("beyond")).select("term", "d.*", "beyond")
+    return terms, held.join(pairs.select("texts", "term").hint("merge"), ["texts", "term"]).select("th", "term").distinct()
 
 
 def find_personal_data(
@@ -226,18 +239,21 @@ def find_personal_data(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``th``, ``spans`` of the base kinds and ``terms`` with start, end, disclosure and action.
 
-    Offsets are code points, ends exclusive. ``disclosure`` is PMI / IC, ``action`` follows its bounded value.
+    A term is a word of at least ``MIN_TERM`` code points. Offsets are code points, ends exclusive. ``disclosure`` is PMI / IC, ``action`` follows its bounded value.
     A null or empty text has no spans. Every row is marked, but equal texts count as one; null ids pass
     through; an entity that all texts hold is not disclosed (IC is 0). An empty table gives no rows; other
     columns are not read.
     """
     texts = keyed_texts(docs, id_col, text_col)
     scan = stored(map_batches(with_copies(texts), _scan, SCAN), "terms")
-    terms = stored(disclosing_terms(scan, generalise, remove), "disclosing")
+    terms, shown = (stored(df, "disclosing") for df in disclosing_terms(scan, generalise, remove))
     words, power = term_bitmap(terms)
     marked = map_batches(texts, _marker(docs.sparkSession.sparkContext.broadcast(words), power), MARKED)
     marked = stored(marked.withColumn("row", F.monotonically_increasing_id()), "spans")
-    hits = marked.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").join(terms, "term")
+    hits = marked.where(F.size("hits") > 0).select("row", "th", F.explode("hits").alias("h")).select("row", "th", "h.*")
+    # the same plan at every size: terms and pairs grow with the corpus
+    hits = hits.join(terms.hint("merge"), "term")
+    hits = hits.join(shown.withColumn("own", F.lit(True)).hint("merge"), ["th", "term"], "left").where("beyond or own")
     found = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "action"))).alias("terms"))
     joined = marked.join(found, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,disclosure:double,action:string>>)")
@@ -245,7 +261,9 @@ def find_personal_data(
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``doc_id`` and ``text`` with entities and disclosing terms replaced by their class, or taken out."""
+    """``doc_id`` and ``text`` with entities and disclosing terms replaced by their class, or taken out.
+
+    A null text becomes empty; repeated rows and null ids stay rows of their own; an empty table gives no rows."""
     found = find_personal_data(docs, id_col, text_col, **options).dropDuplicates(["doc_id", "th"])
     texts = keyed_texts(docs, id_col, text_col)
     same = texts["doc_id"].eqNullSafe(found["doc_id"]) & (texts["th"] == found["th"])
