@@ -188,3 +188,25 @@ def test_bucketed_median_folds_long_histograms(spark, width, spread):
     for q in (0.01, 0.5, 1.0):
         assert bucketed_median(df, "v", width, q).first()[0] == sorted(values)[quantile_rank(len(values), q) - 1]
     assert bucketed_median(df.filter("v < 0"), "v", width).first()[0] is None
+
+
+def test_asked_items_come_in_bounded_rows_of_their_own_number(spark, monkeypatch):
+    monkeypatch.setattr(search, "PAIR_ROWS", 8)
+    monkeypatch.setattr(search, "CHUNK_ITEMS", 32)
+    monkeypatch.setattr(search, "PART_ITEMS", 16)
+    states, plain = [], search._search
+    monkeypatch.setattr(search, "_search", lambda state, *rest: plain(states.append(state) or state, *rest))
+    rng = np.random.default_rng(5)
+    items = rng.integers(-4, 5, (90, 3))
+    items[20:50] = items[7]  # one group of copies, in several chunks
+    users = rng.integers(-5, 6, (3, 3))
+    scores = users @ items.T
+    order = [sorted(range(90), key=lambda i: (-s[i], i)) for s in scores]
+    pairs = [(0, p) for p in range(90)] + [(1, 3), (1, 44), (1, 45)] + [(2, p) for p in range(0, 90, 2)]
+    asked = spark.createDataFrame(pairs, "user long, product long")
+    ranks = search.item_ranks(vectors(spark, users), vectors(spark, items), asked, parts=3).collect()
+    assert sorted((r.user, r.product, r["rank"]) for r in ranks) == sorted((u, p, order[u].index(p) + 1) for u, p in pairs)
+    sizes = [(r.user, r.n) for r in states[0].select("user", F.size("products").alias("n")).collect()]
+    assert max(n for _, n in sizes) <= 8  # however many one user asks for
+    assert [n for u, n in sizes if u == 1] == [3]  # and few of them meet the items once
+    assert spark.conf.get(search.ARROW_ROWS) == "10000"
