@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -210,3 +211,17 @@ def test_asked_items_come_in_bounded_rows_of_their_own_number(spark, monkeypatch
     assert max(n for _, n in sizes) <= 8  # however many one user asks for
     assert [n for u, n in sizes if u == 1] == [3]  # and few of them meet the items once
     assert spark.conf.get(search.ARROW_ROWS) == "10000"
+
+
+def test_best_items_leave_out_rows_without_a_better_one(spark, monkeypatch):
+    monkeypatch.setattr(search, "PART_ITEMS", 4)
+    sorted_rows, plain = [], np.lexsort
+    monkeypatch.setattr(search.np, "lexsort", lambda keys: plain(sorted_rows.append(len(keys[0])) or keys))
+    found = {}
+    monkeypatch.setattr(search, "_search", lambda state, items, schema, step: found.update(step=step) or spark.createDataFrame([], schema))
+    search.best_items(vectors(spark, [[1.0, 0.0]]), vectors(spark, [[1.0, 0.0]]), 2)
+    items = np.array([[9.0, 0.0], [8.0, 0.0]] + [[0.0, 7.0]] * 18)
+    lengths = np.full(20, 9.0)  # no part is too short
+    state = pa.RecordBatch.from_pydict({"user": [1], "vector": [[1.0, 0.0]], "done": [False], "ids": pa.array([[]], pa.list_(pa.int64())), "scores": pa.array([[]], pa.list_(pa.float64()))})
+    (out,) = found["step"](iter([state]), 0, np.arange(20), items, lengths)
+    assert out.column("ids").to_pylist() == [[0, 1]] and len(sorted_rows) == 1
