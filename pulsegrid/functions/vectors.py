@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["cosine_similarity", "dot", "l2_norm", "same_direction", "same_vector", "squared_distance"]
+__all__ = ["cosine_similarity", "counted_slots", "dot", "l2_norm", "same_direction", "same_vector", "squared_distance"]
 
 
 def _doubles(c: Column | str) -> Column:
@@ -31,6 +31,26 @@ def cosine_similarity(a: Column | str, b: Column | str) -> Column:
     return F.when(norms != 0, dot(a, b) / norms)
 
 
+def counted_slots(slots: Column | str) -> Column:
+    """An array of numbers as its sorted distinct ``indices`` and, as ``values``, how often each occurs.
+
+    Every step goes once over the sorted numbers. They and the starts of their runs are bound as
+    variables of a lambda: an expression named inside another lambda would be computed anew for each element.
+    """
+
+    def runs(o: Column) -> Column:
+        starts = F.array_compact(F.transform(o, lambda x, i: F.when((i == 0) | (x != F.get(o, i - 1)), i)))
+        return F.transform(F.array(starts), lambda s: _run_lengths(o, s))[0]
+
+    return F.transform(F.array(F.array_sort(slots)), runs)[0]
+
+
+def _run_lengths(o: Column, starts: Column) -> Column:
+    ends = F.slice(F.concat(starts, F.array(F.size(o))), F.lit(2), F.size(starts))
+    lengths = F.zip_with(starts, ends, lambda a, b: (b - a).cast("double"))
+    return F.struct(F.transform(starts, lambda i: F.get(o, i)).alias("indices"), lengths.alias("values"))
+
+
 def squared_distance(a: Column | str, b: Column | str) -> Column:
     return _total(F.zip_with(_doubles(a), _doubles(b), lambda x, y: (x - y) * (x - y)))
 

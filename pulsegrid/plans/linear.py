@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsegrid.functions import same_direction, threshold_label, word_tokens
+from pulsegrid.functions import counted_slots, same_direction, threshold_label, word_tokens
 from pulsegrid.ml import descent, online, reduce
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.streams import table_stream
@@ -228,12 +228,8 @@ _WORD_SLOTS = rf"""tk AS (SELECT conv_id, turn, CAST('0x' || substr(md5(word), 1
 def _turns(spark, sf):
     """Each turn as the sorted slots of its words and how often they occur."""
     slot = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("long"), F.lit(_WIDE)).cast("int")
-    slots = F.transform(word_tokens("text"), slot)
-    indices = F.array_sort(F.array_distinct(slots))
-    values = F.transform(indices, lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("double"))
-    return table_stream(spark, sf, "conversations").select(
-        F.col("turn").cast("double").alias("label"), F.struct(indices.alias("indices"), values.alias("values")).alias("features")
-    )
+    turns = table_stream(spark, sf, "conversations").select(F.col("turn").cast("double").alias("label"), F.transform(word_tokens("text"), slot).alias("slots"))
+    return turns.select("label", counted_slots("slots").alias("features"))
 
 
 def _wide_models(spark, sf, iterations):

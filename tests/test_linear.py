@@ -1,6 +1,7 @@
 """Vector sums, singular vectors, gradient descent and inner-product search against numpy."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -8,10 +9,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pulsegrid.functions import counted_slots
 from pulsegrid.ml import descent, online, reduce, search
 from pulsegrid.ml.blocks import Block, sum_blocks
 from pulsegrid.operators.ranking import top_per_group
 from pulsegrid.operators.rank_select import bucketed_median, quantile_rank
+from pulsegrid.plans.linear import _turns
 
 
 def vectors(spark, matrix, parts=7):
@@ -225,3 +228,20 @@ def test_best_items_leave_out_rows_without_a_better_one(spark, monkeypatch):
     state = pa.RecordBatch.from_pydict({"user": [1], "vector": [[1.0, 0.0]], "done": [False], "ids": pa.array([[]], pa.list_(pa.int64())), "scores": pa.array([[]], pa.list_(pa.float64()))})
     (out,) = found["step"](iter([state]), 0, np.arange(20), items, lengths)
     assert out.column("ids").to_pylist() == [[0, 1]] and len(sorted_rows) == 1
+
+
+def test_counted_slots_equal_a_counter(spark):
+    rng = random.Random(3)
+    data = [[], [5], [7] * 9, list(range(400, 0, -1))] + [[rng.randrange(20) for _ in range(n)] for n in range(1, 60)]
+    df = spark.createDataFrame([(n, x) for n, x in enumerate(data)] + [(-1, None)], "n int, x array<int>")
+    got = {r.n: r.f for r in df.select("n", counted_slots("x").alias("f")).collect()}
+    for n, x in enumerate(data):
+        counts = sorted(Counter(x).items())
+        assert (got[n]["indices"], got[n]["values"]) == ([i for i, _ in counts], [float(c) for _, c in counts])
+    assert got[-1]["indices"] is None and got[-1]["values"] is None
+
+
+def test_words_of_a_turn_are_hashed_once(spark, folder):
+    spark.createDataFrame([(1, 1, "b a b c " * 30)], "conv_id long, turn int, text string").write.parquet(f"{folder}/conversations.parquet")
+    plan = _turns(spark, folder)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("md5(") == 1
