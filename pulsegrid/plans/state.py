@@ -20,12 +20,12 @@ def _events(spark, sf):
 def _in_two_runs(spark, sf, name, start):
     """Start a query on a folder, let it finish and stop, add files, and start it again on the same checkpoint.
 
-    The first run sees events of even number, the second finds the others as a new file. ``start`` gets
-    the stream and the folder for the checkpoint.
+    The first run sees events of even number, the second finds the others as new files, which the
+    tasks of the scan write, one each. ``start`` gets the stream and the folder for the checkpoint.
     """
     rows, base = _events(spark, sf), work_path(spark, name)
     for odd in (0, 1):
-        rows.filter(F.pmod("event_id", F.lit(2)) == odd).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        rows.filter(F.pmod("event_id", F.lit(2)) == odd).write.mode("append").parquet(f"{base}/in")
         stream = open_stream(spark, "parquet", f"{base}/in", rows.schema)
         with st.state_partitions(spark):
             start(stream, f"{base}/checkpoint").awaitTermination()

@@ -14,6 +14,7 @@ from pulsegrid.operators.aggregates import kpi_panel
 from pulsegrid.operators.lattice import lattice_totals
 from pulsegrid.operators.rank_select import quantile_rank
 from pulsegrid.operators.time_buckets import time_distribution
+from pulsegrid.plans.state import _in_two_runs
 
 
 def additive(spark, path, **options):
@@ -245,3 +246,19 @@ def test_state_of_twenty_conditions_is_its_masks(spark):
     for subset in (0, 1, 1 << 19, (1 << 3) | (1 << 7)):
         rows_ = [r[20] for r in data if all(r[i] == "1" for i in range(20) if subset >> i & 1)]
         assert found.get(subset, (0, None)) == ((len(rows_), sum(rows_)) if rows_ else (0, None))
+
+
+def test_a_run_finds_one_file_of_each_task_and_makes_one_batch(spark, folder):
+    events = [(n, n % 5, "view", n / 4, f'{{"k": {n}}}') for n in range(400)]
+    df = spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.timestamp_seconds("event_id")).repartition(16).write.parquet(f"{folder}/events.parquet")
+    files, batches = [], []
+
+    def start(stream, checkpoint):
+        names = os.listdir(checkpoint.removesuffix("/checkpoint").removeprefix("file:") + "/in")
+        files.append(sum(name.endswith(".parquet") for name in names))
+        writer = stream.writeStream.option("checkpointLocation", checkpoint)
+        return writer.foreachBatch(lambda batch, n: batches.append((n, batch.count()))).trigger(availableNow=True).start()
+
+    _in_two_runs(spark, folder, "runs", start)
+    assert files[0] > 1 and files[1] > files[0] and batches == [(0, 200), (1, 200)]
