@@ -33,17 +33,19 @@ def _readings(spark, sf):
 
 
 _CATEGORIES, _NUMBERS = ["year", "month", "day"], ["quantity", "line", "discount"]
+#: A kept row takes up to some 300 bytes.
+_PIECE_ROWS = 1 << 18
 
 
 def _prepared(spark, sf, label="label"):
-    rows = spread_out(_readings(spark, sf)).withColumn("label", F.col(label))
+    rows = spread_out(_readings(spark, sf), _PIECE_ROWS).withColumn("label", F.col(label))
     model = features.one_hot_pipeline(_CATEGORIES, _NUMBERS).fit(rows)
     return model, model.transform(rows).select("id", "ts", "label", "features")
 
 
 def _held_out(spark, sf, how, label="label"):
     """Training and test rows, by years or by a 60/40 share of the keys; the encoder knows the training rows only."""
-    rows = spread_out(_readings(spark, sf)).withColumn("label", F.col(label))
+    rows = spread_out(_readings(spark, sf), _PIECE_ROWS).withColumn("label", F.col(label))
     if how == "years":
         parts = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
     else:
@@ -305,7 +307,7 @@ def minute_profile_model(spark, sf):
 @query("predict_at_times")
 def predict_at_times(spark, sf):
     """Order dates as requested times: the actual reading, a model's answer and its error."""
-    rows = spread_out(_readings(spark, sf))
+    rows = spread_out(_readings(spark, sf), _PIECE_ROWS)
     encoder = features.one_hot_pipeline(_CATEGORIES, []).fit(rows)
     fitted = models.estimator("regress", "tree", maxDepth=5).fit(
         encoder.transform(rows.withColumn("label", F.col("active_kw")))

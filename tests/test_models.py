@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import sources
 from pulsegrid.ml import cluster, features, models, online, recommend, reduce
+from pulsegrid.plans import models as plans
 
 
 def test_one_hot_keeps_unseen_values(spark):
@@ -192,3 +193,15 @@ def test_online_regression_matches_numpy(spark, tmp_path):
 def test_purchase_lines(spark):
     parsed = online.purchase_lines(spark.createDataFrame([("u,p,9.5",)], "payload string"))
     assert rows(parsed) == [("u", "p", 9.5)]
+
+
+def test_kept_rows_are_dealt_to_pieces_of_bounded_size(spark, folder, monkeypatch):
+    lines = spark.range(4000).select(
+        F.col("id").alias("l_orderkey"), F.expr("date_add(DATE'1995-01-01', CAST(id % 2000 AS INT))").alias("l_shipdate"), F.lit(3.0).alias("l_quantity"),
+        F.lit(1).alias("l_linenumber"), F.lit(0.1).alias("l_discount"), (F.col("id") * 20.0).alias("l_extendedprice"),
+    )
+    lines.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(plans, "_PIECE_ROWS", 100)
+    for part in (plans._prepared(spark, folder)[1], *plans._held_out(spark, folder, "share"), *plans._held_out(spark, folder, "years")):
+        sizes = [r["count"] for r in part.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) > 1000 and max(sizes) <= 110
