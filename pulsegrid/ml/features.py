@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from functools import reduce
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,24 @@ def one_hot_pipeline(categories: list[str], numbers: list[str], output: str = "f
     return Pipeline(stages=[indexer, encoder, VectorAssembler(inputCols=parts, outputCol=output, handleInvalid="error")])
 
 
+def fit_one_hot(df: DataFrame, categories: list[str]) -> PipelineModel:
+    """Encoder of the categories alone, which takes each combination of them once instead of every row."""
+    return one_hot_pipeline(categories, []).fit(df.select(*categories).distinct())
+
+
+def with_one_hot(
+    df: DataFrame, encoder: PipelineModel, combinations: DataFrame, categories: list[str], numbers: list[str], output: str = "features"
+) -> DataFrame:
+    """Adds the vector of :func:`one_hot_pipeline`: each combination of categories is encoded once and joined to its rows.
+
+    ``combinations`` holds all that occur, each once. They are broadcast, so they have to be few, as the days of a calendar are.
+    """
+    coded = encoder.transform(combinations).select(*[F.col(c).alias(f"_{c}") for c in categories], F.col("features").alias("_hot"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in categories])
+    joined = df.join(F.broadcast(coded), same).select(*df.columns, "_hot")
+    return VectorAssembler(inputCols=["_hot", *numbers], outputCol=output, handleInvalid="error").transform(joined).drop("_hot")
+
+
 def standardiser(column: str, output: str, with_mean: bool = True, with_std: bool = True) -> StandardScaler:
     return StandardScaler(inputCol=column, outputCol=output, withMean=with_mean, withStd=with_std)
 

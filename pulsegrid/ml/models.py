@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -17,7 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import minute_of_day, relative_error_pct, threshold_label
-from pulsegrid.operators.aggregates import hard_label_metrics, regression_metrics
+from pulsegrid.operators.aggregates import (
+    hard_label_metrics,
+    hard_label_metrics_by_model,
+    regression_metrics,
+    regression_metrics_by_model,
+)
 from pulsegrid.operators.power import minute_profile
 
 CLASSIFIERS = {
@@ -28,6 +36,7 @@ CLASSIFIERS = {
     "forest": RandomForestClassifier,
 }
 REGRESSORS = {"linear": LinearRegression, "tree": DecisionTreeRegressor}
+_TREES = ("tree", "forest")
 
 
 def estimator(kind: str, name: str, **params):
@@ -54,21 +63,50 @@ def score_areas(scored: DataFrame, score: str = "rawPrediction") -> dict[str, fl
 
 
 def evaluate_all(kind: str, train: DataFrame, test: DataFrame, models: Mapping[str, Mapping]) -> DataFrame:
-    """One row of metrics per model; ``models`` maps a result name to (``model``, parameters)."""
-    held = [train.persist()] if test is train else [train.persist(), test.persist()]
-    rows = []
+    """One row of metrics per model; ``models`` maps a result name to (``model``, parameters).
+
+    The training rows are kept while the models learn; the test rows are read once, by all models together.
+    """
+    train.persist()
     try:
-        for name, spec in models.items():
-            params = {k: v for k, v in spec.items() if k != "model"}
-            fitted = estimator(kind, spec.get("model", name), **params).fit(train)
-            row = metrics_of(kind, fitted.transform(test)).first().asDict()
-            rows.append((name, *[float(v) if v is not None else None for v in row.values()]))
-            columns = list(row)
+        fitted = _fitted(kind, train, models)
+        if test is not train:
+            train.unpersist()
+        found = _judged(kind, fitted, test).collect()
     finally:
-        for df in held:
-            df.unpersist()
-    schema = "model string, " + ", ".join(f"{c} double" for c in columns)
-    return train.sparkSession.createDataFrame(rows, schema)
+        train.unpersist()
+    cells = [F.struct(*[F.lit(v).cast("string" if c == "model" else "double").alias(c) for c, v in r.asDict().items()]) for r in found]
+    return train.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))
+
+
+def _fitted(kind: str, train: DataFrame, models: Mapping[str, Mapping]) -> dict[str, Model]:
+    """All models, learnt in two lanes side by side, so that the tasks of one fill the pauses of the other.
+
+    Tree models keep a point per row and the others a block of rows each: one model of a kind at a time bounds memory.
+    """
+    if len(models) > 1:
+        train.count()  # lanes that start on rows not yet kept would compute them twice
+
+    def learn(names: list[str]) -> dict[str, Model]:
+        specs = {name: dict(models[name]) for name in names}
+        return {name: estimator(kind, spec.pop("model", name), **spec).fit(train) for name, spec in specs.items()}
+
+    trees = [name for name, spec in models.items() if spec.get("model", name) in _TREES]
+    lanes = [lane for lane in ([name for name in models if name not in trees], trees) if lane]
+    with ThreadPool(len(lanes)) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(learn), lanes, chunksize=1)
+    learnt = {name: model for lane in found for name, model in lane.items()}
+    return {name: learnt[name] for name in models}
+
+
+def _judged(kind: str, fitted: Mapping[str, Model], test: DataFrame) -> DataFrame:
+    """Metrics of all models from one pass over the test rows."""
+    scored, predictions = test, {name: f"_prediction_{i}" for i, name in enumerate(fitted)}
+    for name, column in predictions.items():
+        scored = fitted[name].transform(scored).withColumnRenamed("prediction", column).drop("rawPrediction", "probability")
+    if kind == "classify":
+        return hard_label_metrics_by_model(scored, "label", predictions).select("model", "accuracy", "pr_area", "roc_area")
+    return regression_metrics_by_model(scored, "label", predictions)
 
 
 def sweep(kind: str, train: DataFrame, test: DataFrame, model: str, grid: Iterable[Mapping]) -> DataFrame:

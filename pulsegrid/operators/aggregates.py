@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,13 +120,23 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def confusion(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
     """Counts of the four outcomes of a 0/1 prediction, for all rows or per key."""
+    return df.groupBy(*(keys or [])).agg(*_outcomes(label, prediction))
+
+
+def _outcomes(label: str, prediction: str) -> list[Column]:
     positive, said = F.col(label) == 1, F.col(prediction) == 1
-    return df.groupBy(*(keys or [])).agg(
+    return [
         F.count_if(positive & said).alias("tp"),
         F.count_if(~positive & said).alias("fp"),
         F.count_if(~positive & ~said).alias("tn"),
         F.count_if(positive & ~said).alias("fn"),
-    )
+    ]
+
+
+def _by_model(df: DataFrame, predictions: Mapping[str, str], figures: Callable[[str], list[Column]]) -> DataFrame:
+    """One row of aggregates per model, whose prediction is a column of its own: one pass for all."""
+    per_model = [F.struct(F.lit(name).alias("model"), *figures(column)) for name, column in predictions.items()]
+    return df.agg(F.array(*per_model).alias("m")).select(F.inline("m"))
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -136,13 +148,21 @@ def hard_label_metrics(df: DataFrame, label: str, prediction: str, keys: list[st
 
     A hard prediction gives a curve with one inner point, so both areas have a closed form.
     """
-    c = confusion(df, label, prediction, keys)
+    return _hard_label_figures(confusion(df, label, prediction, keys), keys or [])
+
+
+def hard_label_metrics_by_model(df: DataFrame, label: str, predictions: Mapping[str, str]) -> DataFrame:
+    """:func:`hard_label_metrics` of several models (``predictions`` maps a model to its column) from one pass."""
+    return _hard_label_figures(_by_model(df, predictions, lambda column: _outcomes(label, column)), ["model"])
+
+
+def _hard_label_figures(c: DataFrame, keys: list[str]) -> DataFrame:
     tp, fp, tn, fn = (F.col(x).cast("double") for x in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
     tpr, fpr = _ratio(tp, tp + fn), _ratio(fp, fp + tn)
     precision, base = _ratio(tp, tp + fp), _ratio(tp + fn, n)
     return c.select(
-        *(keys or []),
+        *keys,
         "tp",
         "fp",
         "tn",
@@ -155,13 +175,22 @@ def hard_label_metrics(df: DataFrame, label: str, prediction: str, keys: list[st
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """MSE, MAE and RMSLE; RMSLE is over log(x + 1)."""
+    return df.agg(*_errors(label, prediction))
+
+
+def regression_metrics_by_model(df: DataFrame, label: str, predictions: Mapping[str, str]) -> DataFrame:
+    """:func:`regression_metrics` of several models (``predictions`` maps a model to its column) from one pass."""
+    return _by_model(df, predictions, lambda column: _errors(label, column))
+
+
+def _errors(label: str, prediction: str) -> list[Column]:
     error = F.col(prediction) - F.col(label)
     log_error = F.log(F.col(prediction) + 1) - F.log(F.col(label) + 1)
-    return df.agg(
+    return [
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(log_error * log_error)).alias("rmsle"),
-    )
+    ]
 
 
 def purchase_report(df: DataFrame, user: str, product: str, price: str) -> DataFrame:

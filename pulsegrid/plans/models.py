@@ -37,22 +37,29 @@ _CATEGORIES, _NUMBERS = ["year", "month", "day"], ["quantity", "line", "discount
 _PIECE_ROWS = 1 << 18
 
 
+def _encoded(rows, encoder, label):
+    """Rows in pieces of bounded size, each with its vector; the days are found on the scan, before the rows are dealt."""
+    dealt = spread_out(rows, _PIECE_ROWS).withColumn("label", F.col(label))
+    days = rows.select(*_CATEGORIES).distinct()
+    return features.with_one_hot(dealt, encoder, days, _CATEGORIES, _NUMBERS).select("id", "ts", "label", "features")
+
+
 def _prepared(spark, sf, label="label"):
-    rows = spread_out(_readings(spark, sf), _PIECE_ROWS).withColumn("label", F.col(label))
-    model = features.one_hot_pipeline(_CATEGORIES, _NUMBERS).fit(rows)
-    return model, model.transform(rows).select("id", "ts", "label", "features")
+    rows = _readings(spark, sf)
+    model = features.fit_one_hot(rows, _CATEGORIES)
+    return model, _encoded(rows, model, label)
 
 
 def _held_out(spark, sf, how, label="label"):
     """Training and test rows, by years or by a 60/40 share of the keys; the encoder knows the training rows only."""
-    rows = spread_out(_readings(spark, sf), _PIECE_ROWS).withColumn("label", F.col(label))
+    rows = _readings(spark, sf)
     if how == "years":
         parts = filters.year_split(rows, "ts", [1995, 1996, 1997, 1998], [1999, 2000, 2001])
     else:
         split = filters.hash_split(rows, "id", [0.6, 0.4], 123)
         parts = split.filter("part = 0"), split.filter("part = 1")
-    encoder = features.one_hot_pipeline(_CATEGORIES, _NUMBERS).fit(parts[0])
-    return [encoder.transform(part).select("id", "ts", "label", "features") for part in parts]
+    encoder = features.fit_one_hot(parts[0], _CATEGORIES)
+    return [_encoded(part, encoder, label) for part in parts]
 
 
 _ROWS = """rd AS (SELECT l_shipdate AS ts, l_quantity AS quantity, CAST(l_linenumber AS DOUBLE) AS line, l_discount * 100 AS discount,

@@ -205,3 +205,46 @@ def test_kept_rows_are_dealt_to_pieces_of_bounded_size(spark, folder, monkeypatc
     for part in (plans._prepared(spark, folder)[1], *plans._held_out(spark, folder, "share"), *plans._held_out(spark, folder, "years")):
         sizes = [r["count"] for r in part.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) > 1000 and max(sizes) <= 110
+
+
+def test_combinations_are_encoded_as_their_rows(spark):
+    schema = "p string, q string, n double"
+    train = spark.createDataFrame([("a", "x", 1.0), ("b", None, 0.0), ("b", "y", 2.0), ("b", "y", 2.0), (None, "x", 5.0)], schema)
+    other = train.union(spark.createDataFrame([("c", "x", 3.0), ("a", "z", 0.0)], schema))
+    whole = features.one_hot_pipeline(["p", "q"], ["n"]).fit(train).transform(other)
+    encoder = features.fit_one_hot(train, ["p", "q"])
+    coded = features.with_one_hot(other, encoder, other.select("p", "q").distinct(), ["p", "q"], ["n"])
+    assert coded.columns == ["p", "q", "n", "features"]
+    assert rows(coded) == rows(whole, *coded.columns)
+    kinds = [{kind: [a["idx"] for a in found] for kind, found in df.schema["features"].metadata["ml_attr"]["attrs"].items()} for df in (coded, whole)]
+    assert kinds[0] == kinds[1]
+
+
+def test_models_are_judged_together_as_one_by_one(spark, monkeypatch):
+    train = features.assembled(labelled(spark, 300), ["a", "b"], "label")
+    test = features.assembled(labelled(spark, 200).filter("id % 2 = 0"), ["a", "b"], "label")
+    kept, persist = [], type(train).persist
+    monkeypatch.setattr(type(train), "persist", lambda df, *level: kept.append(df) or persist(df, *level))
+    specs = {"shallow": {"model": "tree", "maxDepth": 1, "seed": 5}, "logistic": {"maxIter": 3}, "forest": {"numTrees": 3, "seed": 1}}
+    report = models.evaluate_all("classify", train, test, specs).collect()
+    assert kept == [train] and not train.is_cached
+    assert [r.model for r in report] == list(specs)
+    for r in report:
+        spec = dict(specs[r.model])
+        scored = models.estimator("classify", spec.pop("model", r.model), **spec).fit(train).transform(test)
+        assert tuple(r)[1:] == tuple(models.metrics_of("classify", scored).first())
+    nobody = models.evaluate_all("classify", train, test.limit(0), {"logistic": {}}).first()
+    assert tuple(nobody) == ("logistic", 0.0, 0.0, 0.5)
+
+
+def test_pieces_are_counted_from_the_rows_of_a_part(spark, folder, monkeypatch):
+    lines = spark.range(4000).select(
+        F.col("id").alias("l_orderkey"), F.expr("date_add(DATE'1995-01-01', CAST(id % 4000 AS INT))").alias("l_shipdate"), F.lit(3.0).alias("l_quantity"),
+        F.lit(1).alias("l_linenumber"), F.lit(0.1).alias("l_discount"), (F.col("id") * 20.0).alias("l_extendedprice"),
+    )
+    lines.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(plans, "_PIECE_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    for part, n in zip(plans._held_out(spark, folder, "years"), (1461, 1096)):
+        assert part.count() == n
+        assert part.rdd.getNumPartitions() == cores * -(-n // (100 * cores))
