@@ -216,6 +216,37 @@ def test_asked_items_come_in_bounded_rows_of_their_own_number(spark, monkeypatch
     assert spark.conf.get(search.ARROW_ROWS) == "10000"
 
 
+@pytest.mark.parametrize("few, bytes_", [(128, 1 << 30), (0, 1 << 30), (128, 1), (0, 1)])
+def test_item_ranks_of_real_vectors_with_copies_equal_brute_force(spark, monkeypatch, few, bytes_):
+    monkeypatch.setattr(search, "CHUNK_ITEMS", 40)
+    monkeypatch.setattr(search, "PART_ITEMS", 4)
+    monkeypatch.setattr(search, "PAIR_ROWS", 7)
+    monkeypatch.setattr(search, "FEW", few)
+    monkeypatch.setattr(search, "ROUND_BYTES", bytes_)
+    stored, plain = [], search.work_path
+    monkeypatch.setattr(search, "work_path", lambda s, name: stored.append(name) or plain(s, name))
+    rng = np.random.default_rng(7)
+    items, users = rng.normal(size=(90, 5)) * rng.uniform(0.1, 9, (90, 1)), rng.normal(size=(6, 5))
+    items[40:60], items[70], users[5] = items[3], 0, 0
+    items[80:85] = items[3] * (1 + 1e-13 * np.arange(5)[:, None])  # told apart by the last digits only
+    scores = [[sum((a * b for a, b in zip(u, i)), 0.0) for i in items] for u in users]
+    order = [sorted(range(90), key=lambda i: (-s[i], i)) for s in scores]
+    pairs = [(u, int(p)) for u in range(6) for p in (*rng.choice(70, 20, replace=False), 3, 70, 81, 82)]
+    asked = spark.createDataFrame(pairs + [(0, 500), (77, 1)], "user long, product long")
+    found = search.item_ranks(vectors(spark, users), vectors(spark, items), asked).collect()
+    assert sorted((r.user, r.product, r.score, r["rank"]) for r in found) == sorted({(u, p, scores[u][p], order[u].index(p) + 1) for u, p in pairs})
+    assert stored.count("search") == (1 if bytes_ > 1 else 6)  # users are written once where all chunks fit a round
+
+
+def test_asked_pairs_are_dealt_without_vectors(spark, monkeypatch):
+    plans, plain = [], search._search
+    monkeypatch.setattr(search, "_search", lambda state, *rest: plans.append(state._jdf.queryExecution().optimizedPlan().toString()) or plain(state, *rest))
+    users, items = vectors(spark, [[1.0, 2.0]]), vectors(spark, [[1.0, 0.0], [0.0, 1.0]])
+    found = search.item_ranks(users, items, spark.createDataFrame([(0, 0), (0, 1)], "user long, product long"))
+    assert sorted((r.product, r["rank"]) for r in found.collect()) == [(0, 2), (1, 1)]
+    assert "zip_with" not in plans[0]  # a product taken in a join of the pairs
+
+
 def test_best_items_leave_out_rows_without_a_better_one(spark, monkeypatch):
     monkeypatch.setattr(search, "PART_ITEMS", 4)
     sorted_rows, plain = [], np.lexsort
