@@ -247,6 +247,14 @@ def test_asked_pairs_are_dealt_without_vectors(spark, monkeypatch):
     assert "zip_with" not in plans[0]  # a product taken in a join of the pairs
 
 
+def test_first_places_leave_other_ranks_out_of_the_window(spark):
+    ranks = spark.createDataFrame([(1, 1), (1, 4), (2, 30)], "user long, rank long")
+    found = search.whole_ranking_precision(ranks, 3)
+    assert rows(found, "user", "average_precision", "owned") == [(1, 0.5, 2), (2, 0.0, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "<= 3" in plan[plan.index("Window ") :]
+
+
 def test_best_items_leave_out_rows_without_a_better_one(spark, monkeypatch):
     monkeypatch.setattr(search, "PART_ITEMS", 4)
     sorted_rows, plain = [], np.lexsort
