@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,9 +12,16 @@ from pulsegrid.functions import cosine_similarity
 from pulsegrid.ml.search import best_items
 
 
+#: Ratings that a task of the factor model orders and keeps at once.
+BLOCK_RATINGS = 1 << 22
+
+
 def train_als(ratings: DataFrame, rank: int = 50, iterations: int = 10, reg: float = 0.01, seed: int = 1) -> ALSModel:
+    """Factor model of stored ratings. Its blocks, ten by default, get more with the ratings, not larger; each starts from
+    random factors of its own, so the factors depend on their number."""
+    blocks = max(10, math.ceil(ratings.count() / BLOCK_RATINGS))
     als = ALS(
-        userCol="user", itemCol="product", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg, seed=seed
+        userCol="user", itemCol="product", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks
     )
     return als.setColdStartStrategy("drop").fit(ratings)
 

@@ -13,7 +13,7 @@ from pulsegrid.operators.ranking import top_per_group
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.streams import table_stream
 from pulsegrid.plans.tables import RATINGS, part_titles, rating_triples, table
-from pulsegrid.session import durable, work_path
+from pulsegrid.session import durable, work_path, written
 
 # ---- meter models: calendar parts and order figures against the price of a line
 
@@ -331,7 +331,7 @@ def predict_at_times(spark, sf):
 @query("als_recommendations")
 def als_recommendations(spark, sf):
     """Ten products for every customer, with titles."""
-    model = recommend.train_als(rating_triples(spark, sf), rank=10, iterations=3, reg=0.1)
+    model = recommend.train_als(written(rating_triples(spark, sf), "ratings"), rank=10, iterations=3, reg=0.1)
     found = recommend.recommend_all(model, 10).join(part_titles(spark, sf), "product")
     return found.select("user", "rank", "product", "title")
 

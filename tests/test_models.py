@@ -88,6 +88,16 @@ def test_recommendations_for_all_and_for_given_users(spark, als):
     assert some.count() == both.count() == 10 and both.filter("abs(score - other) > 1e-4").count() == 0
 
 
+def test_factor_model_gets_more_blocks_with_the_ratings(spark, monkeypatch):
+    made, plain = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **spec: made.append(spec) or plain(**spec))
+    few = recommend.train_als(ratings(spark), rank=2, iterations=1)
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 40)
+    many = recommend.train_als(ratings(spark), rank=2, iterations=1)
+    assert [(s["numUserBlocks"], s["numItemBlocks"]) for s in made] == [(10, 10), (12, 12)]
+    assert few.userFactors.count() == many.userFactors.count() == 40 and many.itemFactors.count() == few.itemFactors.count()
+
+
 def test_rating_errors(spark, als):
     found = recommend.rating_errors(ratings(spark), recommend.predict_pairs(als, ratings(spark))).first()
     assert found.n == 480 and abs(found.rmse**2 - found.mse) < 1e-9 and found.rmse < 1.5
