@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -65,9 +65,10 @@ def score_areas(scored: DataFrame, score: str = "rawPrediction") -> dict[str, fl
 def evaluate_all(kind: str, train: DataFrame, test: DataFrame, models: Mapping[str, Mapping]) -> DataFrame:
     """One row of metrics per model; ``models`` maps a result name to (``model``, parameters).
 
-    The training rows are kept while the models learn; the test rows are read once, by all models together.
+    The training rows are kept on disk while the models learn, since each model keeps a form of them in memory, where
+    they would be held twice; the test rows are read once, by all models together.
     """
-    train.persist()
+    train.persist(StorageLevel.DISK_ONLY)
     try:
         fitted = _fitted(kind, train, models)
         if test is not train:

@@ -33,8 +33,8 @@ def _readings(spark, sf):
 
 
 _CATEGORIES, _NUMBERS = ["year", "month", "day"], ["quantity", "line", "discount"]
-#: A kept row takes up to some 300 bytes.
-_PIECE_ROWS = 1 << 18
+#: A kept row takes up to some 300 bytes, also on its way to another executor.
+_PIECE_ROWS = 1 << 17
 
 
 def _encoded(rows, encoder, label):

@@ -247,6 +247,14 @@ def test_models_are_judged_together_as_one_by_one(spark, monkeypatch):
     assert tuple(nobody) == ("logistic", 0.0, 0.0, 0.5)
 
 
+def test_training_rows_are_kept_on_disk_only(spark, monkeypatch):
+    train = features.assembled(labelled(spark, 100), ["a", "b"], "label")
+    levels, fitted = [], models._fitted
+    monkeypatch.setattr(models, "_fitted", lambda kind, rows_, specs: levels.append(rows_.storageLevel) or fitted(kind, rows_, specs))
+    models.evaluate_all("classify", train, train, {"tree": {"maxDepth": 1, "seed": 1}})
+    assert [(x.useDisk, x.useMemory) for x in levels] == [(True, False)]
+
+
 def test_pieces_are_counted_from_the_rows_of_a_part(spark, folder, monkeypatch):
     lines = spark.range(4000).select(
         F.col("id").alias("l_orderkey"), F.expr("date_add(DATE'1995-01-01', CAST(id % 4000 AS INT))").alias("l_shipdate"), F.lit(3.0).alias("l_quantity"),
