@@ -26,3 +26,13 @@ def rows(df, *columns):
     """Sorted tuples of a DataFrame."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(x is None, str(x)) for x in r])
+
+
+@pytest.fixture(autouse=True)
+def arrow_settings(request):
+    """Operators may lower the size of Arrow batches for their session, which all tests share: each test starts from the defaults."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for name in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+            session.conf.unset(f"spark.sql.execution.arrow.{name}")
